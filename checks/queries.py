@@ -418,6 +418,9 @@ def regression_metrics(x: RetailInputs) -> DataFrame:
 # --- fitted models ------------------------------------------------------------------
 
 
+ALL_MODELS = ["random_forest", "gbt", "linear_regression"]
+
+
 def _features(x: RetailInputs) -> DataFrame:
     return features.retail_features(x.sales(), x.features(), x.stores())
 
@@ -440,7 +443,7 @@ def predict_lr(x: RetailInputs) -> DataFrame:
 @query
 def model_selection(x: RetailInputs) -> DataFrame:
     table = _features(x)
-    return models.compare(models.fit_all(table, CUT), models.test_rows(table, CUT))
+    return models.compare(models.fit(ALL_MODELS, table, CUT), models.test_rows(table, CUT))
 
 
 @query
@@ -451,20 +454,21 @@ def cross_validate(x: RetailInputs) -> DataFrame:
 @query
 def forecast_direct(x: RetailInputs) -> DataFrame:
     table = _features(x)
-    return models.forecast_direct(models.fit("gbt", table, CUT), table, *GRID)
+    return models.forecast_direct(models.fit(["gbt"], table, CUT)["gbt"], table, *GRID)
 
 
 @query
 def forecast_recursive(x: RetailInputs) -> DataFrame:
     table = _features(x)
-    best = models.best_model(models.fit_all(table, CUT), models.test_rows(table, CUT))
+    best = models.best_model(models.fit(ALL_MODELS, table, CUT), models.test_rows(table, CUT))
     return models.forecast_recursive(best, table, CUT)
 
 
 @query
 def forecast_recursive_linear(x: RetailInputs) -> DataFrame:
     table = _features(x)
-    return models.forecast_recursive(models.fit("linear_regression", table, CUT), table, CUT)
+    line = models.fit(["linear_regression"], table, CUT)["linear_regression"]
+    return models.forecast_recursive(line, table, CUT)
 
 
 @query

@@ -60,12 +60,17 @@ def impute(
 ) -> DataFrame:
     """Nulls become 0 in some columns and the mean of the training rows in others.
 
-    The means are scalar subqueries over one aggregate: one pass, no join, no driver step.
+    The means are one scalar subquery: one pass, no join, no driver step. It is a column of
+    its own until used, so its plan occurs once however many columns it fills.
     """
     means = (df if training is None else training).agg(*[F.avg(c).alias(c) for c in mean])
-    filled = {c: F.coalesce(F.col(c), means.select(c).scalar()) for c in mean}
+    filled = {c: F.coalesce(F.col(c), F.col("training_means")[c]) for c in mean}
     filled.update({c: F.coalesce(F.col(c), F.lit(0.0)) for c in zero})
-    return df.withColumns(filled)
+    return (
+        df.withColumn("training_means", means.select(F.struct(*mean)).scalar())
+        .withColumns(filled)
+        .drop("training_means")
+    )
 
 
 def as_date(day: dt.date | str | Column) -> Column:

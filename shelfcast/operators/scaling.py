@@ -12,23 +12,28 @@ def standardize(
 ) -> DataFrame:
     """Mean 0 and sample deviation 1 for each column present; a constant column gives 0.
 
-    Mean and deviation are scalar subqueries over one aggregate of the training rows.
+    Means and deviations are one scalar subquery over one aggregate of the training rows.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
     moments = (df if training is None else training).agg(
-        *[F.avg(c).alias(f"{c}_mean") for c in present],
-        *[F.stddev_samp(c).alias(f"{c}_dev") for c in present],
+        F.struct(
+            *[F.avg(c).alias(f"{c}_mean") for c in present],
+            *[F.stddev_samp(c).alias(f"{c}_dev") for c in present],
+        ).alias("moments")
     )
 
     def scaled(c: str) -> Column:
-        mean = moments.select(f"{c}_mean").scalar()
-        dev = moments.select(f"{c}_dev").scalar()
+        mean, dev = F.col("moments")[f"{c}_mean"], F.col("moments")[f"{c}_dev"]
         spread = F.when(dev > 0, (F.col(c) - mean) / dev)
         return F.when(F.col(c).isNotNull(), F.coalesce(spread, F.lit(0.0)))
 
-    return df.withColumns({f"{c}{suffix}": scaled(c) for c in present})
+    return (
+        df.withColumn("moments", moments.scalar())
+        .withColumns({f"{c}{suffix}": scaled(c) for c in present})
+        .drop("moments")
+    )
 
 
 def vector_columns(df: DataFrame, vector: str, names: list[str]) -> DataFrame:

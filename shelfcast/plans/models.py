@@ -7,8 +7,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import (
     GBTRegressor,
     LinearRegression,
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from shelfcast.functions.columns import calendar
-from shelfcast.operators.cleaning import SERIES, before, impute
+from shelfcast.operators.cleaning import SERIES, as_date, before
 from shelfcast.operators.series import future_frame
 from shelfcast.plans.baselines import recent_values
 from shelfcast.session import cut_lineage
@@ -52,15 +52,12 @@ def estimators(seed: int = SEED) -> dict[str, Estimator]:
     }
 
 
-def assemble(df: DataFrame) -> DataFrame:
-    """Adds the input vector; inputs must be free of nulls."""
-    typed = df.withColumns({c: F.col(c).cast("double") for c in INPUTS if c not in SERIES})
-    return VectorAssembler(inputCols=INPUTS, outputCol="inputs").transform(typed)
-
-
-def prepare(df: DataFrame, training: DataFrame) -> DataFrame:
-    """Missing lags become 0, other inputs the mean of the training rows."""
-    return impute(df, zero=LAGS, mean=CONDITIONS, training=training)
+def model_inputs(features: DataFrame) -> DataFrame:
+    """Key, label and inputs as doubles; a missing lag is 0."""
+    typed = {c: F.col(c).cast("double") for c in INPUTS if c not in SERIES}
+    typed.update({c: F.coalesce(typed[c], F.lit(0.0)) for c in LAGS})
+    label = [LABEL] if LABEL in features.columns else []
+    return features.withColumns(typed).select(*SERIES, "date", *label, *INPUTS[2:])
 
 
 @contextmanager
@@ -73,27 +70,31 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
         stored.unpersist()
 
 
-def training_rows(features: DataFrame, cut: dt.date | str) -> DataFrame:
-    train = before(features, cut)
-    return assemble(prepare(train, train)).select(*SERIES, "date", LABEL, "inputs")
-
+def fit(names: list[str], features: DataFrame, cut: dt.date | str) -> dict[str, PipelineModel]:
+    """Models on the rows before the cut, which are computed once for all of them.
 
-def test_rows(features: DataFrame, cut: dt.date | str, until: dt.date | str | None = None) -> DataFrame:
-    later = features.filter(F.col("date") >= F.lit(cut).cast("date"))
-    if until is not None:
-        later = before(later, until)
-    return assemble(prepare(later, before(features, cut))).select(*SERIES, "date", LABEL, "inputs")
+    Each result fills missing conditions with their training mean, assembles the inputs and
+    predicts.
+    """
+    filler = Imputer(inputCols=CONDITIONS, outputCols=CONDITIONS, strategy="mean")
+    assembler = VectorAssembler(inputCols=INPUTS, outputCol="inputs")
+    with kept(model_inputs(before(features, cut))) as train:
+        filled = filler.fit(train)
+        ready = assembler.transform(filled.transform(train)).select(LABEL, "inputs")
+        known = estimators()
+        return {
+            name: PipelineModel([filled, assembler, known[name].fit(ready)]) for name in names
+        }
 
 
-def fit(name: str, features: DataFrame, cut: dt.date | str) -> Model:
-    """One model on the rows before the cut."""
-    with kept(training_rows(features, cut)) as train:
-        return estimators()[name].fit(train)
+def test_rows(features: DataFrame, cut: dt.date | str, until: dt.date | str | None = None) -> DataFrame:
+    later = features.filter(F.col("date") >= as_date(cut))
+    return model_inputs(later if until is None else before(later, until))
 
 
 def predict(name: str, features: DataFrame, cut: dt.date | str) -> DataFrame:
     """Rows from the cut on with the prediction of a model fitted before it."""
-    model = fit(name, features, cut)
+    model = fit([name], features, cut)[name]
     return model.transform(test_rows(features, cut)).select(
         *SERIES, "date", LABEL, F.col("prediction").alias("predicted_weekly_sales")
     )
@@ -114,13 +115,7 @@ def regression_metrics(scored: DataFrame, actual: str, predicted: str, by: list[
     )
 
 
-def fit_all(features: DataFrame, cut: dt.date | str) -> dict[str, Model]:
-    """Every model on the same kept training rows."""
-    with kept(training_rows(features, cut)) as train:
-        return {name: estimator.fit(train) for name, estimator in estimators().items()}
-
-
-def compare(models: dict[str, Model], test: DataFrame) -> DataFrame:
+def compare(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
     """Held-out RMSE and R² of each model; the lowest RMSE is best, R² breaks ties."""
     scored = [
         model.transform(test).select(F.lit(name).alias("model"), LABEL, "prediction")
@@ -134,7 +129,7 @@ def compare(models: dict[str, Model], test: DataFrame) -> DataFrame:
     return metrics.withColumn("is_best", F.when(F.row_number().over(order) == 1, 1).otherwise(0))
 
 
-def best_model(models: dict[str, Model], test: DataFrame) -> Model:
+def best_model(models: dict[str, PipelineModel], test: DataFrame) -> PipelineModel:
     return models[compare(models, test).filter(F.col("is_best") == 1).first()["model"]]
 
 
@@ -145,7 +140,7 @@ def cross_validate(
     scored = []
     for fold in range(folds):
         cut = first_cut + dt.timedelta(weeks=weeks * fold)
-        model = fit(name, features, cut)
+        model = fit([name], features, cut)[name]
         test = test_rows(features, cut, cut + dt.timedelta(weeks=weeks))
         scored.append(
             model.transform(test).select(
@@ -158,12 +153,11 @@ def cross_validate(
 
 
 def forecast_direct(
-    model: Model, features: DataFrame, cut: dt.date | str, last: dt.date | str
+    model: PipelineModel, features: DataFrame, cut: dt.date | str, last: dt.date | str
 ) -> DataFrame:
     """Every future week in one pass, with the lags of the last known row."""
-    train = before(features, cut)
-    future = future_frame(train, [*HELD, *LAGS], cut, last)
-    return model.transform(assemble(prepare(future, train))).select(
+    future = future_frame(before(features, cut), [*HELD, *LAGS], cut, last)
+    return model.transform(model_inputs(future)).select(
         *SERIES, "date", F.col("prediction").alias("predicted_weekly_sales")
     )
 
@@ -173,13 +167,11 @@ def forecast_direct(
 _RECENT = 4  # weeks that the lags and the rolling mean reach back
 
 
-def _start(features: DataFrame, cut: dt.date | str) -> DataFrame:
+def _start(filled: Model, features: DataFrame, cut: dt.date | str) -> DataFrame:
     """One row per series: last date, newest sales first, and the held conditions."""
-    train = before(features, cut)
-    state = recent_values(train, _RECENT, LABEL, also=HELD)
-    return impute(state, zero=[], mean=CONDITIONS, training=train).withColumn(
-        "path", F.array().cast("array<double>")
-    )
+    state = recent_values(before(features, cut), _RECENT, LABEL, also=HELD)
+    typed = state.withColumns({c: F.col(c).cast("double") for c in HELD})
+    return filled.transform(typed).withColumn("path", F.array().cast("array<double>"))
 
 
 def _lag_inputs(recent: Column) -> dict[str, Column]:
@@ -201,7 +193,7 @@ def _unroll(state: DataFrame) -> DataFrame:
 
 
 def forecast_recursive(
-    model: Model, features: DataFrame, cut: dt.date | str, horizon: int = 52, every: int = 4
+    model: PipelineModel, features: DataFrame, cut: dt.date | str, horizon: int = 52, every: int = 4
 ) -> DataFrame:
     """Predict one week of all series at once, feed it back into the lags, repeat.
 
@@ -209,26 +201,29 @@ def forecast_recursive(
     array of the row, so the steps stay one chain instead of a union, which a checkpoint
     cuts after every few steps.
     """
-    if isinstance(model, LinearRegressionModel):
-        return _recursive_linear(model, features, cut, horizon)
-    state = _start(features, cut)
+    filled, assembler, predictor = model.stages
+    state = _start(filled, features, cut)
+    if isinstance(predictor, LinearRegressionModel):
+        return _unroll(_linear_steps(predictor, state, horizon))
+    return _unroll(_batch_steps(PipelineModel([assembler, predictor]), state, horizon, every))
+
+
+def _batch_steps(scorer: PipelineModel, state: DataFrame, horizon: int, every: int) -> DataFrame:
     for step in range(1, horizon + 1):
         fields = calendar(F.expr(f"date_add(last_date, {7 * step})"))
-        inputs = {**{c: fields[c] for c in CALENDAR}, **_lag_inputs(F.col("recent"))}
+        inputs = {**{c: fields[c].cast("double") for c in CALENDAR}, **_lag_inputs(F.col("recent"))}
         prediction = F.col("prediction")
-        state = model.transform(assemble(state.withColumns(inputs))).select(
+        state = scorer.transform(state.withColumns(inputs)).select(
             *SERIES, "last_date", *HELD,
             _push(prediction, F.col("recent")).alias("recent"),
             F.concat("path", F.array(prediction)).alias("path"),
         )
         if step % every == 0 and step < horizon:
             state = cut_lineage(state)
-    return _unroll(state)
+    return state
 
 
-def _recursive_linear(
-    model: LinearRegressionModel, features: DataFrame, cut: dt.date | str, horizon: int
-) -> DataFrame:
+def _linear_steps(model: LinearRegressionModel, state: DataFrame, horizon: int) -> DataFrame:
     """The same recursion for a linear model as one expression over the horizon."""
     weight = dict(zip(INPUTS, (float(w) for w in model.coefficients)))
     held = F.lit(float(model.intercept))
@@ -254,6 +249,5 @@ def _recursive_linear(
         )
 
     steps = F.sequence(F.lit(1), F.lit(horizon))
-    state = _start(features, cut).withColumn("held", held)
     end = F.aggregate(steps, F.struct("recent", "path"), advance)
-    return _unroll(state.withColumn("path", end["path"]))
+    return state.withColumn("held", held).withColumn("path", end["path"])

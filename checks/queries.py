@@ -385,8 +385,7 @@ def forecast_seasonal_naive(x: RetailInputs) -> DataFrame:
 
 @query
 def forecast_drift(x: RetailInputs) -> DataFrame:
-    forecast = baselines.drift(series.fill_weekly_gaps(x.sales_base()))
-    return rounded(forecast, 4, "predicted_weekly_sales")
+    return baselines.drift(series.fill_weekly_gaps(x.sales_base()))
 
 
 @query

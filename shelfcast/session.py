@@ -15,6 +15,7 @@ def local_session(cores: int | str = "*", app: str = "shelfcast", **conf) -> Spa
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
         .config("spark.sql.session.timeZone", "UTC")

@@ -41,14 +41,27 @@ def holiday_flag(text: Column | str, accepted: tuple[str, ...] = HOLIDAY_TEXTS)
     return F.when(matches, 1).otherwise(0)
 
 
-def exact_sum(value: Column | str, scale: str = MONEY) -> Column:
-    """Decimal sum, so the result does not depend on partitioning; double at the end."""
-    return F.sum(_col(value).cast(scale)).cast("double")
+def cents(value: Column | str) -> Column:
+    return F.floor(_col(value) * 100 + 0.5)
+
+
+def exact_sum(value: Column | str, weight: Column | int = 1) -> Column:
+    """Sum of money in whole cents, so the result does not depend on partitioning.
+
+    64 bits hold 9e16 units of money; beyond that the sum raises instead of wrapping.
+    """
+    return F.sum(cents(value) * weight) / 100
+
+
+def fine_sum(value: Column | str) -> Column:
+    """The same for values with fractions of a cent, in decimals."""
+    return F.sum(_col(value).cast(FINE_MONEY)).cast("double")
 
 
 def week_friday(moment: Column | str) -> Column:
-    """Friday of the ISO week that holds the date."""
-    return F.date_add(F.date_trunc("week", _col(moment)).cast("date"), 4)
+    """Friday of the ISO week that holds the date, by plain day arithmetic."""
+    day = _col(moment).cast("date")
+    return F.date_add(day, 4 - F.weekday(day))
 
 
 def is_friday(date: Column | str) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.operators.cleaning import keep_complete
 
 def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
     """Null rows of several columns, in one aggregate over the table."""
@@ -20,7 +21,7 @@ def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
 def unique(df: DataFrame, model: str, key: list[str]) -> DataFrame:
     """Number of key values that occur more than once; nulls do not count as values."""
     repeated = (
-        df.dropna(subset=key)
+        keep_complete(df, key)
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > 1)

@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import calendar, holiday_flag, total_of
-from shelfcast.operators.cleaning import fill_by_type, highest_sale_per_key, keep_complete
+from shelfcast.operators.cleaning import (
+    SALES_KEY,
+    fill_by_type,
+    highest_sale_per_key,
+    keep_complete,
+)
 from shelfcast.operators.scaling import standardize
 from shelfcast.operators.series import model_lags
 from shelfcast.sources.schemas import MARKDOWNS
@@ -35,12 +40,14 @@ def retail_features(sales: DataFrame, features: DataFrame, stores: DataFrame) ->
     missing indicator takes the scaled value 0. Sales themselves stay null where missing.
     """
     flagged = sales.withColumn("isholidayencoded", holiday_flag("isholiday"))
-    known = keep_complete(flagged, ["store", "dept", "date", "weekly_sales"])
+    known = keep_complete(flagged, [*SALES_KEY, "weekly_sales"])
     lagged = model_lags(highest_sale_per_key(known, "isholidayencoded"))
-    joined = total_markdown(enrich_sales(lagged, features, stores))
+    scaled = standardize(lagged.join(features, ["store", "date"], "left"), ECONOMY)
     fields = calendar("date")
-    dated = joined.withColumns({name: fields[name] for name in ("week", "month", "year")})
-    return fill_by_type(standardize(dated, ECONOMY), keep=("weekly_sales",))
+    joined = total_markdown(scaled.join(stores, "store", "left")).withColumns(
+        {name: fields[name] for name in ("week", "month", "year")}
+    )
+    return fill_by_type(joined, keep=(*SALES_KEY, "weekly_sales"))
 
 
 def scaled_economy(sales: DataFrame, features: DataFrame) -> DataFrame:

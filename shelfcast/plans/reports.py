@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfcast.functions.columns import FINE_MONEY, exact_sum, percent_change
+from shelfcast.functions.columns import exact_sum, fine_sum, percent_change
 
 
 def actual_vs_predicted_trend(fact: DataFrame) -> DataFrame:
     return fact.groupBy("date").agg(
         exact_sum("actual_weekly_sales").alias("actual_sales"),
-        exact_sum("predicted_weekly_sales", FINE_MONEY).alias("predicted_sales"),
+        fine_sum("predicted_weekly_sales").alias("predicted_sales"),
     )
 
 
@@ -20,7 +20,7 @@ def performance(fact: DataFrame, by: str) -> DataFrame:
     return fact.groupBy(by).agg(
         F.count(F.lit(1)).alias("weeks"),
         exact_sum("actual_weekly_sales").alias("actual_sales"),
-        exact_sum("predicted_weekly_sales", FINE_MONEY).alias("predicted_sales"),
+        fine_sum("predicted_weekly_sales").alias("predicted_sales"),
         F.avg(F.abs("prediction_error_percentage")).alias("avg_absolute_error_percentage"),
     )
 

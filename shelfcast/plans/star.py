@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.columns import (
-    MONEY,
     calendar,
     exact_sum,
     holiday_flag,
@@ -142,9 +141,7 @@ def fct_predicted(fact: DataFrame) -> DataFrame:
 
 
 def _sales_total(literal: bool) -> Column:
-    if not literal:
-        return exact_sum("actual_weekly_sales")
-    return F.sum(F.col("actual_weekly_sales").cast(MONEY) * F.col("copies")).cast("double")
+    return exact_sum("actual_weekly_sales", F.col("copies") if literal else 1)
 
 
 def kpi_total_sales_by_store(fact: DataFrame, literal: bool = False) -> DataFrame:

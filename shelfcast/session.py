@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +49,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored_once(df: DataFrame) -> DataFrame:
+    """Writes a frame that several jobs need to the shared folder and reads it back.
+
+    Later jobs prune its columns and survive lost executors without computing it again.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

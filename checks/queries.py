@@ -274,12 +274,13 @@ def retail_features(x: RetailInputs) -> DataFrame:
 
 @query
 def train_split_by_date(x: RetailInputs) -> DataFrame:
-    return cleaning.before(x.sales_base(), CUT)
+    return cleaning.before(x.sales_base(before=CUT), CUT)
 
 
 @query
 def sales_between_dates(x: RetailInputs) -> DataFrame:
-    return cleaning.between_days(x.sales_base(), *GRID)
+    first, last = GRID
+    return cleaning.between_days(x.sales_base(first, last + dt.timedelta(days=1)), first, last)
 
 
 @query
@@ -326,19 +327,19 @@ def distinct_series(x: RetailInputs) -> DataFrame:
 
 @query
 def future_grid(x: RetailInputs) -> DataFrame:
-    return series.future_grid(cleaning.before(x.sales_base(), CUT), *GRID)
+    return series.future_grid(cleaning.before(x.sales_base(before=CUT), CUT), *GRID)
 
 
 @query
 def last_known_values(x: RetailInputs) -> DataFrame:
-    lagged = series.sales_lags(x.sales_base())
+    lagged = series.sales_lags(x.sales_base(before=CUT))
     columns = ["weekly_sales", *[f"weekly_sales_lag{i}" for i in (1, 2, 3)]]
     return series.last_known(cleaning.before(lagged, CUT), columns)
 
 
 @query
 def future_frame(x: RetailInputs) -> DataFrame:
-    joined = x.sales_base().join(
+    joined = x.sales_base(before=CUT).join(
         x.features().select("store", "date", "temperature", "cpi"), ["store", "date"], "left"
     )
     return series.future_frame(

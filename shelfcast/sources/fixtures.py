@@ -6,6 +6,8 @@ number of series grows with the data while each series keeps about the same leng
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,18 +36,29 @@ class RetailInputs:
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def sales_base(self) -> DataFrame:
-        """One row per store, department and week.
+    def sales_base(
+        self, first: dt.date | None = None, before: dt.date | None = None
+    ) -> DataFrame:
+        """One row per store, department and week, optionally of some weeks only.
 
         Null keys drop out at the scan, on every path alike, so that queries that use the
-        sales twice share one scan and shuffle.
+        sales twice share one scan and shuffle. Bounds on the week also bound the ship date,
+        which lets Parquet skip row groups.
         """
+        lines = keep_complete(self._read("lineitem"), ["l_suppkey", "l_partkey", "l_shipdate"])
+        shipped, week = F.col("l_shipdate"), week_friday("l_shipdate")
+        kind = lines.schema["l_shipdate"].dataType
+        if first is not None:
+            monday = F.lit(first - dt.timedelta(days=4)).cast(kind)
+            lines = lines.filter((shipped >= monday) & (week >= F.lit(first)))
+        if before is not None:
+            next_monday = F.lit(before + dt.timedelta(days=3)).cast(kind)
+            lines = lines.filter((shipped < next_monday) & (week < F.lit(before)))
         return (
-            keep_complete(self._read("lineitem"), ["l_suppkey", "l_partkey", "l_shipdate"])
-            .select(
+            lines.select(
                 _store_of_supplier("l_suppkey"),
                 (F.col("l_partkey") % self.n_depts + 1).cast("int").alias("dept"),
-                week_friday("l_shipdate").alias("date"),
+                week.alias("date"),
                 "l_extendedprice",
             )
             .groupBy("store", "dept", "date")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfcast.functions.columns import parse_mixed_date
+from shelfcast.operators.cleaning import SERIES
 from shelfcast.sources import schemas
 
 
@@ -66,6 +67,22 @@ def write_table(
         writer.format("parquet").saveAsTable(target)
 
 
+def write_series_table(df: DataFrame, name: str, buckets: int, mode: str = "overwrite") -> None:
+    """Catalog table bucketed by series and sorted by date.
+
+    Windows and groups per series, and joins of two such tables, then need no shuffle.
+    Only for one row per series and date, which bounds what a series adds to its bucket.
+    """
+    (
+        df.repartition(buckets, *SERIES)
+        .write.mode(mode)
+        .bucketBy(buckets, *SERIES)
+        .sortBy(*SERIES, "date")
+        .format("parquet")
+        .saveAsTable(name)
+    )
+
+
 def append_table(df: DataFrame, target: str) -> None:
     """Add rows, creating the table if it is absent."""
     write_table(df, target, mode="append")

@@ -1,7 +1,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from shelfcast.operators.series import sales_lags
 from shelfcast.plans import features
 from shelfcast.sources import schemas, tables
 
@@ -68,6 +70,29 @@ def test_write_overwrites_appends_and_partitions(spark, tmp_path):
     assert tables.read_table(spark, evaluation).count() == 6
 
 
+def test_series_table_needs_no_shuffle(spark):
+    df = spark.range(500).select(
+        (F.col("id") % 7).cast("int").alias("store"), (F.col("id") % 3).cast("int").alias("dept"),
+        F.date_add(F.lit(dt.date(2010, 2, 5)), F.col("id").cast("int")).alias("date"),
+        F.col("id").cast("double").alias("weekly_sales"),
+    )
+    tables.write_series_table(df, "series_table", buckets=4)
+    lags = sales_lags(tables.read_table(spark, "series_table"))
+    assert "Exchange" not in lags._jdf.queryExecution().executedPlan().toString()
+    assert lags.count() == 500
+    spark.sql("drop table series_table")
+
+
+def test_week_bounds_reach_the_scan(inputs, capsys):
+    bounded = inputs.sales_base(dt.date(1998, 1, 2), dt.date(1999, 1, 1))
+    bounded.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "GreaterThanOrEqual(l_shipdate" in plan and "LessThan(l_shipdate" in plan
+    days = F.col("date").between(dt.date(1998, 1, 2), dt.date(1998, 12, 31))
+    assert bounded.exceptAll(inputs.sales_base().filter(days)).count() == 0
+    assert inputs.sales_base().filter(days).exceptAll(bounded).count() == 0
+
+
 def test_view_and_row_count(spark, tmp_path):
     df = spark.range(7)
     tables.create_view(df, "seven")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.columns import calendar, holiday_flag, parse_mixed_date
+from shelfcast.functions import columns
 from shelfcast.operators import cleaning, quality, series
 from shelfcast.plans import baselines, features, models, reports, series_models, star
 from shelfcast.session import stored_once
@@ -28,9 +28,9 @@ def query(fn: Callable[[RetailInputs], DataFrame]) -> Callable[[RetailInputs], D
     return fn
 
 
-def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     """Averages differ in the last bits between engines; adding 0 clears a negative zero."""
-    return df.withColumns({c: F.round(c, digits) + 0.0 for c in columns})
+    return df.withColumns({c: F.round(c, digits) + 0.0 for c in names})
 
 
 # --- staging, dimensions, fact ------------------------------------------------------
@@ -48,7 +48,7 @@ def stg_stores(x: RetailInputs) -> DataFrame:
 
 def _raw_features(x: RetailInputs) -> DataFrame:
     """Conditions at the grain of the raw sales, as the feature table repeats them."""
-    return features.enrich_sales(x.sales(), x.features(), x.stores())
+    return features.with_conditions(x.sales(), x.features())
 
 
 @query
@@ -215,7 +215,7 @@ def dq_unique(x: RetailInputs) -> DataFrame:
 @query
 def parse_mixed_dates(x: RetailInputs) -> DataFrame:
     raw = x.features_text()
-    return raw.select("store", F.col("date").alias("text"), parse_mixed_date("date").alias("date"))
+    return raw.select("store", F.col("date").alias("text"), columns.parse_mixed_date("date").alias("date"))
 
 
 @query
@@ -225,11 +225,11 @@ def total_markdown(x: RetailInputs) -> DataFrame:
 
 
 @query
-def holiday_flags(x: RetailInputs) -> DataFrame:
+def holiday_flag(x: RetailInputs) -> DataFrame:
     return x.sales().select(
         "store", "dept", "date", "weekly_sales",
-        holiday_flag("isholiday").alias("staged_flag"),
-        holiday_flag(F.lower("isholiday"), ("TRUE",)).alias("ingested_flag"),
+        columns.holiday_flag("isholiday").alias("staged_flag"),
+        columns.holiday_flag(F.lower("isholiday"), ("TRUE",)).alias("ingested_flag"),
     )
 
 
@@ -242,14 +242,14 @@ def fill_by_type(x: RetailInputs) -> DataFrame:
 
 @query
 def impute_mean(x: RetailInputs) -> DataFrame:
-    columns = ["temperature", "fuel_price", "cpi", "unemployment"]
+    conditions = star.CONDITIONS
     joined = series.sales_lags(x.sales_base(), lags=1).join(
-        x.features().select("store", "date", *columns), ["store", "date"], "left"
+        x.features().select("store", "date", *conditions), ["store", "date"], "left"
     )
     filled = cleaning.impute(
-        joined, zero=["weekly_sales_lag1"], mean=columns, training=cleaning.before(joined, CUT)
+        joined, zero=["weekly_sales_lag1"], mean=conditions, training=cleaning.before(joined, CUT)
     )
-    return rounded(filled, 6, *columns)
+    return rounded(filled, 6, *conditions)
 
 
 @query
@@ -333,8 +333,8 @@ def future_grid(x: RetailInputs) -> DataFrame:
 @query
 def last_known_values(x: RetailInputs) -> DataFrame:
     lagged = series.sales_lags(x.sales_base(before=CUT))
-    columns = ["weekly_sales", *[f"weekly_sales_lag{i}" for i in (1, 2, 3)]]
-    return series.last_known(cleaning.before(lagged, CUT), columns)
+    known = ["weekly_sales", *[f"weekly_sales_lag{i}" for i in (1, 2, 3)]]
+    return series.last_known(cleaning.before(lagged, CUT), known)
 
 
 @query
@@ -373,7 +373,7 @@ def train_test_split(x: RetailInputs) -> DataFrame:
 
 @query
 def calendar_fields(x: RetailInputs) -> DataFrame:
-    fields = calendar("date")
+    fields = columns.calendar("date")
     return x.sales_base().select("store", "dept", "date", *[c.alias(n) for n, c in fields.items()])
 
 

@@ -24,13 +24,18 @@ def total_markdown(df: DataFrame) -> DataFrame:
     return df.withColumn("total_markdown", total_of([c for c in MARKDOWNS if c in df.columns]))
 
 
+def with_conditions(sales: DataFrame, features: DataFrame) -> DataFrame:
+    """Sales with the features of their store and week, both dates already parsed."""
+    return sales.join(features, ["store", "date"], "left")
+
+
 def enrich_sales(sales: DataFrame, features: DataFrame, stores: DataFrame) -> DataFrame:
     """Sales with the features of their store and week and the attributes of their store.
 
     No side is hinted: Spark broadcasts one only where file sizes, or the sizes seen at run
     time, allow it, and otherwise splits skewed partitions of the sales.
     """
-    return sales.join(features, ["store", "date"], "left").join(stores, "store", "left")
+    return with_conditions(sales, features).join(stores, "store", "left")
 
 
 def retail_features(sales: DataFrame, features: DataFrame, stores: DataFrame) -> DataFrame:
@@ -42,7 +47,7 @@ def retail_features(sales: DataFrame, features: DataFrame, stores: DataFrame) ->
     flagged = sales.withColumn("isholidayencoded", holiday_flag("isholiday"))
     known = keep_complete(flagged, [*SALES_KEY, "weekly_sales"])
     lagged = model_lags(highest_sale_per_key(known, "isholidayencoded"))
-    scaled = standardize(lagged.join(features, ["store", "date"], "left"), ECONOMY)
+    scaled = standardize(with_conditions(lagged, features), ECONOMY)
     fields = calendar("date")
     joined = total_markdown(scaled.join(stores, "store", "left")).withColumns(
         {name: fields[name] for name in ("week", "month", "year")}
@@ -51,8 +56,8 @@ def retail_features(sales: DataFrame, features: DataFrame, stores: DataFrame) ->
 
 
 def scaled_economy(sales: DataFrame, features: DataFrame) -> DataFrame:
-    joined = sales.select("store", "dept", "date").join(
-        features.select("store", "date", *ECONOMY), ["store", "date"], "left"
+    joined = with_conditions(
+        sales.select("store", "dept", "date"), features.select("store", "date", *ECONOMY)
     )
     return standardize(joined, ECONOMY).select(
         "store", "dept", "date", *[F.col(f"{c}_scaled") for c in ECONOMY]

@@ -18,6 +18,7 @@ from shelfcast.operators.series import (
     fill_weekly_gaps,
 )
 from shelfcast.plans.baselines import accuracy_by_series
+from shelfcast.session import ship_package
 from shelfcast.sources.schemas import PREDICTIONS
 
 _SCORED = "store int, dept int, date date, actual double, predicted double"
@@ -43,6 +44,7 @@ def forecast_by_series(
     and date, so a group is at most the weeks of the calendar; the window that fills the
     gaps and the grouping share one shuffle.
     """
+    ship_package(sales.sparkSession)
     weekly = fill_weekly_gaps(sales)
     if cut is not None:
         weekly = trailing_months(weekly, cut, months)
@@ -70,6 +72,7 @@ def forecast_by_series(
 
 def backtest_by_series(sales: DataFrame, weeks: int = HOLDOUT_WEEKS) -> DataFrame:
     """RMSE and MAPE per series of the model fitted without the last weeks."""
+    ship_package(sales.sparkSession)
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("date")

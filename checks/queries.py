@@ -462,8 +462,9 @@ def forecast_direct(x: RetailInputs) -> DataFrame:
 @query
 def forecast_recursive(x: RetailInputs) -> DataFrame:
     table = _features(x)
-    best = models.best_model(models.fit(ALL_MODELS, table, CUT), models.test_rows(table, CUT))
-    return models.forecast_recursive(best, table, CUT)
+    fitted = models.fit(ALL_MODELS, table, CUT)
+    best = models.best_model(fitted, models.test_rows(table, CUT))
+    return models.forecast_recursive(fitted[best], table, CUT)
 
 
 @query

@@ -50,7 +50,10 @@ def retail_features(sales: DataFrame, features: DataFrame, stores: DataFrame) ->
     scaled = standardize(with_conditions(lagged, features), ECONOMY)
     fields = calendar("date")
     joined = total_markdown(scaled.join(stores, "store", "left")).withColumns(
-        {name: fields[name] for name in ("week", "month", "year")}
+        {
+            "isholiday": F.when(F.col("isholidayencoded") == 1, "TRUE").otherwise("FALSE"),
+            **{name: fields[name] for name in ("week", "month", "year")},
+        }
     )
     return fill_by_type(joined, keep=(*SALES_KEY, "weekly_sales"))
 

@@ -129,8 +129,9 @@ def compare(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
     return metrics.withColumn("is_best", F.when(F.row_number().over(order) == 1, 1).otherwise(0))
 
 
-def best_model(models: dict[str, PipelineModel], test: DataFrame) -> PipelineModel:
-    return models[compare(models, test).filter(F.col("is_best") == 1).first()["model"]]
+def best_model(models: dict[str, PipelineModel], test: DataFrame) -> str:
+    """Name of the best model on rows that none of them was fitted on."""
+    return compare(models, test).filter(F.col("is_best") == 1).first()["model"]
 
 
 def cross_validate(

@@ -37,7 +37,7 @@ def test_models_beat_the_mean_and_selection_marks_one(table, fitted):
     assert sum(r["is_best"] for r in rows) == 1
     best = min(rows, key=lambda r: r["rmse"])
     assert best["is_best"] == 1 and best["rmse"] < plain * 1.02
-    assert models.best_model(fitted, test) is fitted[best["model"]]
+    assert models.best_model(fitted, test) == best["model"]
 
 
 def test_direct_forecast_covers_the_grid(table, fitted):

@@ -6,6 +6,7 @@ in for the shocks, then the series is regressed on its own lags and those residu
 
 from __future__ import annotations
 
+import math
 from itertools import product
 
 import numpy as np
@@ -19,6 +20,13 @@ def _lagged(x: np.ndarray, lag: int, start: int) -> np.ndarray:
     return x[start - lag : len(x) - lag]
 
 
+def _solve(gram: np.ndarray, cross: np.ndarray) -> np.ndarray:
+    try:
+        return np.linalg.solve(gram, cross)
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(gram, cross, rcond=None)[0]
+
+
 def _shocks(w: np.ndarray, order: int) -> np.ndarray:
     """Residuals of a long autoregression, 0 where it has no full history."""
     rows = np.column_stack([_lagged(w, k, order) for k in range(1, order + 1)])
@@ -29,7 +37,7 @@ def _shocks(w: np.ndarray, order: int) -> np.ndarray:
 
 
 def _stable(ar: dict[int, float]) -> bool:
-    if not ar:
+    if sum(abs(c) for c in ar.values()) < 0.999:
         return True
     companion = np.zeros((max(ar), max(ar)))
     companion[0, [lag - 1 for lag in ar]] = list(ar.values())
@@ -40,7 +48,7 @@ def _stable(ar: dict[int, float]) -> bool:
 def _search(w: np.ndarray, ar_sets: list, ma_sets: list):
     """Stable lag sets with the lowest corrected AIC: (ar weights, ma weights, shocks)."""
     longest = max((max(s, default=0) for s in [*ar_sets, *ma_sets]), default=0)
-    order = min(max(4, int(np.ceil(np.log(len(w)) * 2))), len(w) // 4)
+    order = min(max(4, math.ceil(math.log(len(w)) * 2)), len(w) // 4)
     start = max(longest, order)
     n = len(w) - start
     if order < 1 or n < 10:
@@ -53,27 +61,30 @@ def _search(w: np.ndarray, ar_sets: list, ma_sets: list):
     )
     target = w[start:]
     gram, cross, total = design.T @ design, design.T @ target, float(target @ target)
+    place = {lag: i for i, lag in enumerate(lags)}
     found = []
     for ar, ma in product(ar_sets, ma_sets):
-        at = [i for i, (kind, k) in enumerate(lags) if k in (ar if kind == "ar" else ma)]
+        at = [place["ar", k] for k in ar] + [place["ma", k] for k in ma]
         k = len(at) + 1
         if n - k - 1 <= 0:
             continue
-        weights = np.linalg.lstsq(gram[np.ix_(at, at)], cross[at], rcond=None)[0] if at else []
-        squares = max(total - float(np.dot(weights, cross[at])), 1e-12 * max(total, 1.0))
-        score = n * np.log(squares / n) + 2 * k + 2 * k * (k + 1) / (n - k - 1)
-        named = dict(zip([lags[i] for i in at], weights))
-        found.append((score, len(found), named))
-    for _, _, named in sorted(found, key=lambda f: f[:2]):
-        ar = {k: float(v) for (kind, k), v in named.items() if kind == "ar"}
-        ma = {k: float(v) for (kind, k), v in named.items() if kind == "ma"}
+        part = gram[at][:, at]
+        weights = _solve(part, cross[at]) if at else np.zeros(0)
+        # The squares these very weights leave, also where the system is nearly singular.
+        left = total - 2 * float(weights @ cross[at]) + float(weights @ part @ weights)
+        squares = max(left, 1e-12 * max(total, 1.0))
+        score = n * math.log(squares / n) + 2 * k + 2 * k * (k + 1) / (n - k - 1)
+        found.append((score, len(found), ar, ma, weights))
+    for _, _, ar_lags, ma_lags, weights in sorted(found, key=lambda f: f[:2]):
+        ar = dict(zip(ar_lags, weights.tolist()))
+        ma = dict(zip(ma_lags, weights[len(ar_lags) :].tolist()))
         if _stable(ar):
             return ar, ma, shocks
     return None
 
 
 def _extend(w: np.ndarray, shocks: np.ndarray, ar: dict, ma: dict, horizon: int) -> np.ndarray:
-    values, noise = list(w), list(shocks) + [0.0] * horizon
+    values, noise = w.tolist(), shocks.tolist() + [0.0] * horizon
     for _ in range(horizon):
         t = len(values)
         values.append(
@@ -84,8 +95,8 @@ def _extend(w: np.ndarray, shocks: np.ndarray, ar: dict, ma: dict, horizon: int)
 
 
 def _undo(history: np.ndarray, future: np.ndarray, lag: int) -> np.ndarray:
-    values = list(history)
-    for step in future:
+    values = history.tolist()
+    for step in future.tolist():
         values.append(values[-lag] + step)
     return np.array(values[len(history) :])
 

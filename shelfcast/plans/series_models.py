@@ -5,10 +5,12 @@ from __future__ import annotations
 import datetime as dt
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators import arma
+import shelfcast
+from shelfcast.operators.arma import forecast
 from shelfcast.operators.cleaning import SERIES, trailing_months
 from shelfcast.operators.series import (
     HOLDOUT_MIN_POINTS,
@@ -18,9 +20,11 @@ from shelfcast.operators.series import (
     fill_weekly_gaps,
 )
 from shelfcast.plans.baselines import accuracy_by_series
-from shelfcast.session import ship_package
 from shelfcast.sources.schemas import PREDICTIONS
 
+# Python workers get this package's functions with the task, so it need not be installed there.
+cloudpickle.register_pickle_by_value(shelfcast)
+
 _SCORED = "store int, dept int, date date, actual double, predicted double"
 
 
@@ -44,7 +48,6 @@ def forecast_by_series(
     and date, so a group is at most the weeks of the calendar; the window that fills the
     gaps and the grouping share one shuffle.
     """
-    ship_package(sales.sparkSession)
     weekly = fill_weekly_gaps(sales)
     if cut is not None:
         weekly = trailing_months(weekly, cut, months)
@@ -59,7 +62,7 @@ def forecast_by_series(
                 "store": rows["store"].iloc[0],
                 "dept": rows["dept"].iloc[0],
                 "date": _future_fridays(rows["date"].iloc[-1], horizon),
-                "predicted_weekly_sales": arma.forecast(y.to_numpy(), horizon),
+                "predicted_weekly_sales": forecast(y.to_numpy(), horizon),
             }
         )
 
@@ -72,7 +75,6 @@ def forecast_by_series(
 
 def backtest_by_series(sales: DataFrame, weeks: int = HOLDOUT_WEEKS) -> DataFrame:
     """RMSE and MAPE per series of the model fitted without the last weeks."""
-    ship_package(sales.sparkSession)
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("date")
@@ -85,7 +87,7 @@ def backtest_by_series(sales: DataFrame, weeks: int = HOLDOUT_WEEKS) -> DataFram
                 "dept": test["dept"],
                 "date": test["date"],
                 "actual": test["weekly_sales"],
-                "predicted": arma.forecast(train["weekly_sales"].to_numpy(), weeks),
+                "predicted": forecast(train["weekly_sales"].to_numpy(), weeks),
             }
         )
 

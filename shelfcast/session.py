@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import shutil
 import tempfile
 import uuid
 
@@ -63,22 +61,3 @@ def stored_once(df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once per application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = os.path.dirname(os.path.abspath(__file__))
-    archive = shutil.make_archive(
-        os.path.join(tempfile.mkdtemp(prefix="shelfcast-package-"), "shelfcast"),
-        "zip",
-        root_dir=os.path.dirname(package),
-        base_dir=os.path.basename(package),
-    )
-    context.addPyFile(archive)
-    _shipped.add(context.applicationId)

@@ -33,6 +33,20 @@ def latest_first() -> WindowSpec:
     return whole_series().orderBy(F.col("date").desc())
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows, or groups of the keys, over all cores.
+
+    For work whose cost lies in computing rather than in bytes: Spark would merge its small
+    shuffle partitions into few tasks, but keeps a stated number of them. Windows and groups
+    by the keys that follow reuse the shuffle.
+    """
+    spark = df.sparkSession
+    tasks = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    return df.repartition(tasks, *keys)
+
+
 def sales_lags(df: DataFrame, value: str = "weekly_sales", lags: int = 3) -> DataFrame:
     return df.withColumns(
         {f"{value}_lag{i}": F.lag(value, i).over(by_date()) for i in range(1, lags + 1)}

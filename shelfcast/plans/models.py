@@ -21,7 +21,7 @@ from pyspark.storagelevel import StorageLevel
 
 from shelfcast.functions.columns import calendar
 from shelfcast.operators.cleaning import SERIES, as_date, before
-from shelfcast.operators.series import future_frame
+from shelfcast.operators.series import future_frame, spread
 from shelfcast.plans.baselines import recent_values
 from shelfcast.session import cut_lineage
 
@@ -170,7 +170,7 @@ _RECENT = 4  # weeks that the lags and the rolling mean reach back
 
 def _start(filled: Model, features: DataFrame, cut: dt.date | str) -> DataFrame:
     """One row per series: last date, newest sales first, and the held conditions."""
-    state = recent_values(before(features, cut), _RECENT, LABEL, also=HELD)
+    state = spread(recent_values(before(features, cut), _RECENT, LABEL, also=HELD))
     typed = state.withColumns({c: F.col(c).cast("double") for c in HELD})
     return filled.transform(typed).withColumn("path", F.array().cast("array<double>"))
 
@@ -186,7 +186,8 @@ def _push(prediction: Column, recent: Column) -> Column:
 
 
 def _unroll(state: DataFrame) -> DataFrame:
-    return state.select(*SERIES, "last_date", F.posexplode("path")).select(
+    # The outer form: the plain one adds a filter on the path, which computes it twice.
+    return state.select(*SERIES, "last_date", F.posexplode_outer("path")).select(
         *SERIES,
         F.expr("date_add(last_date, 7 * (pos + 1))").alias("date"),
         F.col("col").alias("predicted_weekly_sales"),

@@ -18,6 +18,7 @@ from shelfcast.operators.series import (
     MAX_ZERO_SHARE,
     MIN_POINTS,
     fill_weekly_gaps,
+    spread,
 )
 from shelfcast.plans.baselines import accuracy_by_series
 from shelfcast.sources.schemas import PREDICTIONS
@@ -48,7 +49,7 @@ def forecast_by_series(
     and date, so a group is at most the weeks of the calendar; the window that fills the
     gaps and the grouping share one shuffle.
     """
-    weekly = fill_weekly_gaps(sales)
+    weekly = fill_weekly_gaps(spread(sales, *SERIES))
     if cut is not None:
         weekly = trailing_months(weekly, cut, months)
 
@@ -92,7 +93,7 @@ def backtest_by_series(sales: DataFrame, weeks: int = HOLDOUT_WEEKS) -> DataFram
         )
 
     scored = (
-        fill_weekly_gaps(sales)
+        fill_weekly_gaps(spread(sales, *SERIES))
         .select(*SERIES, "date", "weekly_sales")
         .groupBy(*SERIES)
         .applyInPandas(one, _SCORED)

@@ -44,6 +44,7 @@ HEADLINE = [
     "model_selection",
     "forecast_direct",
     "forecast_recursive",
+    "forecast_recursive_forest",
     "forecast_recursive_linear",
 ]
 

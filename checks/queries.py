@@ -474,6 +474,14 @@ def forecast_recursive_linear(x: RetailInputs) -> DataFrame:
     return models.forecast_recursive(line, table, CUT)
 
 
+@query
+def forecast_recursive_forest(x: RetailInputs) -> DataFrame:
+    """The step-by-step recursion whichever model is best."""
+    table = _features(x)
+    forest = models.fit(["random_forest"], table, CUT)["random_forest"]
+    return models.forecast_recursive(forest, table, CUT)
+
+
 @query
 def forecast_by_series(x: RetailInputs) -> DataFrame:
     return series_models.forecast_by_series(x.sales_sparse())

@@ -25,6 +25,7 @@ def test_every_query_without_sql_fits_a_model():
         "forecast_by_series",
         "forecast_direct",
         "forecast_recursive",
+        "forecast_recursive_forest",
         "forecast_recursive_linear",
         "model_selection",
         "predict_gbt",

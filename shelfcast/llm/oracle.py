@@ -58,6 +58,29 @@ judged as (
 )"""
 
 ORACLE: dict[str, str] = {
+    "op2_chat_formatting": r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all
+  select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all
+  select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+marked as (
+  select *, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '#', '&#35;') as body,
+    replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '#', '&#35;'), ':', '&#58;') as head
+  from rows
+),
+joined as (
+  select conv_id, count(*) as n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as spoken,
+    coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '') as learned,
+    sum(length('### ' || head || ': ' || body || '</turn>' || chr(10)))::bigint as formatted_chars
+  from marked group by conv_id
+)
+select conv_id, n_turns, sha256(spoken) as turns_sha256, length(learned) as loss_chars,
+  sha256(learned) as loss_sha256, formatted_chars
+from joined""",
     "op8_quality_rules": f"""
 with {QUALITY_MEASURES}
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

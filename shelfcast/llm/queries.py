@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, chat_format, compression_classifier, fingerprints, mixing, quality_rules
+from shelfcast.llm import bpe, chat_format, compression_classifier, fingerprints, mixing, pii, quality_rules
 from shelfcast.llm.tables import shuffle_width, table
 
 
@@ -44,6 +44,23 @@ def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = pii.detect(docs, pii.fit(docs))
+
+    def listed(spans: str) -> Column:
+        one = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+        return F.array_join(F.transform(spans, one), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.BASE_KINDS), F.sha2(listed("base"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
+
+
 def op4_mixing_by_weight(spark: SparkSession, folder: str) -> DataFrame:
     made = mixing.mix_documents(table(spark, folder, "documents"))
     return made.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -82,6 +99,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_personal_data": op3_personal_data,
     "op4_mixing_by_weight": op4_mixing_by_weight,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_bpe_encoding": op6_bpe_encoding,

@@ -80,13 +80,26 @@ class Words:
         return span_hashes(_LOWER[self.data] if lower else self.data, self.starts, self.ends)
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A 64-bit value for every byte."""
+    return _RANDOM[data]
+
+
+class Prefix:
+    """Prefix sums of a sequence of 64-bit values: the hash of any span in constant time."""
+
+    def __init__(self, values: np.ndarray):
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        np.cumsum(values * _powers(_BASE, len(values)), out=self.sums[1:])
+        self.inverse = _powers(_INVERSE, len(values) + 1)
+
+    def hash(self, starts, ends) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts])
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes [start, end) of every span."""
-    powers = _powers(_BASE, len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_RANDOM[data] * powers[:-1], out=sums[1:])
-    inverse = _powers(_INVERSE, len(data) + 1)
-    return mix((sums[ends] - sums[starts]) * inverse[starts])
+    return Prefix(byte_values(data)).hash(starts, ends)
 
 
 def per_document(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:

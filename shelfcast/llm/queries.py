@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bpe, chat_format, compression_classifier, fingerprints, mixing, pii, quality_rules
+from shelfcast.llm import (
+    bpe,
+    chat_format,
+    compression_classifier,
+    fingerprints,
+    fm_dedup,
+    mixing,
+    pii,
+    quality_rules,
+    suffix_dedup,
+)
 from shelfcast.llm.tables import shuffle_width, table
 
 
@@ -75,6 +85,10 @@ def op6_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, folder, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     book = quality_rules.ledger(table(spark, folder, "documents"))
     return book.select(
@@ -97,12 +111,18 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return fm_dedup.report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_personal_data": op3_personal_data,
     "op4_mixing_by_weight": op4_mixing_by_weight,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op6_bpe_encoding": op6_bpe_encoding,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_substring_dedup": op10_substring_dedup,
 }

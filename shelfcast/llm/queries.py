@@ -14,6 +14,7 @@ from shelfcast.llm import (
     compression_classifier,
     fingerprints,
     fm_dedup,
+    jaccard_join,
     mixing,
     pii,
     quality_rules,
@@ -26,6 +27,11 @@ from shelfcast.llm.tables import shuffle_width, table
 VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard_join.join(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit(r"\### Assistant: </turn> ok")
@@ -116,6 +122,7 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_personal_data": op3_personal_data,
     "op4_mixing_by_weight": op4_mixing_by_weight,

@@ -29,6 +29,7 @@ import types
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -299,6 +300,27 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
     return map_batches(rows, run, "doc_id long, n_tokens long, ids array<int>")
 
 
+def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...], text: str = "text") -> DataFrame:
+    """Columns ``keep``, token ids, their number and the digest of the text decoded from them."""
+    name = ship(docs.sparkSession, path)
+    given = docs.select(docs[text].alias("_text"), *keep)
+
+    def run(batch):
+        codec, known = _codec_of(name)
+        counts, ids, digests_ = [], [], []
+        for value in batch.column(0):
+            found = [f for f in _pieces(codec, known, value.as_py() or "") if f[0]]
+            counts.append(sum([f[0] for f in found]))
+            ids.append(np.fromstring(" ".join([f[1] for f in found]), np.int32, sep=" "))
+            digests_.append(hashlib.sha256(" ".join([f[2] for f in found]).encode()).hexdigest())
+        own = {n: batch.column(i + 1) for i, n in enumerate(keep)}
+        yield {**own, "n_tokens": counts, "ids": ids, "decoded_sha256": digests_}
+
+    kinds = dict(given.dtypes)
+    schema = ", ".join([*(f"{n} {kinds[n]}" for n in keep), "n_tokens long", "ids array<int>", "decoded_sha256 string"])
+    return map_batches(given, run, schema)
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """Per row: key and text of the ids, through the incremental state machine."""
     name = ship(encoded.sparkSession, path)

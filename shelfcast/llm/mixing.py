@@ -209,3 +209,16 @@ def mix(sizes: DataFrame, goals: DataFrame, block: int = BLOCK, seed: int = SEED
 def mix_documents(docs: DataFrame, **kwargs) -> DataFrame:
     sizes = stored(sized(docs))
     return mix(sizes, targets(sizes), **kwargs)
+
+
+def mixed(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
+    """The documents with all their columns, each as often as the mix takes it.
+
+    Rows of one id and text are one document; its copies are drawn together.
+    """
+    hashed = docs.withColumn("_unit", F.xxhash64(docs[key], F.coalesce(docs[text], F.lit(""))))
+    drawn = mix_documents(hashed.select(F.col("_unit").alias("doc_id"), docs[text].alias("text"), docs[source].alias("source")))
+    copies = drawn.groupBy(F.col("doc_id").alias("_unit")).agg(F.sum("copies").cast("int").alias("_copies"))
+    taken = hashed.dropDuplicates(["_unit"]).join(copies.where("_copies > 0"), "_unit")
+    many = F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")
+    return taken.select(*docs.columns, many).select(*docs.columns)

@@ -110,28 +110,52 @@ def _measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def measurements(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Key and measurements of every row."""
+def measured(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows with their columns, which become ``c0``, ``c1`` and so on, and the measurements."""
+    at = docs.columns.index(text)
+    given = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
     def measure(batch: pa.RecordBatch):
-        keys = batch.column(0)
-        for first, last, data, offsets in blocks.text_blocks(batch.column(1)):
-            yield {"doc_id": keys[first:last], **_measure(data, offsets)}
+        for first, last, data, offsets in blocks.text_blocks(batch.column(at)):
+            own = {f"c{i}": batch.column(i)[first:last] for i in range(batch.num_columns)}
+            yield {**own, **_measure(data, offsets)}
 
-    schema = "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES)
-    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
-    return map_batches(rows, measure, schema)
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields]
+    return map_batches(given, measure, ", ".join([*fields, *(f"{m} long" for m in MEASURES)]))
 
 
-def ledger(docs: DataFrame, rules: Sequence[Rule] | None = None, **columns: str) -> DataFrame:
-    """One row per document: measurements and ``failed_rules``, rule i at bit i."""
-    rules = default_rules() if rules is None else rules
+def failed(rules: Sequence[Rule]) -> Column:
+    """The bits of the rules that a measured row fails, rule i at bit i."""
     if len(rules) > 63:
         raise ValueError("a ledger holds at most 63 rules")
-    bits = F.lit(0).cast("long")
+    none = F.lit(0).cast("long")
+    bits = none
     for i, rule in enumerate(rules):
-        bits = bits + F.when(rule.fails, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long"))
-    return measurements(docs, **columns).withColumn("failed_rules", bits)
+        bits = bits + F.when(rule.fails, F.lit(1 << i).cast("long")).otherwise(none)
+    return bits
+
+
+def ledger(docs: DataFrame, rules: Sequence[Rule] | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """One row per document: id, measurements and ``failed_rules``."""
+    rules = default_rules() if rules is None else rules
+    rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
+    ids = _without_text(rows)
+    return ids.withColumn("failed_rules", failed(rules))
+
+
+def _without_text(rows: DataFrame) -> DataFrame:
+    def measure(batch: pa.RecordBatch):
+        for first, last, data, offsets in blocks.text_blocks(batch.column(1)):
+            yield {"doc_id": batch.column(0)[first:last], **_measure(data, offsets)}
+
+    return map_batches(rows, measure, "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES))
+
+
+def keep_passing(docs: DataFrame, policy: Policy, rules: Sequence[Rule] | None = None, text: str = "text") -> DataFrame:
+    """The rows, with their columns, that a policy keeps; nothing is shuffled."""
+    rules = default_rules() if rules is None else rules
+    kept = measured(docs, text).withColumn("failed_rules", failed(rules)).where(passes(policy, rules))
+    return kept.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
 def mask(policy: Policy, rules: Sequence[Rule] | None = None) -> int:

@@ -36,6 +36,8 @@ class Scheme:
     symbols: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
     width: int
     gram: int
+    #: Whether the symbols' values are needed after anchors are found.
+    keeps_values: bool = True
 
 
 def byte_symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,6 +90,7 @@ def find(scheme: Scheme, data: np.ndarray, offsets: np.ndarray) -> Found:
     at, first, last = owner[begin], starts[begin], starts[end]
     piece = sums.hash(first, last + width) ^ blocks.mix((last - first).astype(np.uint64))
     doc = np.searchsorted(bounds, at, "right") - 1
+    values = values if scheme.keeps_values else none.view(np.uint64)
     return Found(doc, grams[at], piece, at, first, last, values, bounds)
 
 

@@ -240,7 +240,7 @@ def _resolve(rows: DataFrame, multiple: DataFrame, grams: DataFrame) -> DataFram
     return stored(runs.groupBy("shard").applyInArrow(lambda t: merge_shard(t), _RESOLVED))
 
 
-SCHEME = anchors.Scheme(anchors.byte_symbols, WIDTH, GRAM)
+SCHEME = anchors.Scheme(anchors.byte_symbols, WIDTH, GRAM, keeps_values=False)
 
 
 def removed_bytes(data: np.ndarray, found, hits) -> np.ndarray:

@@ -29,23 +29,32 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+#: Bytes of an Arrow batch that a function gets at once, about; what it holds grows with them.
+SLICE_BYTES = 12 << 20
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+    for first in range(0, batch.num_rows, rows):
+        yield batch.slice(first, rows)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
-    """Runs ``fn`` on every Arrow batch; it yields columns by name, as arrays of one length."""
+    """Runs ``fn`` on slices of every Arrow batch; it yields columns by name, of one length."""
     target = arrow_schema(schema)
 
     def run(batches):
-        for batch in batches:
-            for columns in fn(batch):
-                arrays = [
-                    columns[f.name]
-                    if isinstance(columns[f.name], pa.Array)
-                    else pa.array(columns[f.name], f.type, from_pandas=False)
-                    for f in target
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, target, strict=True)],
-                    schema=target,
-                )
+        for columns in (c for batch in batches for part in _slices(batch) for c in fn(part)):
+            arrays = [
+                columns[f.name]
+                if isinstance(columns[f.name], pa.Array)
+                else pa.array(columns[f.name], f.type, from_pandas=False)
+                for f in target
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, target, strict=True)],
+                schema=target,
+            )
 
     return df.mapInArrow(run, schema)
 

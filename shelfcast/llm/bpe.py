@@ -36,11 +36,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.llm.tables import map_batches
 
-#: Words kept encoded in a worker; when full, the memory starts anew.
-REMEMBERED = 150_000
+#: Encoded words, and runs of text between spaces, that a worker remembers; recently used ones
+#: are kept for twice as many. About 250 and 350 bytes each.
+WORDS, RUNS = 300_000, 150_000
 #: Fixed value: how the vocabulary's pre-tokenizer splits normalized text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters that Python counts as white space and the normalizer does not.
+_SPACES = regex.compile(r"[\t-\r \x85\p{Z}]+")
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
@@ -55,6 +57,25 @@ def byte_symbols() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+class Memory(dict):
+    """Remembers a bounded number of results; what is used again outlives what is not."""
+
+    def __init__(self, size: int, make):
+        super().__init__()
+        self._size, self._make, self._older = size, make, {}
+
+    def __missing__(self, key):
+        found = self._older.get(key)
+        if found is None:
+            found = self._make(key)
+        if len(self) >= self._size:
+            self._older = dict(self)
+            self.clear()
+        if len(key) <= 64:
+            self[key] = found
+        return found
+
+
 class Codec:
     """One vocabulary: ids of byte-level symbols, merges in order of rank, special tokens."""
 
@@ -74,7 +95,8 @@ class Codec:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.lookahead = max(map(self._size, self.vocab), default=1)
         self._agree: dict[tuple[str, str], bool] = {}
-        self._words: dict[str, list[str]] = {}
+        self._words = Memory(WORDS, self._word)
+        self.runs = Memory(RUNS, self._run)
 
     def _size(self, token: str) -> int:
         return len(token) - len(self.end) if self.end and token.endswith(self.end) and token != self.end else len(token)
@@ -84,7 +106,7 @@ class Codec:
         key = (left, right)
         known = self._agree.get(key)
         if known is None:
-            if len(self._agree) > 4 * REMEMBERED:
+            if len(self._agree) > 2 * WORDS:
                 self._agree.clear()
             known = self._agree[key] = self._apart(left, right)
         return known
@@ -161,8 +183,10 @@ class Codec:
         return out[::-1], cut
 
     def normalize(self, text: str) -> str:
-        text = unicodedata.normalize("NFC", text)
-        text = regex.sub(r"[\t-\r \x85\p{Z}]+", " ", text)
+        if not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
+        if not text.isalpha():
+            text = _SPACES.sub(" ", text)
         # Lower case by character: no special form of a final sigma.
         return text.replace("Σ", "σ").lower()
 
@@ -186,38 +210,54 @@ class Codec:
                 ranks[i] = rank.get((parts[i], parts[i + 1]), none)
         return parts
 
-    def _word(self, word: str, known: dict[str, list[str]]) -> list[str]:
-        found = known.get(word)
-        if found is None:
-            symbols = [self.symbols[b] for b in word.encode()]
-            short = len(symbols) <= self.lookahead
-            found = self._window(symbols) if short else list(self.stream(symbols))
-            if short:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[word] = found
-        return found
+    def _word(self, word: str) -> tuple[int, ...]:
+        symbols = list(word) if word.isascii() else [self.symbols[b] for b in word.encode()]
+        # No token can leave before the end of a word that fits into one window.
+        tokens = self._window(symbols) if len(symbols) <= self.lookahead else self.stream(symbols)
+        return tuple([self.vocab[t] for t in tokens])
 
-    def _plain(self, text: str) -> list[str]:
+    def _split(self, text: str) -> list[str]:
+        """Normalized words and marks of a text without special tokens."""
         # White space only parts words, so plain ASCII needs no more than lower case.
         text = text.lower() if text.isascii() else self.normalize(text)
-        out: list[str] = []
-        for word in self.split.findall(text):
-            out += self._word(word, self._words)
-        return out
+        if text.isalpha():
+            return [text]
+        if text[:-1].isalpha() and text[-1] in ".,;:!?":
+            return [text[:-1], text[-1]]
+        return self.split.findall(text)
+
+    def _plain(self, text: str) -> list[int]:
+        words = self._words
+        return [i for word in self._split(text) for i in words[word]]
+
+    def _run(self, run: str) -> tuple[str, str]:
+        """Ids and tokens, joined by spaces, of a text without white space or special tokens."""
+        return self._spoken(self._plain(run))
+
+    def _spoken(self, ids: list[int]) -> tuple[str, str]:
+        names = self.names
+        return " ".join(map(str, ids)), " ".join([names[i] for i in ids])
+
+    def joined_runs(self, text: str) -> tuple[str, str]:
+        """Ids and tokens of any text, joined by spaces.
+
+        Nothing that encoding does reaches across white space, so each run is encoded once.
+        """
+        if any(c in text for c in _SEPARATORS) or any(x in text for x in self.special):
+            return self._spoken(self.encode(text))
+        runs = self.runs
+        found = [runs[r] for r in text.split()]
+        return " ".join([f[0] for f in found]), " ".join([f[1] for f in found])
 
-    def tokens(self, text: str) -> list[str]:
-        """Tokens of any text; special tokens are found in the raw text."""
+    def encode(self, text: str) -> list[int]:
+        """Ids of any text; special tokens are found in the raw text."""
         if self.cut is None:
             return self._plain(text)
-        out: list[str] = []
+        out: list[int] = []
         for i, piece in enumerate(self.cut.split(text)):
-            out.extend([piece] if i % 2 else self._plain(piece))
+            out += [self.special[piece]] if i % 2 else self._plain(piece)
         return out
 
-    def encode(self, text: str) -> list[int]:
-        return [self.vocab.get(t, self.special.get(t, -1)) for t in self.tokens(text)]
-
     def joined(self, ids: Iterable[int]) -> str:
         """Text as a library without a decoder gives it: the tokens, joined by spaces."""
         return " ".join(self.names[i] for i in ids)
@@ -249,34 +289,21 @@ def _worker_memory() -> types.ModuleType:
     return sys.modules.setdefault("_shelfcast_bpe_memory", types.ModuleType("_shelfcast_bpe_memory"))
 
 
-def _codec_of(name: str) -> tuple[Codec, dict]:
+def _codec_of(name: str) -> Codec:
     memory = _worker_memory()
     held = getattr(memory, "held", None)
     if held is None or held[0] != name:
         with open(SparkFiles.get(name), encoding="utf-8") as file:
-            held = memory.held = (name, Codec(json.load(file)), {})
-    return held[1], held[2]
-
+            held = memory.held = (name, Codec(json.load(file)))
+    return held[1]
 
-def _pieces(codec: Codec, known: dict, text: str) -> list[tuple[int, str, str]]:
-    """Per run of non-space characters: number of tokens, ids and tokens joined by spaces.
 
-    Nothing that encoding does reaches across white space, so each run is encoded once.
-    """
-    whole = any(c in text for c in _SEPARATORS) or any(s in text for s in codec.special)
-    look = known.get
-    return [look(run) or _encoded(codec, known, run) for run in ([text] if whole else text.split())]
+def _numbers(joined: str) -> np.ndarray:
+    return np.fromstring(joined, np.int32, sep=" ") if joined else np.zeros(0, np.int32)
 
 
-def _encoded(codec: Codec, known: dict, run: str) -> tuple[int, str, str]:
-    tokens = codec.tokens(run)
-    ids = [codec.vocab.get(t, codec.special.get(t, -1)) for t in tokens]
-    found = (len(tokens), " ".join(map(str, ids)), " ".join(tokens))
-    if len(run) <= 64:
-        if len(known) >= REMEMBERED:
-            known.clear()
-        known[run] = found
-    return found
+def _digest(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
 
 
 def ship(spark: SparkSession, path: str) -> str:
@@ -290,11 +317,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
     name = ship(docs.sparkSession, path)
 
     def run(batch):
-        codec, known = _codec_of(name)
-        for key_, text_ in zip(batch.column(0), batch.column(1), strict=True):
-            found = list(_pieces(codec, known, text_.as_py() or ""))
-            ids = [int(i) for f in found for i in f[1].split()]
-            yield {"doc_id": [key_.as_py()], "n_tokens": [len(ids)], "ids": [ids]}
+        codec = _codec_of(name)
+        ids = [_numbers(codec.joined_runs(t.as_py() or "")[0]) for t in batch.column(1)]
+        yield {"doc_id": batch.column(0), "n_tokens": [len(i) for i in ids], "ids": ids}
 
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
     return map_batches(rows, run, "doc_id long, n_tokens long, ids array<int>")
@@ -306,13 +331,13 @@ def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...], text: st
     given = docs.select(docs[text].alias("_text"), *keep)
 
     def run(batch):
-        codec, known = _codec_of(name)
-        counts, ids, digests_ = [], [], []
+        codec = _codec_of(name)
+        ids, digests_ = [], []
         for value in batch.column(0):
-            found = [f for f in _pieces(codec, known, value.as_py() or "") if f[0]]
-            counts.append(sum([f[0] for f in found]))
-            ids.append(np.fromstring(" ".join([f[1] for f in found]), np.int32, sep=" "))
-            digests_.append(hashlib.sha256(" ".join([f[2] for f in found]).encode()).hexdigest())
+            numbers, tokens = codec.joined_runs(value.as_py() or "")
+            ids.append(_numbers(numbers))
+            digests_.append(_digest(tokens))
+        counts = [len(i) for i in ids]
         own = {n: batch.column(i + 1) for i, n in enumerate(keep)}
         yield {**own, "n_tokens": counts, "ids": ids, "decoded_sha256": digests_}
 
@@ -326,7 +351,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     name = ship(encoded.sparkSession, path)
 
     def run(batch):
-        codec, _ = _codec_of(name)
+        codec = _codec_of(name)
         for key_, ids in zip(batch.column(0), batch.column(1), strict=True):
             state = TextDecoder(codec)
             out = "".join(map(state.feed, ids.as_py() or [])) + state.finish()
@@ -340,14 +365,13 @@ def digests(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
     name = ship(docs.sparkSession, path)
 
     def run(batch):
-        codec, known = _codec_of(name)
-        texts = batch.column(1)
+        codec = _codec_of(name)
         counts, ids, decoded = [], [], []
-        for i in range(batch.num_rows):
-            found = list(_pieces(codec, known, texts[i].as_py() or ""))
-            counts.append(sum(f[0] for f in found))
-            ids.append(hashlib.sha256(" ".join([f[1] for f in found if f[0]]).encode()).hexdigest())
-            decoded.append(hashlib.sha256(" ".join([f[2] for f in found if f[0]]).encode()).hexdigest())
+        for value in batch.column(1):
+            numbers, tokens = codec.joined_runs(value.as_py() or "")
+            counts.append(numbers.count(" ") + 1 if numbers else 0)
+            ids.append(_digest(numbers))
+            decoded.append(_digest(tokens))
         yield {"doc_id": batch.column(0), "n_tokens": counts, "ids_sha256": ids, "decoded_sha256": decoded}
 
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))

@@ -211,7 +211,7 @@ class Codec:
         return parts
 
     def _word(self, word: str) -> tuple[int, ...]:
-        symbols = list(word) if word.isascii() else [self.symbols[b] for b in word.encode()]
+        symbols = list(word) if word.isascii() and word.isprintable() else [self.symbols[b] for b in word.encode()]
         # No token can leave before the end of a word that fits into one window.
         tokens = self._window(symbols) if len(symbols) <= self.lookahead else self.stream(symbols)
         return tuple([self.vocab[t] for t in tokens])

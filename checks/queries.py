@@ -16,6 +16,8 @@ from shelfcast.sources.fixtures import RetailInputs
 
 # Dates fitting the given tables, whose sales run from 1995-01 to 2001-11.
 CUT = dt.date(2001, 1, 5)
+# Models are chosen on the year before the cut.
+CHOICE_CUT = dt.date(2000, 1, 7)
 GRID = (dt.date(2001, 1, 5), dt.date(2001, 12, 28))
 TREND_ORIGIN = dt.date(1995, 1, 6)
 HISTORY_CUT = dt.date(1997, 3, 1)
@@ -347,18 +349,18 @@ def future_frame(x: RetailInputs) -> DataFrame:
     )
 
 
-def _gappy(x: RetailInputs) -> DataFrame:
-    return x.sales_base().filter(F.weekofyear("date") % 5 != 0)
+def _regular(x: RetailInputs) -> DataFrame:
+    return series.fill_weekly_gaps(x.sales_base())
 
 
 @query
 def weekly_gap_fill(x: RetailInputs) -> DataFrame:
-    return series.fill_weekly_gaps(_gappy(x))
+    return _regular(x)
 
 
 @query
 def forecastable_series(x: RetailInputs) -> DataFrame:
-    return series.forecastable_series(x.sales_sparse(), cut=HISTORY_CUT)
+    return series.forecastable_series(_regular(x), cut=HISTORY_CUT)
 
 
 @query
@@ -461,10 +463,11 @@ def forecast_direct(x: RetailInputs) -> DataFrame:
 
 @query
 def forecast_recursive(x: RetailInputs) -> DataFrame:
+    """Chooses a model on the weeks before the cut, refits it on all of them, then forecasts."""
     table = _features(x)
-    fitted = models.fit(ALL_MODELS, table, CUT)
-    best = models.best_model(fitted, models.test_rows(table, CUT))
-    return models.forecast_recursive(fitted[best], table, CUT)
+    fitted = models.fit(ALL_MODELS, table, CHOICE_CUT)
+    best = models.best_model(fitted, models.test_rows(table, CHOICE_CUT, until=CUT))
+    return models.forecast_recursive(models.fit([best], table, CUT)[best], table, CUT)
 
 
 @query
@@ -484,7 +487,7 @@ def forecast_recursive_forest(x: RetailInputs) -> DataFrame:
 
 @query
 def forecast_by_series(x: RetailInputs) -> DataFrame:
-    return series_models.forecast_by_series(x.sales_sparse())
+    return series_models.forecast_by_series(x.sales_base())
 
 
 @query

@@ -22,21 +22,28 @@ def _is_numeric(dtype: str) -> bool:
 def highest_sale_per_key(sales: DataFrame, flag: str = "isholiday") -> DataFrame:
     """One row per store, department and date: the one with the highest sales.
 
-    Equal sales keep the set 0/1 flag. Written as hash aggregates, which combine copies
+    Equal sales keep the set 0/1 flag; so do rows of a key without any sales, which stays null. Written as hash aggregates, which combine copies
     of a key before the shuffle, where a ranking window would gather them in one task.
     """
     top, top_flagged = F.max("weekly_sales"), F.max(F.when(F.col(flag) == 1, F.col("weekly_sales")))
+    unsold = F.col("weekly_sales").isNull() & (F.col("any_flag") == 1)
     return (
         sales.groupBy(*SALES_KEY)
-        .agg(top.alias("weekly_sales"), top_flagged.alias("flagged"))
+        .agg(top.alias("weekly_sales"), top_flagged.alias("flagged"), F.max(flag).alias("any_flag"))
         .select(
             *SALES_KEY,
             "weekly_sales",
-            F.when(F.col("flagged") == F.col("weekly_sales"), 1).otherwise(0).alias(flag),
+            F.when((F.col("flagged") == F.col("weekly_sales")) | unsold, 1).otherwise(0).alias(flag),
         )
     )
 
 
+def one_row_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One of the rows of each key as it is: the highest by its other columns, in their order."""
+    others = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.max(F.struct(*others)).alias("row")).select(*keys, "row.*")
+
+
 def keep_complete(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows without nulls in the columns; plain conditions, which reach the scan."""
     return df.filter(reduce(and_, [F.col(c).isNotNull() for c in columns]))
@@ -81,12 +88,17 @@ def as_date(day: dt.date | str | Column) -> Column:
 
 
 def before(df: DataFrame, day: dt.date | str) -> DataFrame:
-    return df.filter(F.col("date") < as_date(day))
+    """Earlier rows; a ``year`` column, by which stored tables are laid out, prunes the scan."""
+    kept = df.filter(F.col("date") < as_date(day))
+    return kept.filter(F.col("year") <= F.year(as_date(day))) if "year" in df.columns else kept
 
 
 def between_days(df: DataFrame, first: dt.date | str, last: dt.date | str) -> DataFrame:
     """Closed date range."""
-    return df.filter(F.col("date").between(as_date(first), as_date(last)))
+    kept = df.filter(F.col("date").between(as_date(first), as_date(last)))
+    if "year" not in df.columns:
+        return kept
+    return kept.filter(F.col("year").between(F.year(as_date(first)), F.year(as_date(last))))
 
 
 def trailing_months(df: DataFrame, cut: dt.date | str, months: int = 24) -> DataFrame:

@@ -106,7 +106,11 @@ def accuracy_by_series(scored: DataFrame, actual: str, predicted: str) -> DataFr
 def backtest_seasonal_naive(
     df: DataFrame, weeks: int = HOLDOUT_WEEKS, value: str = "weekly_sales"
 ) -> DataFrame:
-    """Seasonal naive on the last weeks of each series, scored against the actual values."""
+    """Seasonal naive on the last observed weeks of each regular series.
+
+    Filled weeks carry the season forward but are never scored.
+    """
     season_ago = F.lag(value, SEASON_WEEKS).over(by_date())
-    scored = mark_holdout(df.withColumn("predicted", season_ago), weeks).filter(F.col("is_test") == 1)
+    observed = df.withColumn("predicted", season_ago).filter(F.col("is_filled") == 0)
+    scored = mark_holdout(observed, weeks).filter(F.col("is_test") == 1)
     return accuracy_by_series(scored, value, "predicted")

@@ -11,6 +11,7 @@ from shelfcast.operators.cleaning import (
     fill_by_type,
     highest_sale_per_key,
     keep_complete,
+    one_row_per_key,
 )
 from shelfcast.operators.scaling import standardize
 from shelfcast.operators.series import model_lags
@@ -42,12 +43,14 @@ def retail_features(sales: DataFrame, features: DataFrame, stores: DataFrame) ->
     """Feature table, one row per store, department and date.
 
     The order matters: lags before scaling before filling, so a first week has lag 0 and a
-    missing indicator takes the scaled value 0. Sales themselves stay null where missing.
+    missing indicator takes the scaled value 0. Sales themselves stay null where missing, and
+    the row keeps its place in the lags. Repeated features of a store and date count once.
     """
     flagged = sales.withColumn("isholidayencoded", holiday_flag("isholiday"))
-    known = keep_complete(flagged, [*SALES_KEY, "weekly_sales"])
+    known = keep_complete(flagged, SALES_KEY)
     lagged = model_lags(highest_sale_per_key(known, "isholidayencoded"))
-    scaled = standardize(with_conditions(lagged, features), ECONOMY)
+    conditions = one_row_per_key(features, ["store", "date"])
+    scaled = standardize(with_conditions(lagged, conditions), ECONOMY)
     fields = calendar("date")
     joined = total_markdown(scaled.join(stores, "store", "left")).withColumns(
         {

@@ -78,7 +78,8 @@ def fit(names: list[str], features: DataFrame, cut: dt.date | str) -> dict[str,
     """
     filler = Imputer(inputCols=CONDITIONS, outputCols=CONDITIONS, strategy="mean")
     assembler = VectorAssembler(inputCols=INPUTS, outputCol="inputs")
-    with kept(model_inputs(before(features, cut))) as train:
+    known_sales = before(features, cut).filter(F.col(LABEL).isNotNull())
+    with kept(model_inputs(known_sales)) as train:
         filled = filler.fit(train)
         ready = assembler.transform(filled.transform(train)).select(LABEL, "inputs")
         known = estimators()

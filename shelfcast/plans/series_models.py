@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -74,27 +76,36 @@ def forecast_by_series(
     )
 
 
-def backtest_by_series(sales: DataFrame, weeks: int = HOLDOUT_WEEKS) -> DataFrame:
-    """RMSE and MAPE per series of the model fitted without the last weeks."""
+def backtest_by_series(
+    sales: DataFrame, weeks: int = HOLDOUT_WEEKS, method: Callable[..., np.ndarray] = forecast
+) -> DataFrame:
+    """RMSE and MAPE per series of a method fitted without the last observed weeks.
+
+    ``method(values, horizon)`` gives the forecast; filled weeks are forecast but not scored.
+    """
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("date")
-        if len(rows) <= HOLDOUT_MIN_POINTS:
+        rows = rows.sort_values("date").reset_index(drop=True)
+        observed = rows.index[rows["is_filled"] == 0]
+        if len(observed) <= HOLDOUT_MIN_POINTS:
             return pd.DataFrame(columns=["store", "dept", "date", "actual", "predicted"])
-        train, test = rows.iloc[:-weeks], rows.iloc[-weeks:]
+        first = observed[-weeks]
+        train, test = rows.iloc[:first], rows.iloc[first:]
+        predicted = pd.Series(method(train["weekly_sales"].to_numpy(), len(test)), index=test.index)
+        scored = test[test["is_filled"] == 0]
         return pd.DataFrame(
             {
-                "store": test["store"],
-                "dept": test["dept"],
-                "date": test["date"],
-                "actual": test["weekly_sales"],
-                "predicted": forecast(train["weekly_sales"].to_numpy(), weeks),
+                "store": scored["store"],
+                "dept": scored["dept"],
+                "date": scored["date"],
+                "actual": scored["weekly_sales"],
+                "predicted": predicted[scored.index],
             }
         )
 
     scored = (
         fill_weekly_gaps(spread(sales, *SERIES))
-        .select(*SERIES, "date", "weekly_sales")
+        .select(*SERIES, "date", "weekly_sales", "is_filled")
         .groupBy(*SERIES)
         .applyInPandas(one, _SCORED)
     )

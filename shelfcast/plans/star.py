@@ -17,7 +17,12 @@ from shelfcast.functions.columns import (
     per_unit,
     percent_change,
 )
-from shelfcast.operators.cleaning import SALES_KEY, highest_sale_per_key, keep_complete
+from shelfcast.operators.cleaning import (
+    SALES_KEY,
+    highest_sale_per_key,
+    keep_complete,
+    one_row_per_key,
+)
 
 CONDITIONS = ["temperature", "fuel_price", "cpi", "unemployment"]
 
@@ -54,10 +59,8 @@ def _typed_features(features: DataFrame) -> DataFrame:
 
 
 def stg_features(features: DataFrame) -> DataFrame:
-    """One row per store and date; rows of a key repeat the same conditions."""
-    return _typed_features(features).groupBy("store", "date").agg(
-        *[F.max(c).alias(c) for c in CONDITIONS]
-    )
+    """One row per store and date; of rows that differ, one stays as it is."""
+    return one_row_per_key(_typed_features(features), ["store", "date"])
 
 
 def stg_features_literal(features: DataFrame) -> DataFrame:

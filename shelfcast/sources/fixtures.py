@@ -80,16 +80,6 @@ class RetailInputs:
         rows = F.when(doubled, F.array(own, half)).otherwise(F.array(own))
         return self.sales_base().select("store", "dept", "date", F.inline(rows))
 
-    def sales_sparse(self) -> DataFrame:
-        """Series that are too short (every fifth store) or mostly zero (department 4)."""
-        kept = (F.col("store") % 5 != 0) | (F.col("date") < F.lit("1995-06-01").cast("date"))
-        zero = (F.col("dept") == 4) & (F.weekofyear("date") % 3 != 0)
-        return (
-            self.sales_base()
-            .filter(kept)
-            .withColumn("weekly_sales", F.when(zero, 0.0).otherwise(F.col("weekly_sales")))
-        )
-
     def features(self) -> DataFrame:
         """One row per store and week; a markdown is null without orders of its priority."""
         price = F.col("o_totalprice").cast(MONEY)

@@ -136,3 +136,18 @@ def test_exact_sum_and_week(spark):
     days = [dt.date(2010, 2, d) for d in range(1, 9)]
     rows = spark.createDataFrame([(d,) for d in days], "d date").select(week_friday("d"))
     assert [r[0].day for r in rows.collect()] == [5] * 7 + [12]
+
+
+def test_one_row_per_key_keeps_a_real_row(spark):
+    df = spark.createDataFrame([(1, 1, 9, 1, 9), (1, 1, 1, 9, 1)], "store int, date int, a int, b int, c int")
+    assert [tuple(r) for r in cleaning.one_row_per_key(df, ["store", "date"]).collect()] == [(1, 1, 9, 1, 9)]
+
+
+def test_a_year_column_prunes_the_scan(spark, tmp_path):
+    rows = [(dt.date(y, 6, 1), y, 1.0) for y in (2009, 2010, 2011)]
+    path = str(tmp_path / "by_year")
+    spark.createDataFrame(rows, "date date, year int, v double").write.partitionBy("year").parquet(path)
+    kept = cleaning.before(spark.read.parquet(path), "2011-01-01")
+    assert sorted(r["year"] for r in kept.collect()) == [2009, 2010]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "year" in plan.split("PartitionFilters")[1][:80]

@@ -199,3 +199,21 @@ def test_gap_fill_and_group_share_one_shuffle(weekly):
     df = weekly({(1, 1): range(60)})
     plan = series_models.forecast_by_series(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_backtest_scores_observed_weeks_only(spark, weekly):
+    """A gap inside the last weeks moves the hold-out back; filled weeks are never scored."""
+    values = [float(v) for v in range(100, 180)]
+    gap = [i for i in range(len(values)) if not 68 <= i < 76]
+    whole = weekly({(1, 1): values})
+    first = whole.agg(F.min("date")).first()[0]
+    df = whole.filter((F.datediff("date", F.lit(first)) / 7).isin(gap))
+    regular = series.fill_weekly_gaps(df)
+    got = baselines.backtest_seasonal_naive(regular).collect()[0]
+    # The last 13 observed weeks, each 52 above the value a year before.
+    assert got["rmse"] == pytest.approx(52.0)
+    naive = series_models.backtest_by_series(df, method=lambda y, h: np.full(h, y[-1])).collect()[0]
+    held = [i for i in gap][-13:]
+    last = values[held[0] - 1]
+    expected = (sum((values[i] - last) ** 2 for i in held) / 13) ** 0.5
+    assert naive["rmse"] == pytest.approx(expected)

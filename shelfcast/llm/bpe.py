@@ -79,7 +79,7 @@ class Memory(dict):
 class Codec:
     """One vocabulary: ids of byte-level symbols, merges in order of rank, special tokens."""
 
-    def __init__(self, spec: dict):
+    def __init__(self, spec: dict, words: int = WORDS, runs: int = RUNS):
         model = spec["model"]
         self.end = model.get("end_of_word_suffix") or ""
         self.vocab: dict[str, int] = dict(model["vocab"])
@@ -95,8 +95,8 @@ class Codec:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.lookahead = max(map(self._size, self.vocab), default=1)
         self._agree: dict[tuple[str, str], bool] = {}
-        self._words = Memory(WORDS, self._word)
-        self.runs = Memory(RUNS, self._run)
+        self._words = Memory(words, self._word)
+        self.runs = Memory(runs, self._run)
 
     def _size(self, token: str) -> int:
         return len(token) - len(self.end) if self.end and token.endswith(self.end) and token != self.end else len(token)
@@ -293,11 +293,15 @@ def _codec_of(name: str) -> Codec:
     memory = _worker_memory()
     held = getattr(memory, "held", None)
     if held is None or held[0] != name:
-        with open(SparkFiles.get(name), encoding="utf-8") as file:
-            held = memory.held = (name, Codec(json.load(file)))
+        held = memory.held = (name, _load(name))
     return held[1]
 
 
+def _load(name: str, **sizes: int) -> Codec:
+    with open(SparkFiles.get(name), encoding="utf-8") as file:
+        return Codec(json.load(file), **sizes)
+
+
 def _numbers(joined: str) -> np.ndarray:
     return np.fromstring(joined, np.int32, sep=" ") if joined else np.zeros(0, np.int32)
 
@@ -325,13 +329,21 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
     return map_batches(rows, run, "doc_id long, n_tokens long, ids array<int>")
 
 
-def encode_documents(docs: DataFrame, path: str, keep: tuple[str, ...], text: str = "text") -> DataFrame:
-    """Columns ``keep``, token ids, their number and the digest of the text decoded from them."""
+def encode_documents(
+    docs: DataFrame, path: str, keep: tuple[str, ...], text: str = "text", words: int = 100_000, runs: int = 50_000,
+) -> DataFrame:
+    """Columns ``keep``, token ids, their number and the digest of the text decoded from them.
+
+    What a task remembers goes with the task, so workers that do other work next keep nothing.
+    """
     name = ship(docs.sparkSession, path)
     given = docs.select(docs[text].alias("_text"), *keep)
+    held: list[Codec] = []
 
     def run(batch):
-        codec = _codec_of(name)
+        if not held:
+            held.append(_load(name, words=words, runs=runs))
+        codec = held[0]
         ids, digests_ = [], []
         for value in batch.column(0):
             numbers, tokens = codec.joined_runs(value.as_py() or "")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.operators.series import sales_lags
-from shelfcast.plans import features
+from shelfcast.plans import features, star
 from shelfcast.sources import schemas, tables
 
 
@@ -52,7 +52,9 @@ def test_dates_are_parsed_before_the_join(spark, folder):
     assert rows[dt.date(2010, 2, 12)]["temperature"] == 38.5
     assert rows[dt.date(2010, 2, 12)]["isholidayencoded"] == 1
     assert rows[dt.date(2010, 2, 12)]["weekly_sales_lag1"] == 100.5
-    assert len(rows) == 2  # the row without sales is dropped, not filled
+    # The row without sales stays and is not filled; staging drops it.
+    assert len(rows) == 3 and rows[dt.date(2010, 2, 19)]["weekly_sales"] is None
+    assert star.stg_sales(table).count() == 2
 
 
 def test_write_overwrites_appends_and_partitions(spark, tmp_path):

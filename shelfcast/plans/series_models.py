@@ -35,8 +35,15 @@ def _usable(y: pd.Series) -> bool:
     return len(y) >= MIN_POINTS and (y == 0).sum() <= MAX_ZERO_SHARE * len(y)
 
 
-def _future_fridays(last: dt.date, horizon: int) -> list[dt.date]:
-    return [last + dt.timedelta(weeks=h) for h in range(1, horizon + 1)]
+def _weeks_until(last: dt.date, origin: dt.date | None) -> int:
+    """Weeks between the week after ``last`` and the first Friday from the origin on."""
+    if origin is None:
+        return 0
+    return max(0, -(-(origin - last).days // 7) - 1)
+
+
+def _future_fridays(last: dt.date, skipped: int, horizon: int) -> list[dt.date]:
+    return [last + dt.timedelta(weeks=skipped + h) for h in range(1, horizon + 1)]
 
 
 def forecast_by_series(
@@ -44,9 +51,13 @@ def forecast_by_series(
     horizon: int = 122,
     cut: dt.date | str | None = None,
     months: int = 24,
+    origin: dt.date | None = None,
 ) -> DataFrame:
     """Weekly forecasts from the week after the last date of each usable series.
 
+    With an ``origin`` every series forecasts the Fridays from that date on, as many weeks ahead
+    of its own end as that takes. A series that ends later starts after its end.
+
     Series that are too short or mostly zero give no rows. Sales hold one row per series
     and date, so a group is at most the weeks of the calendar; the window that fills the
     gaps and the grouping share one shuffle.
@@ -60,12 +71,14 @@ def forecast_by_series(
         y = rows["weekly_sales"]
         if not _usable(y):
             return pd.DataFrame(columns=PREDICTIONS.names)
+        last = rows["date"].iloc[-1]
+        skipped = _weeks_until(last, origin)
         return pd.DataFrame(
             {
                 "store": rows["store"].iloc[0],
                 "dept": rows["dept"].iloc[0],
-                "date": _future_fridays(rows["date"].iloc[-1], horizon),
-                "predicted_weekly_sales": forecast(y.to_numpy(), horizon),
+                "date": _future_fridays(last, skipped, horizon),
+                "predicted_weekly_sales": forecast(y.to_numpy(), skipped + horizon)[skipped:],
             }
         )
 

@@ -1,9 +1,12 @@
-"""Session settings and the shared folder used to cut lineage."""
+"""Session settings, and the shared folder for tables that several jobs need."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,7 +35,7 @@ def local_session(cores: int | str = "*", app: str = "shelfcast", **conf) -> Spa
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Folder for ``checkpoint()``: the cluster's own, a temporary one only on ``local``."""
+    """Folder that all executors share: the cluster's own, a temporary one only on ``local``."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
@@ -46,10 +49,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+# Where this application, or the run within it, keeps its tables.
+_RUN: ContextVar[str] = ContextVar("run", default="shared")
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/shelfcast-{spark.sparkContext.applicationId}"
+
+
+def _hadoop_path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder for a table that several jobs need."""
+    return f"{_scratch_root(spark)}/{_RUN.get()}/{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession, run: str | None = None) -> None:
+    """Removes the tables that this application stored, or those of one run."""
+    root = _scratch_root(spark)
+    files, path = _hadoop_path(spark, root if run is None else f"{root}/{run}")
+    files.delete(path, True)
+    if run is None:
+        _SHARED.clear()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are removed at the end, when the results have been written."""
+    run = uuid.uuid4().hex
+    token = _RUN.set(run)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        clear_scratch(spark, run)
 
 
 def stored_once(df: DataFrame) -> DataFrame:
@@ -58,6 +94,23 @@ def stored_once(df: DataFrame) -> DataFrame:
     Later jobs prune its columns and survive lost executors without computing it again.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHARED: dict[tuple[str, ...], DataFrame] = {}
+
+
+def shared(name: str, folder: str, spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table that several queries of an application derive from one folder, written once.
+
+    The version of the folder is part of its key, so changed inputs are derived again.
+    """
+    files, path = _hadoop_path(spark, folder)
+    newest = max((s.getModificationTime() for s in files.listStatus(path)), default=0)
+    version = f"{files.getContentSummary(path).getLength()}-{newest}"
+    key = (spark.sparkContext.applicationId, name, folder, version)
+    if key not in _SHARED:
+        _SHARED[key] = stored_once(make())
+    return _SHARED[key]

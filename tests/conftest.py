@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from shelfcast.session import local_session
+from shelfcast.session import clear_scratch, local_session
 from shelfcast.sources.fixtures import RetailInputs
 
 FOLDER = "/root/testdata/sf0.001"
@@ -12,6 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 def spark():
     session = local_session(8, app="tests")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 
 import pytest
 
@@ -67,12 +68,40 @@ def test_bulk_forecast(layers):
     assert forecast.count() == 4 * 5
 
 
+def test_bulk_forecast_takes_known_conditions(layers):
+    """Conditions replace the held ones where given, so only those weeks change."""
+    weeks = [CUT + dt.timedelta(weeks=i) for i in range(3)]
+    given = layers.spark.createDataFrame([(1, weeks[1], 1000.0)], "store int, date date, temperature double")
+    args = {"cut": CUT, "last": weeks[2], "name": "linear_regression"}
+
+    def forecast(**more):
+        rows = jobs.forecast_bulk(layers, **args, **more).collect()
+        return {(r["store"], r["dept"], r["date"]): r["predicted_weekly_sales"] for r in rows}
+
+    plain, changed = forecast(), forecast(conditions=given)
+    assert plain.keys() == changed.keys()
+    differ = {k for k in plain if abs(plain[k] - changed[k]) > 1e-9}
+    assert differ == {(1, dept, weeks[1]) for dept in (1, 2)}
+
+
+def test_origin_dates_every_series_alike(layers):
+    origin = CUT + dt.timedelta(weeks=4, days=2)
+    forecast, _ = jobs.forecast_each_series(layers, FIRST, CUT, horizon=3, origin=origin)
+    first = CUT + dt.timedelta(weeks=5)
+    assert {r["date"] for r in forecast.select("date").collect()} == {first + dt.timedelta(weeks=i) for i in range(3)}
+
+
 def test_each_series_appends_its_evaluation(layers):
+    before = jobs.series_models.backtest_by_series(layers.read("staging", "retail_features")).count()
+    target = layers.target("analytics", "arima_eval_results")
+    earlier = layers.spark.read.parquet(target).count() if os.path.isdir(target) else 0
     for runs in (1, 2):
         forecast, evaluation = jobs.forecast_each_series(layers, FIRST, CUT, horizon=6)
         assert forecast.count() == 4 * 6
-        assert evaluation.count() == 4 * runs
-    assert evaluation.filter("rmse < 60 and mape < 0.1").count() == 8
+        assert evaluation.count() == earlier + before * runs == earlier + 4 * runs
+    assert evaluation.filter("rmse < 60 and mape < 0.1").count() == earlier + 8
+    assert layers.rows["analytics.predicted_weekly_sales_arima"] == 4 * 6
+    assert layers.read("analytics", "off_grid_rows").filter("off_grid_rows = 0").count() == 4
 
 
 def test_star_is_built_and_sound(layers):
@@ -84,7 +113,16 @@ def test_star_is_built_and_sound(layers):
     assert built["dim_date"].count() == WEEKS
     assert built["kpi_prediction_accuracy"].filter("poor_predictions > 0").count() == 0
     failures = jobs.check_star(built).collect()
-    assert len(failures) == 10 and all(r["failures"] == 0 for r in failures)
+    assert len(failures) == 11 and all(r["failures"] == 0 for r in failures)
+
+
+def test_repeated_predictions_fail_the_fact_key(layers):
+    past = layers.read("staging", "retail_features").selectExpr(
+        "store", "dept", "date", "weekly_sales as predicted_weekly_sales"
+    )
+    built = jobs.build_star(layers, past.unionByName(past.filter("store = 1 and dept = 1")))
+    failures = {(r["model"], r["column_name"]): r["failures"] for r in jobs.check_star(built).collect()}
+    assert failures["fct_sales_analytics", "store,dept,date"] == WEEKS
 
 
 def test_catalog_layers(spark):

@@ -1,14 +1,17 @@
 import datetime as dt
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from checks.queries import CUT, GRID
 from shelfcast.plans import features, models
-from shelfcast.session import ensure_checkpoint_dir, stored_once
+from shelfcast.session import ensure_checkpoint_dir, scratch, scratch_path, shared, stored_once
 
 
 @pytest.fixture(scope="module")
@@ -57,9 +60,8 @@ def test_linear_recursion_equals_the_stepwise_one(table, fitted, every):
     """The single expression and the batches of steps are the same recursion."""
     filled, assembler, predictor = fitted["linear_regression"].stages
     start = models._start(filled, table, CUT)
-    stepwise = models._unroll(
-        models._batch_steps(PipelineModel([assembler, predictor]), start, 7, every)
-    ).withColumnRenamed("predicted_weekly_sales", "p")
+    stepwise = models._batch_steps(PipelineModel([assembler, predictor]), start, 7, every)
+    stepwise = stepwise.withColumnRenamed("predicted_weekly_sales", "p")
     single = models.forecast_recursive(fitted["linear_regression"], table, CUT, horizon=7)
     joined = single.join(stepwise, ["store", "dept", "date"], "full")
     off = F.abs(F.col("p") - F.col("predicted_weekly_sales"))
@@ -90,7 +92,8 @@ def test_identity_recursion_is_constant_and_starts_from_the_last_sales(spark, we
     from shelfcast.plans.baselines import recent_values
 
     state = recent_values(df, 4, also=models.HELD).withColumn("path", F.array().cast("array<double>"))
-    rows = models._unroll(models._batch_steps(_Echo(), state, 5, 2)).collect()
+    rows = models._batch_steps(_Echo(), state, 5, 2).collect()
+    assert len(rows) == 10
     assert {(r["dept"], r["predicted_weekly_sales"]) for r in rows} == {(1, 9.0), (2, 4.0)}
 
 
@@ -107,8 +110,7 @@ def test_recursion_shifts_lags_and_means_the_last_four(spark, weekly):
     from shelfcast.plans.baselines import recent_values
 
     state = recent_values(df, 4, also=models.HELD).withColumn("path", F.array().cast("array<double>"))
-    got = [r["predicted_weekly_sales"] for r in models._unroll(
-        models._batch_steps(Probe(), state, 4, 10)).orderBy("date").collect()]
+    got = [r["predicted_weekly_sales"] for r in models._batch_steps(Probe(), state, 4, 3).orderBy("date").collect()]
     y = [1.0, 2.0, 3.0, 4.0, 5.0]
     for _ in range(4):
         y.append(sum(y[-4:]) / 4 + 10 * y[-3])
@@ -174,3 +176,62 @@ def test_linear_model_is_least_squares(table, fitted):
     line = x @ np.append(predictor.coefficients.toArray(), predictor.intercept)
     best = x @ beta
     assert ((y - line) ** 2).sum() <= ((y - best) ** 2).sum() * 1.001
+
+
+def test_tree_recursion_equals_a_plain_loop(table, fitted):
+    """Three series against a loop over the fitted forest, a week at a time."""
+    filled, _, forest = fitted["random_forest"].stages
+    horizon = 6
+    forecast = models.forecast_recursive(fitted["random_forest"], table, CUT, horizon, every=4)
+    state = models._start(filled, table, CUT).orderBy("store", "dept").limit(3).toPandas()
+    for _, row in state.iterrows():
+        recent, expected = list(row["recent"]), []
+        for step in range(1, horizon + 1):
+            day = row["last_date"] + dt.timedelta(weeks=step)
+            lags = [recent[i] if i < len(recent) else 0.0 for i in range(3)]
+            known = {
+                "store": row["store"], "dept": row["dept"], **row[models.HELD],
+                "week": day.isocalendar().week, "month": day.month, "year": day.year,
+                "weekly_sales_lag1": lags[0], "weekly_sales_lag2": lags[1], "weekly_sales_lag3": lags[2],
+                "weekly_sales_rolling4": sum(recent) / len(recent),
+            }
+            value = forest.predict(Vectors.dense([float(known[c]) for c in models.INPUTS]))
+            expected.append((day, value))
+            recent = [value, *recent][:4]
+        of_series = (F.col("store") == int(row["store"])) & (F.col("dept") == int(row["dept"]))
+        got = [(r["date"], r["predicted_weekly_sales"]) for r in forecast.filter(of_series).orderBy("date").collect()]
+        assert [d for d, _ in got] == [d for d, _ in expected]
+        assert [v for _, v in got] == pytest.approx([v for _, v in expected])
+
+
+def test_comparison_equals_the_evaluator(table, fitted):
+    """Both measures of both models against the library's evaluator, in one scan of the rows."""
+    test = models.test_rows(table, CUT).filter("weekly_sales is not null")
+    scores = models.compare(fitted, test)
+    for row in scores.collect():
+        scored = fitted[row["model"]].transform(test)
+        for measure in ("rmse", "r2"):
+            evaluator = RegressionEvaluator(labelCol="weekly_sales", metricName=measure)
+            assert row[measure] == pytest.approx(evaluator.evaluate(scored))
+    assert scores._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+
+
+def test_stored_tables_are_shared_and_removed(spark, tmp_path):
+    with scratch(spark):
+        path = Path(scratch_path(spark).removeprefix("file:")).parent
+        kept = stored_once(spark.range(5))
+        assert kept.count() == 5 and path.is_dir()
+    assert not path.exists()
+    (tmp_path / "a").write_text("1")
+    made = []
+
+    def make():
+        made.append(1)
+        return spark.range(3)
+
+    for _ in range(2):
+        assert shared("three", str(tmp_path), spark, make).count() == 3
+    assert len(made) == 1
+    (tmp_path / "b").write_text("22")
+    shared("three", str(tmp_path), spark, make)
+    assert len(made) == 2

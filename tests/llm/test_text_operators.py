@@ -247,6 +247,24 @@ def test_base_spans_equal_the_patterns():
 def test_long_runs_take_linear_time():
     assert pii.base_spans("7" * 100_000) == []
     assert pii.base_spans("a@" * 20_000) == []
+    # A long word without digits is read once, not once per character.
+    assert pii.candidates("a" * 1_000_000 + " \n") == []
+    assert ("ip", 1_000_001, 1_000_008) in pii.candidates("a" * 1_000_000 + " 1.2.3.4")
+
+
+def test_taken_ranges_meet_as_in_a_plain_scan():
+    rng = random.Random(11)
+    for _ in range(300):
+        given = [("ip", a, a + rng.randint(1, 9)) for a in (rng.randint(0, 60) for _ in range(rng.randint(0, 8)))]
+        taken, kept = pii._Taken(given), [(a, b) for _, a, b in given]
+        for _ in range(20):
+            a = rng.randint(0, 60)
+            b = a + rng.randint(1, 6)
+            met = any(a < y and b > x for x, y in kept)
+            assert taken.meets(a, b) == met
+            if not met:
+                taken.add(a, b)
+                kept.append((a, b))
 
 
 def test_redaction_covers_base_and_secrets(spark, odd, nothing):

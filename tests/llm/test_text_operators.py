@@ -278,6 +278,28 @@ def test_redaction_covers_base_and_secrets(spark, odd, nothing):
     assert pii.redact(nothing, pii.fit(nothing)).count() == 0
 
 
+def test_long_secrets_go_whole(spark):
+    rng = random.Random(13)
+    word = lambda n: "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGH0123456789") for _ in range(n))
+    plain = [(i, f"more words see page{i} of book{i} and password={word(18)} plain words follow here") for i in range(60)]
+    model = pii.fit(spark.createDataFrame(plain, "doc_id long, text string"))
+    secret = word(400)
+    for given in (secret, f'"{secret}"', f"'{secret}'"):
+        text = f"first words token={given} last words"
+        start = text.index("token")
+        span = ("secret", start, start + len(f"token={given}"))
+        assert span in pii.candidates(text) and pii.weak_label(text, span, set()) == 1
+        assert pii.masked(text, pii.find(text, model)[1]) == "first words [SECRET] last words"
+    # Words of any length are proposed whole, and so are assignments inside a long address.
+    link = f"https://host.example/{word(300)}?token={secret}"
+    text = f"first words {link} last words"
+    found = pii.candidates(text)
+    assert ("secret", 12, 12 + len(link)) in found and ("secret", text.index("token"), 12 + len(link)) in found
+    assert ("secret", 0, 90) in pii.candidates("A1" * 45 + " last words")
+    for many in ("a1=", 'a1="', "token=", "token: '", "a.", "x=token="):
+        pii.candidates(many * 60_000)
+
+
 # ------------------------------------------------------------------------------------- mixing
 
 

@@ -9,7 +9,9 @@ the symbols from its first window's start to its last window's end.
 Hence two windows can only be equal if their anchors' grams are: a gram that occurs once settles
 all its windows, and one whose occurrences all have the same piece is settled by counting. Only
 grams with several different pieces need their text compared (``exchange``), a small part of a
-corpus. All steps key on content, so hot grams collapse in each task before they are shuffled.
+corpus. All steps key on content, so hot grams collapse in each task before they are shuffled. A
+gram with more occurrences than a shard takes is not sent to one: its windows are (``by_windows``),
+each under its own hash, so a passage in very many documents spreads over all tasks.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm import blocks
@@ -151,7 +153,7 @@ def repeated_grams(rows: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def hits(rows: DataFrame, scheme: Scheme, grams: DataFrame) -> DataFrame:
-    """Per document and repeated gram its pieces, each once."""
+    """Per document and repeated gram its pieces, each once; ``n`` counts the gram's occurrences."""
 
     def occurrences(batch: pa.RecordBatch) -> Iterator[dict]:
         ids = _ids(batch.column(0))
@@ -168,7 +170,7 @@ def hits(rows: DataFrame, scheme: Scheme, grams: DataFrame) -> DataFrame:
             }
 
     found = map_batches(rows, occurrences, "gram long, piece long, doc long")
-    return found.join(grams, "gram").select("doc", "gram", "piece", "single", "first_doc")
+    return found.join(grams, "gram").select("doc", "gram", "piece", "n", "single", "first_doc")
 
 
 _HITS = "array<struct<gram:long,piece:long>>"
@@ -207,10 +209,77 @@ def pieces(rows: DataFrame, scheme: Scheme, multiple: DataFrame, pack, shards: i
     return map_batches(rows.join(wanted, "doc_id"), send, schema)
 
 
-def shard_count(grams: DataFrame, least: int, size: int) -> int:
-    """Shards of about ``size`` occurrences of grams with several pieces."""
-    n = grams.where(~F.col("single")).agg(F.sum("n")).first()[0] or 0
-    return max(least, -(-n // size))
+def shard_count(grams: DataFrame, least: int, size: int) -> tuple[int, bool]:
+    """Shards of about ``size`` occurrences of grams with several pieces; whether a gram exceeds one."""
+    fits = F.col("n") <= size
+    several = grams.where(~F.col("single"))
+    n, larger = several.agg(F.sum(F.when(fits, F.col("n"))), F.count(F.when(~fits, True))).first()
+    return max(least, -(-(n or 0) // size)), larger > 0
+
+
+def _pack_windows(scheme: Scheme) -> Callable:
+    """Packs a block's distinct pieces, each at its first occurrence, with the hashes of its windows."""
+
+    def pack(taken, shards: int) -> Iterator[dict]:
+        for found, chosen, ids, data in taken:
+            if not len(chosen):
+                continue
+            values = found.values if scheme.keeps_values else scheme.symbols(data, found.bounds)[0]
+            keys = pair_keys(found.gram[chosen], found.piece[chosen])
+            at = found.first[chosen] - found.bounds[found.doc[chosen]]
+            order = np.lexsort((at, ids, keys))
+            begin = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
+            one = order[begin]
+            first = found.first[chosen[one]]
+            size = found.last[chosen[one]] - first + 1
+            ends = np.cumsum(size)
+            starts = np.repeat(first - ends + size, size) + np.arange(ends[-1])
+            windows = blocks.Prefix(values).hash(starts, starts + scheme.width)
+            yield {
+                "gram": _signed(found.gram[chosen[one]]),
+                "piece": _signed(found.piece[chosen[one]]),
+                "n": np.diff(np.append(begin, len(keys))),
+                "doc": ids[one],
+                "at": at[one],
+                # Signed numbers in the order of the unsigned keys.
+                "tie": _signed(keys[one] ^ np.uint64(1 << 63)),
+                "windows": pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), _signed(windows)),
+            }
+
+    return pack
+
+
+_WINDOWS = "gram long, piece long, n long, doc long, at long, tie long, windows array<long>"
+
+
+def by_windows(rows: DataFrame, scheme: Scheme, multiple: DataFrame, seen: Column, goes: Column) -> DataFrame:
+    """Settles the pieces of ``multiple`` with every window under its own key, whatever its gram.
+
+    ``seen`` aggregates the equal windows of distinct pieces, with columns ``n`` (occurrences of the
+    piece) and ``start`` (its first occurrence); ``goes`` tells from it which windows are in the ranges.
+    """
+    packed = pieces(rows, scheme, multiple, _pack_windows(scheme), 0, _WINDOWS)
+    distinct = stored(
+        packed.groupBy("gram", "piece").agg(
+            F.sum("n").alias("n"), F.min(F.struct("doc", "at", "tie")).alias("start"), F.first("windows").alias("windows")
+        )
+    )
+    each = distinct.select("gram", "piece", "n", "start", F.posexplode("windows").alias("place", "window"))
+    equal = each.groupBy("gram", "window").agg(seen.alias("seen"))
+    gone = each.join(equal, ["gram", "window"]).where(goes).groupBy("gram", "piece")
+    places = distinct.select("gram", "piece", F.col("start.doc").alias("first_doc")).join(
+        gone.agg(F.collect_list("place").alias("places")), ["gram", "piece"], "left"
+    )
+
+    def as_ranges(batch: pa.RecordBatch) -> Iterator[dict]:
+        ranges = []
+        for listed in batch.column(3):
+            flags = np.zeros(scheme.width, bool)
+            flags[listed.as_py() or []] = True
+            ranges.append(to_ranges(flags))
+        yield {"gram": batch.column(0), "piece": batch.column(1), "first_doc": batch.column(2), "ranges": ranges}
+
+    return map_batches(places, as_ranges, "gram long, piece long, first_doc long, ranges array<int>")
 
 
 def settle(
@@ -225,7 +294,7 @@ def settle(
     rows = keyed(docs, text, key)
     grams = stored(repeated_grams(rows, scheme))
     found = stored(hits(rows, scheme, grams))
-    multiple = found.where(~F.col("single")).select("doc", "gram", "piece")
+    multiple = found.where(~F.col("single")).select("doc", "gram", "piece", "n")
     resolved = resolve(rows, multiple, grams)
     empty = F.array().cast("array<int>")
     settled = (

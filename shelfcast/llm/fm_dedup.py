@@ -9,7 +9,8 @@ pieces, in the order of their first occurrence, as an FM-index: the Burrows-Whee
 wavelet matrix of packed bits with block counts. The pieces stream through it: backward search
 extends every window to the left, one word a step, and drops a window once nothing but itself
 matches. What reaches the full width has a matching statistic above the threshold; the interval's
-first piece tells whether the match starts earlier.
+first piece tells whether the match starts earlier. A gram with more occurrences than a shard is
+settled by the first piece of each group of equal windows instead.
 
 Defined results: a null or empty text has no words; documents of fewer than ``WIDTH`` words keep
 all; rows with one id and one text are the same occurrence, neither earlier; a null id sorts before
@@ -30,7 +31,7 @@ from shelfcast.llm import anchors, blocks
 from shelfcast.llm.tables import shuffle_width, stored
 
 WIDTH, GRAM = 20, 6
-#: Occurrences per shard of pieces, about.
+#: Occurrences per shard of pieces, about, and the most of one gram.
 SHARD = 60_000
 
 _PACKED = (
@@ -206,9 +207,14 @@ SCHEME = anchors.Scheme(anchors.word_symbols, WIDTH, GRAM)
 
 
 def _resolve(rows: DataFrame, multiple: DataFrame, grams: DataFrame) -> DataFrame:
-    shards = anchors.shard_count(grams, shuffle_width(rows), SHARD)
-    packed = anchors.pieces(rows, SCHEME, multiple, _pack, shards, _PACKED)
-    return stored(packed.groupBy("shard").applyInArrow(lambda t: _search_shard(t), _RESOLVED))
+    shards, larger = anchors.shard_count(grams, shuffle_width(rows), SHARD)
+    packed = anchors.pieces(rows, SCHEME, multiple.where(F.col("n") <= SHARD), _pack, shards, _PACKED)
+    resolved = packed.groupBy("shard").applyInArrow(lambda t: _search_shard(t), _RESOLVED)
+    if larger:
+        hot = multiple.where(F.col("n") > SHARD)
+        later = F.col("seen") < F.col("start")
+        resolved = resolved.unionByName(anchors.by_windows(rows, SCHEME, hot, F.min("start"), later))
+    return stored(resolved)
 
 
 def removed_words(ids: np.ndarray, n_words: int, found, hits) -> np.ndarray:

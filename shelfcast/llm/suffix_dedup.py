@@ -10,7 +10,8 @@ runs with a loser tree that keeps for every run the prefix it shares with the la
 known prefix is never compared again; the merge yields the common prefixes of neighbours for free.
 Sorting the reversed text before the anchors likewise, a window that starts d bytes before an
 anchor repeats exactly if another suffix agrees on d bytes to the left and width - d to the right,
-which is a matter of ranks.
+which is a matter of ranks. A gram with more occurrences than a shard is settled by counting equal
+windows instead.
 
 Defined results: a null or empty text keeps no bytes and loses none; repeated rows are occurrences
 of their own, so copies of a text of at least ``width`` bytes lose everything; null ids are
@@ -31,7 +32,7 @@ from shelfcast.llm import anchors
 from shelfcast.llm.tables import arrow_schema, shuffle_width, stored
 
 WIDTH, GRAM = 200, 64
-#: Occurrences per shard of suffixes, about.
+#: Occurrences per shard of suffixes, about, and the most of one gram.
 SHARD = 40_000
 
 _RUN = (
@@ -235,9 +236,13 @@ def merge_shard(runs: pa.Table, width: int = WIDTH, gram: int = GRAM) -> pa.Tabl
 
 
 def _resolve(rows: DataFrame, multiple: DataFrame, grams: DataFrame) -> DataFrame:
-    shards = anchors.shard_count(grams, shuffle_width(rows), SHARD)
-    runs = anchors.pieces(rows, SCHEME, multiple, _pack, shards, _RUN)
-    return stored(runs.groupBy("shard").applyInArrow(lambda t: merge_shard(t), _RESOLVED))
+    shards, larger = anchors.shard_count(grams, shuffle_width(rows), SHARD)
+    runs = anchors.pieces(rows, SCHEME, multiple.where(F.col("n") <= SHARD), _pack, shards, _RUN)
+    resolved = runs.groupBy("shard").applyInArrow(lambda t: merge_shard(t), _RESOLVED)
+    if larger:
+        hot = multiple.where(F.col("n") > SHARD)
+        resolved = resolved.unionByName(anchors.by_windows(rows, SCHEME, hot, F.sum("n"), F.col("seen") > 1))
+    return stored(resolved)
 
 
 SCHEME = anchors.Scheme(anchors.byte_symbols, WIDTH, GRAM, keeps_values=False)

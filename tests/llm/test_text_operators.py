@@ -499,6 +499,30 @@ def test_deduplication_of_the_given_documents(docs, texts):
     assert {r[0]: tuple(r)[1:] for r in fm_dedup.report(docs).collect()} == brute_words(texts, 20)
 
 
+@pytest.mark.parametrize(("module", "brute", "width"), [(suffix_dedup, brute_bytes, 200), (fm_dedup, brute_words, 20)])
+def test_a_passage_of_very_many_documents_is_not_one_shard(spark, tangled, monkeypatch, module, brute, width):
+    rng = random.Random(17)
+    some = lambda n: " ".join(f"{rng.randrange(10**6):x}" for _ in range(n))
+    passage, ends = some(60), [some(30) for _ in range(4)]
+    made = {i: f"{some(30)} {passage} {rng.choice(ends)} {some(9)}" for i in range(150)}
+    frame = spark.createDataFrame(list(made.items()), "doc_id long, text string").repartition(5)
+    sent, pieces = [], module.anchors.pieces
+
+    def spy(rows, scheme, multiple, pack, *rest):
+        if pack is module._pack:
+            sent.append(multiple.groupBy("gram").count().agg(F.max("count")).first()[0] or 0)
+        return pieces(rows, scheme, multiple, pack, *rest)
+
+    monkeypatch.setattr(module.anchors, "pieces", spy)
+    monkeypatch.setattr(module, "SHARD", 40)
+    assert {r[0]: tuple(r)[1:] for r in module.report(frame).collect()} == brute(made, width)
+    assert max(sent) <= 40
+    # Here nearly all grams are above the size.
+    monkeypatch.setattr(module, "SHARD", 2)
+    made, frame = tangled
+    assert {r[0]: tuple(r)[1:] for r in module.report(frame).collect()} == brute(made, width)
+
+
 def test_deduplication_of_odd_rows(odd, nothing):
     rows = suffix_dedup.report(odd).collect()
     assert len(rows) == 12 and {r["n_removed"] for r in rows if r["doc_id"] in (1, 2, 3, 4, 5)} == {0}

@@ -2,7 +2,7 @@
 
 A block is a run of documents whose UTF-8 bytes lie one behind the other, as in an Arrow
 string column. Everything works on whole texts; a block only bounds the memory in use.
-Words are maximal runs of bytes outside ``\\x20\\x09-\\x0D``.
+Words are maximal runs of bytes outside ``\\x20\\x09-\\x0D``, or of those that a given table marks.
 """
 
 from __future__ import annotations
@@ -59,8 +59,8 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[in
 class Words:
     """Words of a block: byte starts and ends, and ``bounds``, the word offsets per document."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        inside = ~_SPACE[data]
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, letters: np.ndarray | None = None):
+        inside = ~_SPACE[data] if letters is None else letters[data]
         starts, ends = inside.copy(), inside.copy()
         if len(data):
             starts[1:] &= ~inside[:-1]

@@ -12,12 +12,15 @@ from shelfcast.llm import (
     bpe,
     chat_format,
     compression_classifier,
+    decontamination,
     fingerprints,
     fm_dedup,
     jaccard_join,
+    merkle_manifest,
     mixing,
     pii,
     quality_rules,
+    spelling,
     suffix_dedup,
 )
 from shelfcast.llm.tables import shuffle_width, table
@@ -121,6 +124,37 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return fm_dedup.report(table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    plain, small = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    changed = {f: docs[f] for f in merkle_manifest.FIELDS} | {"text": F.translate(docs["text"], plain, small)}
+    tampered = F.when(
+        F.crc32(docs["doc_id"].cast("string")) % 5 == 0, merkle_manifest.leaf_digest(*changed.values())
+    )
+    proofs = merkle_manifest.build(docs, carried={"tampered": tampered}).proofs()
+    leaf = F.col("item.digest")
+    folded = merkle_manifest.fold(F.coalesce("item.tampered", leaf), F.col("path"))
+    found = proofs.select(
+        F.col("item.id").alias("doc_id"), leaf.alias("leaf"), "subroot", "root",
+        merkle_manifest.path_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op13_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_chat_formatting": op2_chat_formatting,
@@ -132,4 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_benchmark_decontamination": op13_benchmark_decontamination,
 }

@@ -10,8 +10,18 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions import columns
 from shelfcast.operators import cleaning, quality, series
-from shelfcast.plans import baselines, features, models, reports, series_models, star
+from shelfcast.plans import (
+    autoregression,
+    baselines,
+    features,
+    linear,
+    models,
+    reports,
+    series_models,
+    star,
+)
 from shelfcast.session import shared
+from shelfcast.sources import schemas, tables
 from shelfcast.sources.fixtures import RetailInputs
 
 # Dates fitting the given tables, whose sales run from 1995-01 to 2001-11.
@@ -35,6 +45,23 @@ def rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) + 0.0 for c in names})
 
 
+# --- lines of files -----------------------------------------------------------------
+
+
+def _sales_lines(x: RetailInputs) -> DataFrame:
+    return tables.parse_lines(x.sales_lines(), schemas.RAW_SALES, cleaning.SALES_KEY)
+
+
+@query
+def accepted_lines(x: RetailInputs) -> DataFrame:
+    return _sales_lines(x).filter(F.col("reason").isNull()).drop("line", "reason")
+
+
+@query
+def rejected_lines(x: RetailInputs) -> DataFrame:
+    return _sales_lines(x).filter(F.col("reason").isNotNull()).select("line", "reason")
+
+
 # --- staging, dimensions, fact ------------------------------------------------------
 
 
@@ -398,6 +425,12 @@ def forecast_ar1_diff(x: RetailInputs) -> DataFrame:
     return rounded(forecast, 4, "predicted_weekly_sales")
 
 
+@query
+def forecast_autoregression(x: RetailInputs) -> DataFrame:
+    forecast = autoregression.forecast_autoregression(_regular(x), horizon=122)
+    return rounded(forecast, 3, "predicted_weekly_sales")
+
+
 @query
 def trend_regression(x: RetailInputs) -> DataFrame:
     return rounded(
@@ -444,7 +477,7 @@ def predict_gbt(x: RetailInputs) -> DataFrame:
 
 @query
 def predict_lr(x: RetailInputs) -> DataFrame:
-    return models.predict("linear_regression", _features(x), CUT)
+    return rounded(linear.predict(_features(x), CUT), 2, "predicted_weekly_sales")
 
 
 @query
@@ -455,7 +488,7 @@ def model_selection(x: RetailInputs) -> DataFrame:
 
 @query
 def cross_validate(x: RetailInputs) -> DataFrame:
-    return models.cross_validate("linear_regression", _features(x), dt.date(2000, 4, 7))
+    return rounded(linear.cross_validate(_features(x), dt.date(2000, 4, 7)), 4, "rmse", "r2")
 
 
 @query

@@ -89,17 +89,13 @@ def as_date(day: dt.date | str | Column) -> Column:
 
 
 def before(df: DataFrame, day: dt.date | str) -> DataFrame:
-    """Earlier rows; a ``year`` column, by which stored tables are laid out, prunes the scan."""
-    kept = df.filter(F.col("date") < as_date(day))
-    return kept.filter(F.col("year") <= F.year(as_date(day))) if "year" in df.columns else kept
+    """Earlier rows. Stored tables are pruned where they are read (``tables.read_table``)."""
+    return df.filter(F.col("date") < as_date(day))
 
 
 def between_days(df: DataFrame, first: dt.date | str, last: dt.date | str) -> DataFrame:
     """Closed date range."""
-    kept = df.filter(F.col("date").between(as_date(first), as_date(last)))
-    if "year" not in df.columns:
-        return kept
-    return kept.filter(F.col("year").between(F.year(as_date(first)), F.year(as_date(last))))
+    return df.filter(F.col("date").between(as_date(first), as_date(last)))
 
 
 def trailing_months(df: DataFrame, cut: dt.date | str, months: int = 24) -> DataFrame:

@@ -9,15 +9,18 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from shelfcast.operators import quality
-from shelfcast.operators.cleaning import SALES_KEY, between_days
+from shelfcast.operators.cleaning import SALES_KEY
 from shelfcast.operators.series import off_grid_rows
 from shelfcast.plans import features, models, series_models, star
 from shelfcast.session import scratch
-from shelfcast.sources import tables
+from shelfcast.sources import schemas, tables
 
 RAW, STAGING, ANALYTICS = "raw", "staging", "analytics"
 
@@ -42,25 +45,45 @@ class Layers:
     def target(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}" if self.root else f"{layer}.{name}"
 
-    def read(self, layer: str, name: str) -> DataFrame:
-        return tables.read_table(self.spark, self.target(layer, name))
+    def read(self, layer: str, name: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+        return tables.read_table(self.spark, self.target(layer, name), first, last)
 
-    def write(self, df: DataFrame, layer: str, name: str, **options) -> DataFrame:
+    def write(self, df: DataFrame, layer: str, name: str, run: str | None = None, **options) -> DataFrame:
+        """Replaces the table, or only the rows of a run where one is named."""
         if not self.root:
             self.spark.sql(f"create database if not exists {layer}")
         counted, seen = tables.count_rows(df, f"{layer}.{name}")
-        tables.write_table(counted, self.target(layer, name), **options)
+        if run is None:
+            tables.write_table(counted, self.target(layer, name), **options)
+        else:
+            tables.write_run(counted, self.target(layer, name), run)
         self.rows[f"{layer}.{name}"] = seen.get["rows"]
+        if run is not None and self.root:  # a table of runs may have no rows, hence no files
+            schema = StructType([*df.schema.fields]).add("run", StringType())
+            return self.spark.read.schema(schema).parquet(self.target(layer, name))
         return self.read(layer, name)
 
 
 def ingest(layers: Layers, stores_csv: str, features_csv: str, sales_csv: str) -> DataFrame:
-    """Files to raw tables, raw tables to the feature table."""
-    spark = layers.spark
-    stores = layers.write(tables.read_stores(spark, stores_csv), RAW, "stg_stores")
-    conditions = layers.write(tables.read_features(spark, features_csv), RAW, "stg_features")
-    sales = layers.write(tables.read_sales(spark, sales_csv), RAW, "stg_sales")
-    table = features.retail_features(sales, conditions, stores)
+    """Files to raw tables, raw tables to the feature table.
+
+    Lines that cannot be read as declared go to ``rejected_lines`` with table and reason, so every
+    line of a file is either in its raw table or there.
+    """
+    files = {
+        "stg_stores": (stores_csv, schemas.RAW_STORES, ["store"]),
+        "stg_features": (features_csv, schemas.RAW_FEATURES, ["store", "date"]),
+        "stg_sales": (sales_csv, schemas.RAW_SALES, SALES_KEY),
+    }
+    raw, wrong = {}, []
+    for name, (path, schema, keys) in files.items():
+        accepted, rejected = tables.read_lines(layers.spark, path, schema, keys)
+        if name == "stg_features":  # its holiday column would clash with that of sales
+            accepted = accepted.drop("isholiday")
+        raw[name] = layers.write(accepted, RAW, name)
+        wrong.append(rejected.select(F.lit(name).alias("table"), "line", "reason"))
+    layers.write(reduce(DataFrame.unionByName, wrong), RAW, "rejected_lines")
+    table = features.retail_features(raw["stg_sales"], raw["stg_features"], raw["stg_stores"])
     return layers.write(table, STAGING, "retail_features", partition_by=["year"])
 
 
@@ -74,7 +97,7 @@ def forecast_future(
 
     Returns the scores of the models and the stored forecast.
     """
-    table = layers.read(STAGING, "retail_features")
+    table = layers.read(STAGING, "retail_features", last=cut)
     earlier = cut - dt.timedelta(weeks=HOLDOUT)
     held_out = models.test_rows(table, earlier, until=cut)
     scores = layers.write(
@@ -84,7 +107,7 @@ def forecast_future(
     final = models.fit([best], table, cut)[best]
     with scratch(layers.spark):
         forecast = models.forecast_recursive(final, table, cut, horizon)
-        stored = layers.write(forecast, ANALYTICS, "predicted_weekly_sales_future")
+        stored = layers.write(forecast, ANALYTICS, "weekly_sales_recursive")
     return scores, stored
 
 
@@ -96,10 +119,10 @@ def forecast_bulk(
     conditions: DataFrame | None = None,
 ) -> DataFrame:
     """Every future week in one pass with frozen lags; known future conditions replace held ones."""
-    table = layers.read(STAGING, "retail_features")
+    table = layers.read(STAGING, "retail_features", last=cut)
     model = models.fit([name], table, cut)[name]
     forecast = models.forecast_direct(model, table, cut, last, conditions)
-    return layers.write(forecast, ANALYTICS, "predicted_weekly_sales_nr")
+    return layers.write(forecast, ANALYTICS, "weekly_sales_direct")
 
 
 def forecast_each_series(
@@ -108,19 +131,23 @@ def forecast_each_series(
     last: dt.date = SERIES_LAST,
     horizon: int = 122,
     origin: dt.date | None = None,
+    run: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """A model per series, and its back-test appended to the evaluation table.
+    """A model per series, and its back-test added to the evaluation table as a run of its own.
 
-    Rows off the Friday grid, which the models leave out, are counted per series.
+    A run is named by its range unless given a name; repeating it replaces its rows. Rows off the
+    Friday grid, which the models leave out, are counted per series.
     """
-    sales = between_days(layers.read(STAGING, "retail_features"), first, last)
+    sales = layers.read(STAGING, "retail_features", first, last)
     layers.write(off_grid_rows(sales), ANALYTICS, "off_grid_rows")
     forecast = layers.write(
         series_models.forecast_by_series(sales, horizon, origin=origin),
-        ANALYTICS, "predicted_weekly_sales_arima",
+        ANALYTICS, "weekly_sales_by_series",
     )
     evaluation = series_models.backtest_by_series(sales)
-    return forecast, layers.write(evaluation, ANALYTICS, "arima_eval_results", mode="append")
+    return forecast, layers.write(
+        evaluation, ANALYTICS, "series_backtests", run=run or f"{first}_{last}"
+    )
 
 
 def build_star(layers: Layers, predictions: DataFrame) -> dict[str, DataFrame]:

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import (
+    GBTRegressionModel,
     GBTRegressor,
     LinearRegression,
     LinearRegressionModel,
+    RandomForestRegressionModel,
     RandomForestRegressor,
 )
 from pyspark.sql import Column, DataFrame, Window
@@ -23,6 +25,7 @@ from pyspark.storagelevel import StorageLevel
 from shelfcast.functions.columns import calendar
 from shelfcast.operators.cleaning import SERIES, as_date, before, one_row_per_key
 from shelfcast.operators.series import future_frame, spread
+from shelfcast.operators.tree_walk import trees_of
 from shelfcast.plans.baselines import recent_values
 from shelfcast.session import scratch_path
 
@@ -228,13 +231,16 @@ def forecast_recursive(
 ) -> DataFrame:
     """Predict one week of all series at once, feed it back into the lags, repeat.
 
-    The state is one row per series and a step needs no shuffle. Every few steps it is written
-    with their predictions, and the next steps start from what was written without them.
+    The state is one row per series and a step needs no shuffle. Linear models and trees take the
+    whole horizon in one expression. For any other model the state is written every few steps with
+    their predictions, and the next steps start from what was written without them.
     """
     filled, assembler, predictor = model.stages
     state = _start(filled, features, cut)
     if isinstance(predictor, LinearRegressionModel):
         return _unroll(_linear_steps(predictor, state, horizon))
+    if isinstance(predictor, RandomForestRegressionModel | GBTRegressionModel):
+        return _unroll(_tree_steps(predictor, state, horizon))
     return _batch_steps(PipelineModel([assembler, predictor]), state, horizon, every)
 
 
@@ -259,31 +265,53 @@ def _batch_steps(scorer: PipelineModel, state: DataFrame, horizon: int, every: i
     return _unroll(written, F.col("done"))
 
 
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Computes a value once for an expression that uses it several times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _fold_steps(
+    state: DataFrame, horizon: int, predicted: Callable[[dict[str, Column]], Column]
+) -> DataFrame:
+    """The recursion as one expression over the horizon; ``predicted`` takes the moving inputs."""
+
+    def advance(now: Column, step: Column) -> Column:
+        fields = calendar(F.date_add(F.col("last_date"), 7 * step))
+        moving = {**{c: fields[c] for c in CALENDAR}, **_lag_inputs(now["recent"])}
+        return _named(
+            predicted(moving),
+            lambda p: F.struct(
+                _push(p, now["recent"]).alias("recent"),
+                F.concat(now["path"], F.array(p)).alias("path"),
+            ),
+        )
+
+    steps = F.sequence(F.lit(1), F.lit(horizon))
+    return state.withColumn("path", F.aggregate(steps, F.struct("recent", "path"), advance)["path"])
+
+
 def _linear_steps(model: LinearRegressionModel, state: DataFrame, horizon: int) -> DataFrame:
-    """The same recursion for a linear model as one expression over the horizon."""
     weight = dict(zip(INPUTS, (float(w) for w in model.coefficients)))
     held = F.lit(float(model.intercept))
     for name in [*SERIES, *HELD]:
         held = held + F.col(name).cast("double") * weight[name]
 
-    def advance(state: Column, step: Column) -> Column:
-        fields = calendar(F.date_add(F.col("last_date"), 7 * step))
-        moving = {**{c: fields[c] for c in CALENDAR}, **_lag_inputs(state["recent"])}
+    def predicted(moving: dict[str, Column]) -> Column:
         value = F.col("held")
         for name, column in moving.items():
             value = value + column.cast("double") * weight[name]
-        # A one-element array lets the value be named once and used twice.
-        return F.get(
-            F.transform(
-                F.array(value),
-                lambda p: F.struct(
-                    _push(p, state["recent"]).alias("recent"),
-                    F.concat(state["path"], F.array(p)).alias("path"),
-                ),
-            ),
-            F.lit(0),
-        )
+        return value
 
-    steps = F.sequence(F.lit(1), F.lit(horizon))
-    end = F.aggregate(steps, F.struct("recent", "path"), advance)
-    return state.withColumn("held", held).withColumn("path", end["path"])
+    return _fold_steps(state.withColumn("held", held), horizon, predicted)
+
+
+def _tree_steps(
+    model: RandomForestRegressionModel | GBTRegressionModel, state: DataFrame, horizon: int
+) -> DataFrame:
+    walk = trees_of(model).expression()
+
+    def predicted(moving: dict[str, Column]) -> Column:
+        inputs = [moving.get(name, F.col(name)).cast("double") for name in INPUTS]
+        return _named(F.array(*inputs), walk)
+
+    return _fold_steps(state, horizon, predicted)

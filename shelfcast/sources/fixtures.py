@@ -80,6 +80,20 @@ class RetailInputs:
         rows = F.when(doubled, F.array(own, half)).otherwise(F.array(own))
         return self.sales_base().select("store", "dept", "date", F.inline(rows))
 
+    def sales_lines(self) -> DataFrame:
+        """The raw sales as CSV lines, some of them with a wrong value, date, key or width."""
+        kind = F.col("store") + F.col("dept") + F.weekofyear("date")
+        store, dept = F.col("store").cast("string"), F.col("dept").cast("string")
+        date = F.when(kind % 23 == 0, "not a date").otherwise(F.date_format("date", "MM/dd/yyyy"))
+        written = F.when(kind % 2 == 0, F.date_format("date", "yyyy-MM-dd")).otherwise(date)
+        amount = F.col("weekly_sales").cast("decimal(18,4)").cast("string")
+        amount = F.when(kind % 29 == 0, "12x").when(kind % 19 == 0, "NA").otherwise(amount)
+        store = F.when(kind % 37 == 0, "").otherwise(store)
+        whole = F.concat_ws(",", store, dept, written, amount, "isholiday")
+        return self.sales().select(
+            F.when(kind % 31 == 0, F.concat_ws(",", store, dept)).otherwise(whole).alias("value")
+        )
+
     def features(self) -> DataFrame:
         """One row per store and week; a markdown is null without orders of its priority."""
         price = F.col("o_totalprice").cast(MONEY)

@@ -1,13 +1,18 @@
-"""CSV and table readers, table sinks, views."""
+"""CSV and table readers, rejected lines, table sinks, views."""
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from shelfcast.functions.columns import parse_mixed_date
-from shelfcast.operators.cleaning import SERIES
+from shelfcast.operators.cleaning import SERIES, as_date
 from shelfcast.sources import schemas
 
 
@@ -37,13 +42,88 @@ def read_sales(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("date", parse_mixed_date("date"))
 
 
+# --- files whose lines may be wrong ---------------------------------------------------
+
+# Why a line is rejected, in the order in which the reasons are tried.
+MALFORMED, BAD_DATE, NO_KEY = "malformed", "unreadable date", "missing key"
+
+_RAW = "rejected_line"
+
+
+def parse_lines(lines: DataFrame, schema: StructType, keys: list[str], line: str = "value") -> DataFrame:
+    """Columns of each CSV line with the ``line`` and the ``reason`` it is rejected for, else null.
+
+    A line is malformed when a value does not have its column's type or the number of values is
+    wrong. ``NA`` and empty values are null, which only keys must not be. A ``date`` column is parsed
+    as one of the accepted formats.
+    """
+    typed = StructType([*schema.fields]).add(_RAW, StringType())
+    options = {"nullValue": "NA", "columnNameOfCorruptRecord": _RAW, "mode": "PERMISSIVE"}
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in typed)
+    row = lines.select(F.col(line).alias("line"), F.from_csv(line, ddl, options).alias("row"))
+    parsed = row.select("line", "row.*")
+    reason = F.when(F.col(_RAW).isNotNull(), MALFORMED)
+    if "date" in schema.names:
+        written = F.col("written_date")
+        parsed = parsed.withColumn("written_date", F.col("date")).withColumn("date", parse_mixed_date("date"))
+        reason = reason.when(written.isNotNull() & F.col("date").isNull(), BAD_DATE)
+    missing = [F.col(k).isNull() for k in keys]
+    for m in missing:
+        reason = reason.when(m, NO_KEY)
+    return parsed.withColumn("reason", reason).select(*schema.names, "line", "reason")
+
+
+def read_lines(spark: SparkSession, path: str, schema: StructType, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows of CSV files with a header, and rejected lines with their reason.
+
+    Every line but the header is in exactly one of the two, so their counts add up to the file's.
+    """
+    text = spark.read.text(path)
+    header = text.first()
+    names = [n.strip().lower() for n in header["value"].split(",")] if header else []
+    if header and names != schema.names:
+        raise ValueError(f"header {names} does not match {schema.names}")
+    lines = text.filter(F.col("value") != header["value"]) if header else text
+    parsed = parse_lines(lines.filter(F.trim("value") != ""), schema, keys)
+    rejected = parsed.filter(F.col("reason").isNotNull()).select("line", "reason")
+    return parsed.filter(F.col("reason").isNull()).drop("line", "reason"), rejected
+
+
 def _is_path(target: str) -> bool:
     return "/" in target
 
 
-def read_table(spark: SparkSession, target: str) -> DataFrame:
-    """Catalog table, or Parquet folder when the target is a path."""
-    return spark.read.parquet(target) if _is_path(target) else spark.table(target)
+def partition_columns(spark: SparkSession, target: str) -> list[str]:
+    """Columns that the table itself is partitioned by; a data column of the same name is none."""
+    if not _is_path(target):
+        return [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(path) if s.isDirectory()]
+    return sorted({n.partition("=")[0] for n in names if "=" in n})
+
+
+def read_table(
+    spark: SparkSession,
+    target: str,
+    first: dt.date | str | None = None,
+    last: dt.date | str | None = None,
+) -> DataFrame:
+    """Catalog table, or Parquet folder when the target is a path.
+
+    ``first`` and ``last`` bound ``date``. A table that is partitioned by ``year``, which writers
+    derive from the date, is then read by partitions; on any other table a column called ``year``
+    decides nothing.
+    """
+    df = spark.read.parquet(target) if _is_path(target) else spark.table(target)
+    if first is None and last is None:
+        return df
+    by_year = "year" in partition_columns(spark, target)
+    for bound, keeps in ((first, "__ge__"), (last, "__le__")):
+        if bound is not None:
+            df = df.filter(getattr(F.col("date"), keeps)(as_date(bound)))
+            df = df.filter(getattr(F.col("year"), keeps)(F.year(as_date(bound)))) if by_year else df
+    return df
 
 
 def write_table(
@@ -88,6 +168,48 @@ def append_table(df: DataFrame, target: str) -> None:
     write_table(df, target, mode="append")
 
 
+_RUN = re.compile(r"[A-Za-z0-9_.-]+")
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a write."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def write_run(df: DataFrame, target: str, run: str) -> None:
+    """Rows of one run of a table that many runs add to: a partition of the table.
+
+    A repeated run replaces its own rows and no others. Rows are staged and move in at the end, so
+    one that breaks off leaves the rows of the earlier try.
+    """
+    if not _RUN.fullmatch(run):
+        raise ValueError(f"a run is named by letters, digits, '_', '.' and '-', not {run!r}")
+    spark = df.sparkSession
+    keyed, seen = count_rows(df.withColumn("run", F.lit(run)), f"run {run} of {target}")
+    if _is_path(target):
+        writer = keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("run").parquet(target)
+    elif spark.catalog.tableExists(target):
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            keyed.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+    else:
+        keyed.write.partitionBy("run").format("parquet").saveAsTable(target)
+    if seen.get["rows"]:
+        return
+    # Without rows no partition was replaced.
+    if _is_path(target):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/run={run}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    else:
+        spark.sql(f"alter table {target} drop if exists partition (run = '{run}')")
+
+
 def create_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 

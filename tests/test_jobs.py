@@ -2,9 +2,9 @@
 
 import datetime as dt
 import math
-import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast.plans import jobs
 
@@ -33,6 +33,7 @@ def layers(spark, tmp_path_factory):
                 for i, day in enumerate(days):
                     amount = 1000 * store + 100 * dept + 50 * math.sin(i / 8) + (i * 7919 % 13)
                     out.write(f"{store},{dept},{day},{amount:.2f},{'TRUE' if i % 26 == 0 else 'FALSE'}\n")
+        out.write("1,1,2010-02-05,lots,FALSE\n1,1,some day,5,FALSE\n")
     made = jobs.Layers(spark, str(tmp_path_factory.mktemp("layers")))
     jobs.ingest(made, *[str(folder / f"{name}.csv") for name in ("stores", "features", "sales")])
     return made
@@ -91,19 +92,28 @@ def test_origin_dates_every_series_alike(layers):
     assert {r["date"] for r in forecast.select("date").collect()} == {first + dt.timedelta(weeks=i) for i in range(3)}
 
 
-def test_each_series_appends_its_evaluation(layers):
-    before = jobs.series_models.backtest_by_series(layers.read("staging", "retail_features")).count()
-    target = layers.target("analytics", "arima_eval_results")
-    earlier = layers.spark.read.parquet(target).count() if os.path.isdir(target) else 0
-    for runs in (1, 2):
+def test_a_repeated_evaluation_leaves_the_same_rows(layers):
+    for _ in range(2):
         forecast, evaluation = jobs.forecast_each_series(layers, FIRST, CUT, horizon=6)
         assert forecast.count() == 4 * 6
-        assert evaluation.count() == earlier + before * runs == earlier + 4 * runs
-    assert evaluation.filter("rmse < 60 and mape < 0.1").count() == earlier + 8
-    assert layers.rows["analytics.predicted_weekly_sales_arima"] == 4 * 6
+        assert evaluation.filter(F.col("run") == f"{FIRST}_{CUT}").count() == 4
+    others = evaluation.count()
+    _, evaluation = jobs.forecast_each_series(layers, FIRST, CUT, horizon=6, run="second")
+    assert evaluation.count() == others + 4
+    assert evaluation.filter("run = 'second' and rmse < 60 and mape < 0.1").count() == 4
+    assert layers.rows["analytics.weekly_sales_by_series"] == 4 * 6
     assert layers.read("analytics", "off_grid_rows").filter("off_grid_rows = 0").count() == 4
 
 
+def test_ingest_counts_every_line(layers):
+    assert layers.rows["raw.stg_sales"] == 4 * WEEKS and layers.rows["raw.rejected_lines"] == 2
+    rejected = {(r["table"], r["line"], r["reason"]) for r in layers.read("raw", "rejected_lines").collect()}
+    assert rejected == {
+        ("stg_sales", "1,1,2010-02-05,lots,FALSE", "malformed"),
+        ("stg_sales", "1,1,some day,5,FALSE", "unreadable date"),
+    }
+
+
 def test_star_is_built_and_sound(layers):
     past = layers.read("staging", "retail_features").selectExpr(
         "store", "dept", "date", "weekly_sales * 1.05 as predicted_weekly_sales"

@@ -72,6 +72,75 @@ def test_write_overwrites_appends_and_partitions(spark, tmp_path):
     assert tables.read_table(spark, evaluation).count() == 6
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bounds_prune_only_the_tables_own_partitions(spark, tmp_path):
+    rows = [(dt.date(y, 6, 1), y, 1.0) for y in (2009, 2010, 2011)] + [(dt.date(2010, 1, 1), None, 2.0)]
+    df = spark.createDataFrame(rows, "date date, year int, v double")
+    by_year, plain = str(tmp_path / "by_year"), str(tmp_path / "plain")
+    tables.write_table(df.filter("year is not null"), by_year, partition_by=["year"])
+    tables.write_table(df, plain)
+    assert tables.partition_columns(spark, by_year) == ["year"] and tables.partition_columns(spark, plain) == []
+    kept = tables.read_table(spark, by_year, last="2010-12-31")
+    assert sorted(r["year"] for r in kept.collect()) == [2009, 2010]
+    assert "year" in _plan(kept).split("PartitionFilters")[1][:80]
+    assert tables.read_table(spark, plain, "2010-01-01", "2010-12-31").count() == 2
+
+
+def test_every_line_is_accepted_or_rejected(spark, folder):
+    lines = (
+        "Store,Dept,Date,Weekly_Sales,IsHoliday\n1,1,2010-02-05,100.5,FALSE\n1,1,12/02/2010,NA,TRUE\n"
+        "1,1,2010-02-19,1x,FALSE\n1,one,2010-02-19,1,FALSE\n1,1,someday,1,FALSE\n,1,2010-02-19,1,FALSE\n"
+        "1,1\n1,1,NA,1,FALSE\n"
+    )
+    (folder / "wrong.csv").write_text(lines)
+    accepted, rejected = tables.read_lines(
+        spark, str(folder / "wrong.csv"), schemas.RAW_SALES, ["store", "dept", "date"]
+    )
+    assert [r["weekly_sales"] for r in accepted.orderBy("date").collect()] == [100.5, None]
+    assert sorted(map(tuple, rejected.collect())) == sorted([
+        ("1,1,2010-02-19,1x,FALSE", tables.MALFORMED), ("1,one,2010-02-19,1,FALSE", tables.MALFORMED),
+        ("1,1", tables.MALFORMED), ("1,1,someday,1,FALSE", tables.BAD_DATE),
+        (",1,2010-02-19,1,FALSE", tables.NO_KEY), ("1,1,NA,1,FALSE", tables.NO_KEY),
+    ])
+    assert accepted.count() + rejected.count() == len(lines.splitlines()) - 1
+    # Columns that a query leaves out are judged all the same.
+    assert accepted.select("store").count() == 2
+    (folder / "other.csv").write_text("Type,Store,Size\nA,1,1000\n")
+    with pytest.raises(ValueError, match="header"):
+        tables.read_lines(spark, str(folder / "other.csv"), schemas.RAW_STORES, ["store"])
+
+
+@pytest.mark.parametrize("kind", ["path", "catalog"])
+def test_a_repeated_run_replaces_its_own_rows(spark, tmp_path, kind):
+    target = str(tmp_path / "runs") if kind == "path" else "runs_of_a_test"
+    rows = lambda *v: spark.createDataFrame([(x,) for x in v], "v int")
+    tables.write_run(rows(1, 2), target, "a")
+    tables.write_run(rows(3), target, "b")
+    tables.write_run(rows(4, 5, 6), target, "a")
+    held = lambda: sorted((r["run"], r["v"]) for r in tables.read_table(spark, target).collect())
+    assert held() == [("a", 4), ("a", 5), ("a", 6), ("b", 3)]
+
+    # A run that breaks off half way leaves what was there.
+    breaks = rows(7, 8, 9).repartition(3, "v").select(
+        F.when(F.col("v") == 9, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("v")).alias("v")
+    )
+    with pytest.raises(Exception, match="lost"):
+        tables.write_run(breaks, target, "a")
+    spark.catalog.clearCache()
+    assert held() == [("a", 4), ("a", 5), ("a", 6), ("b", 3)]
+    tables.write_run(rows(1).filter("v > 1"), target, "a")
+    if kind == "catalog":
+        spark.sql(f"refresh table {target}")
+    assert held() == [("b", 3)]
+    with pytest.raises(ValueError, match="run"):
+        tables.write_run(rows(1), target, "a/b")
+    if kind == "catalog":
+        spark.sql(f"drop table {target}")
+
+
 def test_series_table_needs_no_shuffle(spark):
     df = spark.range(500).select(
         (F.col("id") % 7).cast("int").alias("store"), (F.col("id") % 3).cast("int").alias("dept"),

@@ -10,7 +10,11 @@ grow. Where they agree, tokens are stable and leave at once: memory is bounded b
 the unstable tail, whatever the length of the word.
 
 Decoding. ``TextDecoder`` takes ids one at a time and gives out text as soon as its bytes form
-whole characters; bytes that no character can hold become U+FFFD.
+whole characters; bytes that no character can hold become U+FFFD. Its mode ``joined`` gives what a
+vocabulary without a decoder is read back as, the tokens with spaces between.
+
+Every word goes through the transducer and every id through the decoder. Workers remember the ids of
+recent words and runs, so equal words are streamed once.
 
 ``Codec.encode`` agrees with the tokenizers library on the same vocabulary file (NFC, runs of
 white space to one space, lower case, split by pattern, special tokens found in the raw text).
@@ -85,102 +89,122 @@ class Codec:
         self.vocab: dict[str, int] = dict(model["vocab"])
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.names = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
+        self.written = {str(i): t for i, t in self.names.items()}
         self.symbols = byte_symbols()
+        self.byte_of = {s: b for b, s in enumerate(self.symbols)}
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
-        self.rank = {pair: i for i, pair in enumerate(merges)}
-        self.parts = {a + b: (a, b) for a, b in merges}
-        if len(self.parts) != len(merges):
+        if len({a + b for a, b in merges}) != len(merges):
             raise ValueError("two merges make one token; the transducer needs one each")
+        # By id: rank of the merge that makes a token, or -1, and its two parts.
+        self.base = max(self.vocab.values()) + 1
+        self.made, self.left, self.right = [-1] * self.base, [0] * self.base, [0] * self.base
+        self.rank: dict[int, int] = {}
+        for i, (first, second) in enumerate(merges):
+            x, y, whole = (self.vocab[t] for t in (first, second, first + second))
+            self.rank[x * self.base + y] = i
+            self.made[whole], self.left[whole], self.right[whole] = i, x, y
         self.split = regex.compile(PATTERN)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.lookahead = max(map(self._size, self.vocab), default=1)
-        self._agree: dict[tuple[str, str], bool] = {}
+        # All ends of tokens: no token ends in a piece that is missing here. -1 where it is no token.
+        self.tails: dict[str, int] = {}
+        for token, number in self.vocab.items():
+            for i in range(1, self._size(token)):
+                self.tails.setdefault(token[i:], -1)
+            self.tails[token] = number
+        self._agree: dict[int, dict[int, bool]] = {}
+        self._pairs = 0
         self._words = Memory(words, self._word)
         self.runs = Memory(runs, self._run)
 
     def _size(self, token: str) -> int:
         return len(token) - len(self.end) if self.end and token.endswith(self.end) and token != self.end else len(token)
 
-    def _neighbours(self, left: str, right: str) -> bool:
+    def _apart(self, left: int, right: int) -> bool:
         """Whether two tokens stay apart: no merge across their border comes before their own."""
-        key = (left, right)
-        known = self._agree.get(key)
-        if known is None:
-            if len(self._agree) > 2 * WORDS:
-                self._agree.clear()
-            known = self._agree[key] = self._apart(left, right)
-        return known
-
-    def _apart(self, left: str, right: str) -> bool:
         # Undo the latest merges first; a border merge applies if it ranks before what it undoes.
-        rank, parts = self.rank, self.parts
-        limit = len(rank)
+        rank, made, base = self.rank.get, self.made, self.base
+        limit = len(self.rank)
         while True:
-            across = rank.get((left, right))
-            if across is not None and across < limit:
+            if rank(left * base + right, limit) < limit:
                 return False
-            of_left = rank[parts[left]] if left in parts else -1
-            of_right = rank[parts[right]] if right in parts else -1
+            of_left, of_right = made[left], made[right]
             if of_left < 0 and of_right < 0:
                 return True
             # Of equal ranks the left occurrence was merged first, so the right is undone first.
             if of_left > of_right:
-                limit, left = of_left, parts[left][1]
+                limit, left = of_left, self.right[left]
             else:
-                limit, right = of_right + 1, parts[right][0]
-
-    def stream(self, symbols: Iterable[str]) -> Iterator[str]:
-        """Tokens of one word, each as soon as it is stable; the last symbol ends the word."""
-        vocab, apart, window = self.vocab, self._neighbours, self.lookahead
-        last: list[tuple[str, int]] = [("", -1)]  # last token of each prefix, and where it starts
-        base, text = 0, ""  # positions before base have been given out
+                limit, right = of_right + 1, self.left[right]
+
+    def stream(self, symbols: Iterable[str]) -> Iterator[int]:
+        """Token ids of one word, each as soon as it is stable; the last symbol ends the word."""
+        tails, agree, window = self.tails.get, self._agree, self.lookahead
+        if self._pairs > 2 * WORDS:
+            agree.clear()
+            self._pairs = 0
+        # Last token of each prefix and where it starts: -1 at the front, -2 where no token can end.
+        last, starts = [-1], [-1]
+        text, n = "", 0  # what precedes has been given out
         it = iter(symbols)
         ahead = next(it, None)
         while ahead is not None:
             symbol, ahead = ahead, next(it, None)
-            text += symbol
-            n = len(text)
-            mark = self.end if ahead is None else ""
-            found = None
-            for start in range(max(0, n - window), n):
-                token = text[start:] + mark
-                if token in vocab:
-                    before, at = last[start]
-                    if at != -2 and (not before or apart(before, token)):
-                        found = (token, start)
-                        break
-            last.append(found or ("", -2))
+            text += symbol if ahead is not None else symbol + self.end
+            n += 1
+            found, at = -1, -2
+            # Only one token fits, so the shortest candidates come first.
+            for start in range(n - 1, -1, -1):
+                token = tails(text[start:])
+                if token is None:
+                    break
+                if token < 0 or starts[start] == -2:
+                    continue
+                before = last[start]
+                if before >= 0:
+                    known = agree.get(before)
+                    if known is None:
+                        known = agree[before] = {}
+                    apart = known.get(token)
+                    if apart is None:
+                        apart = known[token] = self._apart(before, token)
+                        self._pairs += 1
+                    if not apart:
+                        continue
+                found, at = token, start
+                break
+            last.append(found)
+            starts.append(at)
             if n >= 4 * window:
-                stable, cut = self._stable(last, n, window)
+                cut = self._stable(starts, n, window)
                 if cut:
-                    yield from stable
-                    text, last, base = text[cut:], last[cut:], base + cut
-                    last = [(t, s - cut if s >= 0 else s) for t, s in last]
-                    last[0] = (last[0][0], -1)
-        out, at = [], len(text)
-        while at > 0:
-            token, start = last[at]
-            if start < 0:
-                raise ValueError(f"no encoding of {text!r}")
-            out.append(token)
-            at = start
-        yield from reversed(out)
-
-    def _stable(self, last, n: int, window: int) -> tuple[list[str], int]:
-        """Tokens common to all paths that later tokens can continue, and where they end."""
-        ends = {p for p in range(n - window + 1, n + 1) if last[p][1] != -2}
+                    yield from self._path(last, starts, cut)
+                    text, last, n = text[cut:], last[cut:], n - cut
+                    starts = [s - cut if s >= 0 else s for s in starts[cut:]]
+                    starts[0] = -1
+        if starts[n] == -2:
+            raise ValueError(f"no encoding of {text!r}")
+        yield from self._path(last, starts, n)
+
+    @staticmethod
+    def _path(last: list[int], starts: list[int], end: int) -> list[int]:
+        """Tokens up to a position, found from its end."""
+        out = []
+        while end > 0:
+            out.append(last[end])
+            end = starts[end]
+        return out[::-1]
+
+    @staticmethod
+    def _stable(starts: list[int], n: int, window: int) -> int:
+        """Where the tokens end that are common to all paths which later tokens can continue."""
+        ends = {p for p in range(n - window + 1, n + 1) if starts[p] != -2}
         while len(ends) > 1:
             far = max(ends)
             ends.discard(far)
-            if last[far][1] >= 0:
-                ends.add(last[far][1])
-        cut = ends.pop()
-        out, at = [], cut
-        while at > 0:
-            token, start = last[at]
-            out.append(token)
-            at = start
-        return out[::-1], cut
+            if starts[far] >= 0:
+                ends.add(starts[far])
+        return ends.pop()
 
     def normalize(self, text: str) -> str:
         if not unicodedata.is_normalized("NFC", text):
@@ -190,31 +214,9 @@ class Codec:
         # Lower case by character: no special form of a final sigma.
         return text.replace("Σ", "σ").lower()
 
-    def _window(self, parts: list[str]) -> list[str]:
-        """Tokens of a word that fits into one window: merges in order of rank."""
-        rank = self.rank
-        none = len(rank)
-        if self.end:
-            parts[-1] += self.end
-        ranks = [rank.get(pair, none) for pair in zip(parts, parts[1:], strict=False)]
-        while ranks:
-            best = min(ranks)
-            if best == none:
-                break
-            i = ranks.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = rank.get((parts[i - 1], parts[i]), none)
-            if i < len(ranks):
-                ranks[i] = rank.get((parts[i], parts[i + 1]), none)
-        return parts
-
     def _word(self, word: str) -> tuple[int, ...]:
-        symbols = list(word) if word.isascii() and word.isprintable() else [self.symbols[b] for b in word.encode()]
-        # No token can leave before the end of a word that fits into one window.
-        tokens = self._window(symbols) if len(symbols) <= self.lookahead else self.stream(symbols)
-        return tuple([self.vocab[t] for t in tokens])
+        symbols = word if word.isascii() and word.isprintable() else [self.symbols[b] for b in word.encode()]
+        return tuple(self.stream(symbols))
 
     def _split(self, text: str) -> list[str]:
         """Normalized words and marks of a text without special tokens."""
@@ -230,24 +232,20 @@ class Codec:
         words = self._words
         return [i for word in self._split(text) for i in words[word]]
 
-    def _run(self, run: str) -> tuple[str, str]:
-        """Ids and tokens, joined by spaces, of a text without white space or special tokens."""
-        return self._spoken(self._plain(run))
-
-    def _spoken(self, ids: list[int]) -> tuple[str, str]:
-        names = self.names
-        return " ".join(map(str, ids)), " ".join([names[i] for i in ids])
+    def _run(self, run: str) -> str:
+        """Ids, joined by spaces, of a text without white space or special tokens."""
+        return " ".join(map(str, self._plain(run)))
 
-    def joined_runs(self, text: str) -> tuple[str, str]:
-        """Ids and tokens of any text, joined by spaces.
+    def id_runs(self, text: str) -> list[str]:
+        """Ids of any text in runs, each joined by spaces.
 
         Nothing that encoding does reaches across white space, so each run is encoded once.
         """
         if any(c in text for c in _SEPARATORS) or any(x in text for x in self.special):
-            return self._spoken(self.encode(text))
+            ids = self.encode(text)
+            return [" ".join(map(str, ids))] if ids else []
         runs = self.runs
-        found = [runs[r] for r in text.split()]
-        return " ".join([f[0] for f in found]), " ".join([f[1] for f in found])
+        return [ids for ids in [runs[r] for r in text.split()] if ids]
 
     def encode(self, text: str) -> list[int]:
         """Ids of any text; special tokens are found in the raw text."""
@@ -258,30 +256,51 @@ class Codec:
             out += [self.special[piece]] if i % 2 else self._plain(piece)
         return out
 
-    def joined(self, ids: Iterable[int]) -> str:
-        """Text as a library without a decoder gives it: the tokens, joined by spaces."""
-        return " ".join(self.names[i] for i in ids)
-
 
 class TextDecoder:
-    """Ids to text, one id at a time; holds at most the bytes of one unfinished character."""
+    """Ids to text, one id at a time; holds at most the bytes of one unfinished character.
+
+    ``joined`` gives tokens as they are with a space between, as libraries read ids back whose
+    vocabulary has no decoder; what it holds is whether a token came before.
+    """
 
-    def __init__(self, codec: Codec):
-        self._codec = codec
-        self._bytes = {s: b for b, s in enumerate(codec.symbols)}
-        self._state = codecs.getincrementaldecoder("utf-8")("replace")
+    def __init__(self, codec: Codec, joined: bool = False):
+        self._names, self._special, self._end = codec.names, codec.special, codec.end
+        self._written = codec.written
+        self._joined, self._between = joined, ""
+        self._bytes = codec.byte_of
+        self._state = None if joined else codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, token_id: int) -> str:
-        name = self._codec.names[token_id]
-        if name in self._codec.special:
+        name = self._names[token_id]
+        if self._joined:
+            between, self._between = self._between, " "
+            return between + name
+        if name in self._special:
             return self._state.decode(b"", final=True) + name
-        end = self._codec.end
+        end = self._end
         ended = bool(end) and name.endswith(end)
         raw = bytes(self._bytes[c] for c in (name[: -len(end)] if ended else name))
         return self._state.decode(raw, final=ended) + (" " if ended else "")
 
+    def read(self, numbers: str) -> str:
+        """The same for many ids, written in decimals with spaces between."""
+        if not self._joined:
+            return "".join([self.feed(int(i)) for i in numbers.split()])
+        if not numbers:
+            return ""
+        between, self._between = self._between, " "
+        written = self._written
+        return between + " ".join([written[i] for i in numbers.split(" ")])
+
     def finish(self) -> str:
-        return self._state.decode(b"", final=True)
+        return "" if self._joined else self._state.decode(b"", final=True)
+
+
+def spoken(codec: Codec, numbers: str) -> str:
+    """Text that ids, written in decimals, decode to where the vocabulary has no decoder."""
+    decoder = TextDecoder(codec, joined=True)
+    return decoder.read(numbers) + decoder.finish()
 
 
 def _worker_memory() -> types.ModuleType:
@@ -302,8 +321,8 @@ def _load(name: str, **sizes: int) -> Codec:
         return Codec(json.load(file), **sizes)
 
 
-def _numbers(joined: str) -> np.ndarray:
-    return np.fromstring(joined, np.int32, sep=" ") if joined else np.zeros(0, np.int32)
+def _numbers(runs: list[str]) -> np.ndarray:
+    return np.fromstring(" ".join(runs), np.int32, sep=" ") if runs else np.zeros(0, np.int32)
 
 
 def _digest(text: str) -> str:
@@ -322,7 +341,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id")
 
     def run(batch):
         codec = _codec_of(name)
-        ids = [_numbers(codec.joined_runs(t.as_py() or "")[0]) for t in batch.column(1)]
+        ids = [_numbers(codec.id_runs(t.as_py() or "")) for t in batch.column(1)]
         yield {"doc_id": batch.column(0), "n_tokens": [len(i) for i in ids], "ids": ids}
 
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
@@ -346,9 +365,9 @@ def encode_documents(
         codec = held[0]
         ids, digests_ = [], []
         for value in batch.column(0):
-            numbers, tokens = codec.joined_runs(value.as_py() or "")
-            ids.append(_numbers(numbers))
-            digests_.append(_digest(tokens))
+            found = codec.id_runs(value.as_py() or "")
+            ids.append(_numbers(found))
+            digests_.append(_digest(spoken(codec, " ".join(found))))
         counts = [len(i) for i in ids]
         own = {n: batch.column(i + 1) for i, n in enumerate(keep)}
         yield {**own, "n_tokens": counts, "ids": ids, "decoded_sha256": digests_}
@@ -373,17 +392,18 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Per row: number of tokens, digest of the ids and of the tokens joined by spaces."""
+    """Per row: number of tokens, digest of the ids and of the text that the ids decode to."""
     name = ship(docs.sparkSession, path)
 
     def run(batch):
         codec = _codec_of(name)
         counts, ids, decoded = [], [], []
         for value in batch.column(1):
-            numbers, tokens = codec.joined_runs(value.as_py() or "")
+            found = codec.id_runs(value.as_py() or "")
+            numbers = " ".join(found)
             counts.append(numbers.count(" ") + 1 if numbers else 0)
             ids.append(_digest(numbers))
-            decoded.append(_digest(tokens))
+            decoded.append(_digest(spoken(codec, numbers)))
         yield {"doc_id": batch.column(0), "n_tokens": counts, "ids_sha256": ids, "decoded_sha256": decoded}
 
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))

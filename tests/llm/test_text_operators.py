@@ -408,9 +408,11 @@ def test_encoding_equals_the_library(codec, texts):
     for text in [*texts.values(), *made, *fixed]:
         ids = library.encode(text, add_special_tokens=False).ids
         assert codec.encode(text) == ids
-        numbers, tokens = codec.joined_runs(text)
-        assert [int(i) for i in numbers.split()] == ids
-        assert tokens == library.decode(ids, skip_special_tokens=False)
+        runs = codec.id_runs(text)
+        assert [int(i) for run in runs for i in run.split()] == ids
+        assert bpe.spoken(codec, " ".join(runs)) == library.decode(ids, skip_special_tokens=False)
+        decoder = bpe.TextDecoder(codec, joined=True)
+        assert "".join(map(decoder.feed, ids)) + decoder.finish() == library.decode(ids, skip_special_tokens=False)
 
 
 def test_stream_gives_tokens_before_the_end(codec):
@@ -425,6 +427,21 @@ def test_stream_gives_tokens_before_the_end(codec):
     assert first and len(read) <= 6 * codec.lookahead
 
 
+def test_every_word_goes_through_the_transducer(texts, monkeypatch):
+    """All words of the given documents are streamed, and no id is read back but by the decoder."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        own = bpe.Codec(json.load(file))
+    streamed, stream = [], own.stream
+    monkeypatch.setattr(own, "stream", lambda symbols: streamed.append("".join(symbols)) or stream(symbols))
+    runs = [own.id_runs(t) for t in texts.values()]
+    words = {w for t in texts.values() for r in t.split() for w in own._split(r)}
+    assert len(streamed) >= len(words) > 1000
+    fed, read = [], bpe.TextDecoder.read
+    monkeypatch.setattr(bpe.TextDecoder, "read", lambda self, ids: fed.append(ids) or read(self, ids) + "?")
+    faulty = [bpe.spoken(own, " ".join(r)) for r in runs]
+    assert fed == [" ".join(r) for r in runs] and all(f.endswith("?") for f in faulty)
+
+
 def test_decoding_is_incremental(codec):
     decoder = bpe.TextDecoder(codec)
     out = "".join(decoder.feed(i) for i in codec.encode("日本 é <|endoftext|> x")) + decoder.finish()

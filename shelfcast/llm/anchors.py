@@ -111,6 +111,25 @@ def keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
     )
 
 
+def _told_apart(docs: DataFrame, text: str, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """Rows under ids that tell texts apart, and the given ids of these names if they are not the same.
+
+    Where an id has several rows, every distinct (id, text) gets a number in the order of id, null
+    first, and text hash. The numbers come from range partitions, so an id with very many texts
+    spreads; rows alike in both keep one name.
+    """
+    rows = docs.select(docs[key].cast("long").alias("given"), docs[text].alias("text"))
+    most = rows.groupBy("given").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if most < 2:
+        return keyed(docs, text, key), None
+    hashed = rows.withColumn("text_md5", F.md5(F.coalesce("text", F.lit(""))))
+    pairs = hashed.select("given", "text_md5").distinct().orderBy("given", "text_md5")
+    names = stored(pairs.withColumn("doc_id", F.monotonically_increasing_id()))
+    own = names.withColumnsRenamed({"given": "own_id", "text_md5": "own_md5"})
+    same = hashed["given"].eqNullSafe(own["own_id"]) & (hashed["text_md5"] == own["own_md5"])
+    return hashed.join(own, same).select("doc_id", "text"), names.select("doc_id", "given")
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
@@ -291,7 +310,8 @@ def settle(
     ranges are window starts relative to the piece's first, [from, to) one after another.
     ``apply(ids, block, lists)`` makes the result rows of one block.
     """
-    rows = keyed(docs, text, key)
+    rows, names = _told_apart(docs, text, key)
+    rows = rows if names is None else stored(rows)
     grams = stored(repeated_grams(rows, scheme))
     found = stored(hits(rows, scheme, grams))
     multiple = found.where(~F.col("single")).select("doc", "gram", "piece", "n")
@@ -318,7 +338,11 @@ def settle(
             found = find(scheme, data, offsets) if own.null_count < len(own) else None
             yield apply(ids[first:last], data, offsets, found, _Hits(own))
 
-    return map_batches(joined, run, schema)
+    made = map_batches(joined, run, schema)
+    if names is None:
+        return made
+    others = [c for c in made.columns if c != "doc_id"]
+    return made.join(names, "doc_id").select(F.col("given").alias("doc_id"), *others)
 
 
 class _Hits:

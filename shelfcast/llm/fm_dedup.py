@@ -13,8 +13,8 @@ first piece tells whether the match starts earlier. A gram with more occurrences
 settled by the first piece of each group of equal windows instead.
 
 Defined results: a null or empty text has no words; documents of fewer than ``WIDTH`` words keep
-all; rows with one id and one text are the same occurrence, neither earlier; a null id sorts before
-all others; further columns are left out; an empty table gives an empty result.
+all; rows with one id and one text are the same occurrence, neither earlier; rows of one id with
+different texts follow the order of their texts' md5; a null id sorts before all others; further columns are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations

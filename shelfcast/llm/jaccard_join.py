@@ -418,10 +418,10 @@ def _across(apart: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _id_filter(ids: DataFrame) -> np.ndarray:
-    """Bits set for the hashes of ids: a fixed number of them, however many ids there are."""
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    """Bits set for the hashes of holders: a fixed number of them, however many there are."""
+    bit = F.pmod(F.xxhash64("holder"), F.lit(FILTER_BITS))
     words = (
-        ids.select((bit / 32).cast("int").alias("word"), F.expr("shiftleft(1L, int(pmod(xxhash64(doc_id), 32)))").alias("bits"))
+        ids.select((bit / 32).cast("int").alias("word"), F.expr("shiftleft(1L, int(pmod(xxhash64(holder), 32)))").alias("bits"))
         .groupBy("word")
         .agg(F.bit_or("bits").alias("bits"))
         .toArrow()
@@ -431,15 +431,20 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def _holder() -> Column:
+    """Names a row by id and text; rows that share a name are told apart by their sets."""
+    return F.xxhash64("doc_id", "text_hash")
+
+
 def _verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs (a, b) that link, by their whole sets."""
     asked = (
-        pairs.select(F.col("holder_a").alias("doc_id"), F.col("a").alias("sig"), "a", "b")
-        .unionByName(pairs.select(F.col("holder_b").alias("doc_id"), F.col("b").alias("sig"), "a", "b"))
-        .groupBy("doc_id")
+        pairs.select(F.col("holder_a").alias("holder"), F.col("a").alias("sig"), "a", "b")
+        .unionByName(pairs.select(F.col("holder_b").alias("holder"), F.col("b").alias("sig"), "a", "b"))
+        .groupBy("holder")
         .agg(F.collect_list(F.struct("sig", "a", "b")).alias("asked"))
     )
-    wanted = rows.sparkSession.sparkContext.broadcast(_id_filter(asked.select("doc_id")))
+    wanted = rows.sparkSession.sparkContext.broadcast(_id_filter(asked.select("holder")))
 
     def squeeze(batch: pa.RecordBatch) -> Iterator[dict]:
         bits = wanted.value
@@ -447,13 +452,13 @@ def _verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
         chosen = np.flatnonzero((bits[place // 32] >> (place % 32).astype(np.uint32)) & np.uint32(1))
         if len(chosen):
             press = zstandard.ZstdCompressor(level=1).compress
-            yield {
-                "doc_id": batch.column(0).take(pa.array(chosen)),
-                "body": [press((batch.column(1)[int(i)].as_py() or "").encode()) for i in chosen],
-            }
+            # Copies of a row would all answer for it: one of a batch is enough.
+            bodies = {(batch.column(0)[i].as_py(), batch.column(1)[i].as_py() or "") for i in chosen.tolist()}
+            yield {"holder": [h for h, _ in bodies], "body": [press(t.encode()) for _, t in bodies]}
 
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("int")
-    texts = map_batches(rows.select("doc_id", "text", place.alias("place")), squeeze, "doc_id long, body binary")
+    place = F.pmod(F.xxhash64("holder"), F.lit(FILTER_BITS)).cast("int")
+    named = rows.withColumn("text_hash", text_hash(F.col("text"))).withColumn("holder", _holder())
+    texts = map_batches(named.select("holder", "text", place.alias("place")), squeeze, "holder long, body binary")
 
     def send(batch: pa.RecordBatch) -> Iterator[dict]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -467,7 +472,7 @@ def _verified(rows: DataFrame, pairs: DataFrame) -> DataFrame:
                 raw = values.tobytes()
                 yield {"a": [x["a"] for x in own], "b": [x["b"] for x in own], "members": [raw] * len(own)}
 
-    sent = map_batches(texts.join(asked, "doc_id"), send, "a long, b long, members binary")
+    sent = map_batches(texts.join(asked, "holder"), send, "a long, b long, members binary")
     met = sent.groupBy("a", "b").agg(F.min("members").alias("x"), F.max("members").alias("y"))
 
     def check(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -487,11 +492,11 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     name and the component's smallest id."""
     rows = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].alias("text"))
     members = stored(_survey(rows.withColumn("text_hash", text_hash(F.col("text")))))
+    # Any one row holds a class's text, with or without an id.
     classes = stored(
         members.where("n > 0")
         .groupBy("sig")
-        .agg(F.first("n").alias("n"), F.min("doc_id").alias("holder"), F.max("bitmap").alias("bitmap"))
-        .where(F.col("holder").isNotNull())
+        .agg(F.first("n").alias("n"), F.min(_holder()).alias("holder"), F.max("bitmap").alias("bitmap"))
     )
     total = members.agg(F.sum("n")).first()[0] or 0
     shards = max(shuffle_width(rows), -(-total // (4 * SHARD)))

@@ -14,8 +14,8 @@ which is a matter of ranks. A gram with more occurrences than a shard is settled
 windows instead.
 
 Defined results: a null or empty text keeps no bytes and loses none; repeated rows are occurrences
-of their own, so copies of a text of at least ``width`` bytes lose everything; null ids are
-documents of their own; further columns are left out; an empty table gives an empty result.
+of their own, so copies of a text of at least ``width`` bytes lose everything; rows
+that share an id, also null, are documents of their own; further columns are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -148,6 +148,25 @@ def test_join_of_odd_rows(odd, nothing):
     assert jaccard_join.join(nothing).count() == 0
 
 
+def test_near_copies_without_ids_link(spark):
+    """Null ids hold sets, bridge others and stay once; ids that repeat keep their texts apart."""
+    base = [f"w{i}" for i in range(60)]
+    near = lambda *at: " ".join(f"x{i}" if i in at else w for i, w in enumerate(base))
+    rows = [
+        (1, near()), (None, near(3)), (3, near(3, 5)), (None, near(3)), (None, "alone " * 3),
+        (7, near(50)), (7, " ".join(f"other{i}" for i in range(40))),
+        (None, " ".join(f"lost{i}" for i in range(40))), (None, " ".join(f"lost{i}" for i in range(39))),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.join(frame).collect()]
+    assert sorted(found, key=str) == sorted([
+        (1, 56, 1), (None, 56, 1), (3, 56, 1), (None, 56, 1), (None, 1, None), (7, 56, 1), (7, 36, 7),
+        (None, 36, None), (None, 35, None),
+    ], key=str)
+    kept = [r["doc_id"] for r in jaccard_join.keep_one(frame).collect()]
+    assert sorted(kept, key=str) == sorted([1, None, 7, None], key=str)
+
+
 def test_bitmaps_bound_the_difference():
     rng = np.random.default_rng(1)
     for n in (1, 5, 100, 900):
@@ -550,6 +569,23 @@ def test_deduplication_of_odd_rows(odd, nothing):
     assert suffix_dedup.report(nothing).count() == fm_dedup.report(nothing).count() == 0
 
 
+def test_deduplication_with_null_and_repeated_ids(spark):
+    """Different texts under one id lose a shared passage whole, at its own borders."""
+    passage = " ".join(f"shared{i}" for i in range(60))
+    own = lambda name: " ".join(f"{name}{i}" for i in range(30))
+    texts = [f"{own('a')} {passage} {own('b')}", f"{own('c')} {passage}", f"{passage} {own('d')}", own("e")]
+    for ids in ([None, None, None, None], [7, 7, 7, 8], [1, None, 1, None]):
+        rows = list(zip(ids, texts, strict=True))
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5(r[1].encode()).hexdigest()))
+        expected = brute_words(dict(enumerate(t for _, t in order)), fm_dedup.WIDTH)
+        got = [tuple(r) for r in fm_dedup.report(frame).collect()]
+        assert sorted(got, key=str) == sorted(((order[i][0], *expected[i]) for i in expected), key=str)
+        expected = brute_bytes(dict(enumerate(t for _, t in order)), 200)
+        got = [tuple(r) for r in suffix_dedup.report(frame).collect()]
+        assert sorted(got, key=str) == sorted(((order[i][0], *expected[i]) for i in expected), key=str)
+
+
 def test_loser_tree_merges_front_coded_runs():
     rng = random.Random(2)
     runs = [sorted(bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 12))) for _ in range(rng.randint(0, 40))) for _ in range(7)]

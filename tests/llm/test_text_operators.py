@@ -307,7 +307,7 @@ def test_long_secrets_go_whole(spark):
         text = f"first words token={given} last words"
         start = text.index("token")
         span = ("secret", start, start + len(f"token={given}"))
-        assert span in pii.candidates(text) and pii.weak_label(text, span, set()) == 1
+        assert span in pii.candidates(text) and pii.evidence(text, span, set()) == 1
         assert pii.masked(text, pii.find(text, model)[1]) == "first words [SECRET] last words"
     # Words of any length are proposed whole, and so are assignments inside a long address.
     link = f"https://host.example/{word(300)}?token={secret}"
@@ -315,10 +315,82 @@ def test_long_secrets_go_whole(spark):
     found = pii.candidates(text)
     assert ("secret", 12, 12 + len(link)) in found and ("secret", text.index("token"), 12 + len(link)) in found
     assert ("secret", 0, 90) in pii.candidates("A1" * 45 + " last words")
-    for many in ("a1=", 'a1="', "token=", "token: '", "a.", "x=token="):
+    named = f'{"n" * 60}.password="{word(9)} {word(9)}"'
+    assert ("secret", 6, 6 + len(named)) in pii.candidates(f"first {named} last")
+    assert ("card", 0, 60) in pii.candidates("4" * 60)
+    for many in ("a1=", 'a1="', "token=", "token: '", "a.", "x=token=", "a--", "1-", "(1", "12 ", "--"):
         pii.candidates(many * 60_000)
 
 
+def test_trees_find_what_no_rule_of_theirs_names(spark):
+    rng = random.Random(17)
+    hexed = lambda n=40: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    words = lambda: " ".join(rng.choice(("page12", "chapter", "order66", "river", "2024", "of", "the")) for _ in range(8))
+    phone = lambda: f"({rng.randint(200, 999)}) 555-{rng.randint(1000, 9999)}"
+    rows = [(i, f"{words()} token = \"{hexed()}\" {words()} +1 {phone()} {words()} password: {hexed(38)} {words()}") for i in range(300)]
+    model = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+
+    def spans(value):
+        text = f"{words()} {value} {words()}"
+        at = text.index(value)
+        # The rules alone, which say what fitting starts from.
+        base = set(pii.base_spans(text))
+        ruled = any(pii.evidence(text, s, base) for s in pii.candidates(text) if s[1] <= at and s[2] >= at + len(value))
+        return ruled, any(s <= at and e >= at + len(value) for _, s, e in pii.find(text, model)[1])
+
+    # Secrets that nothing names, phone numbers without a country, and names that no list holds.
+    for made in (hexed, phone, lambda: f"sesskey={hexed()}"):
+        ruled, found = zip(*[spans(made()) for _ in range(100)], strict=True)
+        assert not any(ruled) and sum(found) >= 90
+    plain = [f"{words()} {w} {words()}" for w in ("order12345", "1234567890123456", "300.12.13.14", "internationalization", "me@host")]
+    assert [pii.find(t, model)[1] for t in plain] == [[]] * len(plain)
+
+
+def test_planted_personal_data_is_found_in_real_text(spark):
+    rng = random.Random(19)
+    sf_documents = table(spark, "/root/testdata/sf0.1", "documents")
+    model = pii.fit(sf_documents)
+    kinds = {
+        "email": lambda: f"ann.b{rng.randint(1, 99)}@mail{rng.randint(1, 9)}.example.org",
+        "ip": lambda: ".".join(str(rng.randint(1, 255)) for _ in range(4)),
+        "phone": lambda: f"+44 {rng.randint(100, 999)} 555 {rng.randint(1000, 9999)}",
+        "secret": lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40)),
+    }
+    texts = [r["text"] for r in sf_documents.where("length(text) > 200").orderBy("doc_id").limit(100).collect()]
+    for kind, make in kinds.items():
+        found = 0
+        for text in texts:
+            value, cut = make(), text.find(" ", 100)
+            if cut < 0:
+                cut = len(text)
+            planted = f"{text[:cut]} {value} {text[cut:]}"
+            found += any(k == kind and s <= cut + 1 and e >= cut + 1 + len(value) for k, s, e in pii.find(planted, model)[1])
+        assert found >= 0.9 * len(texts), (kind, found)
+
+
+def test_examples_do_not_show_their_evidence(spark):
+    text = 'words then password="a1b2c3d4e5" and words'
+    span = ("secret", 11, 32)
+    bare = ("secret", 21, 31)
+    assert text[11:32] == 'password="a1b2c3d4e5"' and text[21:31] == "a1b2c3d4e5"
+    # The format of a value does not depend on its name, nor the context on the value.
+    assert pii.format_features("secret", text[11:32]) == pii.format_features("secret", text[slice(*bare[1:])])
+    other = text.replace("a1b2c3d4e5", "tomorrows!")
+    assert pii.context_features(text, span) == pii.context_features(other, span)
+    # A part of a labelled value is no counterexample.
+    told = [(f, e) for f, _, e in pii.examples(text)]
+    assert sum(e == 1 for _, e in told) == 1
+    assert all(e for f, e in told if f == pii.format_features(*("secret", "a1b2c3d4e5")))
+
+
+def test_equal_candidates_count_once_in_the_draw(spark):
+    rows = [(i, "the same 1234567 words and number again") for i in range(3000)]
+    rows += [(9000 + i, f"word {i} password={i * 7919 + 10**11:x}q{i} follows") for i in range(40)]
+    model = pii.fit(spark.createDataFrame(rows, "doc_id long, text string"), sample=200)
+    assert model.form is not None and "secret" in model.thresholds
+    assert pii.find("words and password=1a2b3c4d5e6fq7 follow", model)[1] == [("secret", 10, 33)]
+
+
 # ------------------------------------------------------------------------------------- mixing
 
 

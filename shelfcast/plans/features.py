@@ -50,15 +50,23 @@ def retail_features(sales: DataFrame, features: DataFrame, stores: DataFrame) ->
     known = keep_complete(flagged, SALES_KEY)
     lagged = model_lags(highest_sale_per_key(known, "isholidayencoded"))
     conditions = one_row_per_key(features, ["store", "date"])
-    scaled = standardize(with_conditions(lagged, conditions), ECONOMY)
+    return filled(with_store(standardize(with_conditions(lagged, conditions), ECONOMY), stores))
+
+
+def with_store(rows: DataFrame, stores: DataFrame) -> DataFrame:
+    """Attributes of the store, markdown total, holiday text and calendar fields."""
     fields = calendar("date")
-    joined = total_markdown(scaled.join(stores, "store", "left")).withColumns(
+    return total_markdown(rows.join(stores, "store", "left")).withColumns(
         {
             "isholiday": F.when(F.col("isholidayencoded") == 1, "TRUE").otherwise("FALSE"),
             **{name: fields[name] for name in ("week", "month", "year")},
         }
     )
-    return fill_by_type(joined, keep=(*SALES_KEY, "weekly_sales"))
+
+
+def filled(rows: DataFrame) -> DataFrame:
+    """Missing values by type; sales stay missing."""
+    return fill_by_type(rows, keep=(*SALES_KEY, "weekly_sales"))
 
 
 def scaled_economy(sales: DataFrame, features: DataFrame) -> DataFrame:

@@ -45,6 +45,9 @@ class Layers:
     def target(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}" if self.root else f"{layer}.{name}"
 
+    def exists(self, layer: str, name: str) -> bool:
+        return tables.exists(self.spark, self.target(layer, name))
+
     def read(self, layer: str, name: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
         return tables.read_table(self.spark, self.target(layer, name), first, last)
 
@@ -58,10 +61,14 @@ class Layers:
         else:
             tables.write_run(counted, self.target(layer, name), run)
         self.rows[f"{layer}.{name}"] = seen.get["rows"]
-        if run is not None and self.root:  # a table of runs may have no rows, hence no files
-            schema = StructType([*df.schema.fields]).add("run", StringType())
-            return self.spark.read.schema(schema).parquet(self.target(layer, name))
-        return self.read(layer, name)
+        return self.read(layer, name) if run is None else self.read_runs(layer, name, df.schema)
+
+    def read_runs(self, layer: str, name: str, schema: StructType) -> DataFrame:
+        """A table of runs with that schema; it may have no rows, hence no files."""
+        if not self.root:
+            return self.read(layer, name)
+        with_run = StructType([*schema.fields]).add("run", StringType())
+        return self.spark.read.schema(with_run).parquet(self.target(layer, name))
 
 
 def ingest(layers: Layers, stores_csv: str, features_csv: str, sales_csv: str) -> DataFrame:

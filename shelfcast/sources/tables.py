@@ -93,6 +93,13 @@ def _is_path(target: str) -> bool:
     return "/" in target
 
 
+def exists(spark: SparkSession, target: str) -> bool:
+    if not _is_path(target):
+        return spark.catalog.tableExists(target)
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def partition_columns(spark: SparkSession, target: str) -> list[str]:
     """Columns that the table itself is partitioned by; a data column of the same name is none."""
     if not _is_path(target):

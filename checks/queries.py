@@ -16,6 +16,7 @@ from shelfcast.plans import (
     features,
     linear,
     models,
+    origins,
     reports,
     series_models,
     star,
@@ -238,6 +239,19 @@ def dq_unique(x: RetailInputs) -> DataFrame:
     )
 
 
+@query
+def dq_unique_keys(x: RetailInputs) -> DataFrame:
+    return quality.unique_keys(
+        [
+            ("dim_store", ["store_id"], dim_store(x)),
+            ("dim_date", ["date"], dim_date(x)),
+            ("raw_sales", ["store", "dept", "date"], x.sales()),
+            ("raw_features", ["store", "date"], x.features()),
+            ("fct_sales_analytics", ["store", "dept", "date"], fct_sales_analytics(x)),
+        ]
+    )
+
+
 # --- cleaning and features ----------------------------------------------------------
 
 
@@ -444,6 +458,12 @@ def forecast_accuracy_by_series(x: RetailInputs) -> DataFrame:
     return rounded(scored, 6, "rmse", "mape")
 
 
+@query
+def forecast_errors_by_horizon(x: RetailInputs) -> DataFrame:
+    errors = origins.errors_by_horizon(_regular(x))
+    return rounded(errors, 6, *[f"{kind}_{m}" for kind in ("rmse", "mae") for m in origins.METHODS])
+
+
 @query
 def regression_metrics(x: RetailInputs) -> DataFrame:
     scored = x.sales_base().join(x.predictions(), cleaning.SALES_KEY)

@@ -12,6 +12,8 @@ from itertools import product
 import numpy as np
 
 SEASON = 52
+#: Values beyond the seasons that a seasonal model needs, about what its largest search has to fit.
+SPARE = 30
 # Order used when no searched order is stable.
 FALLBACK_ORDER = (2, 1, 2)
 
@@ -102,26 +104,34 @@ def _undo(history: np.ndarray, future: np.ndarray, lag: int) -> np.ndarray:
 
 
 def forecast(
-    y: np.ndarray, horizon: int, max_p: int = 2, max_d: int = 1, max_q: int = 2, season: int = SEASON
+    y: np.ndarray,
+    horizon: int,
+    max_p: int = 2,
+    max_d: int = 1,
+    max_q: int = 2,
+    season: int = SEASON,
+    spare: int = SPARE,
 ) -> np.ndarray:
     """Next values of a series.
 
-    A difference (seasonal, then weekly) is taken where it lowers the variance. Seasonal
-    terms need two full seasons. Without a stable order the fallback order is tried, then
-    a straight line through the ends.
+    A difference (seasonal, then weekly) is taken where it lowers the variance. A seasonal
+    difference needs two full seasons and ``spare`` values, seasonal terms one season and
+    ``spare`` values after differencing, as the search fits on what the lags leave. Shorter
+    series are fitted without a season. Without a stable order the fallback order is tried,
+    then a straight line through the ends.
     """
     y = np.asarray(y, dtype=float)
     if np.ptp(y) == 0:
         return np.full(horizon, y[-1])
     stages = [y]
-    seasonal = len(y) >= 2 * season + 30
+    seasonal = len(y) >= 2 * season + spare
     taken = []
     for lag, allowed in ((season, seasonal), (1, max_d > 0)):
         differenced = stages[-1][lag:] - stages[-1][:-lag] if allowed else None
         if differenced is not None and np.var(differenced) < np.var(stages[-1]):
             stages.append(differenced)
             taken.append(lag)
-    extra = [(), (season,)] if seasonal and len(stages[-1]) >= season + 30 else [()]
+    extra = [(), (season,)] if seasonal and len(stages[-1]) >= season + spare else [()]
     ar_sets = [(*range(1, p + 1), *s) for p in range(max_p + 1) for s in extra]
     ma_sets = [(*range(1, q + 1), *s) for q in range(max_q + 1) for s in extra]
     fitted = _model(stages[-1], ar_sets, ma_sets, horizon)

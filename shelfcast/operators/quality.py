@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.cleaning import keep_complete
 
+
 def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
     """Null rows of several columns, in one aggregate over the table."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
@@ -31,5 +32,31 @@ def unique(df: DataFrame, model: str, key: list[str]) -> DataFrame:
     )
 
 
+def unique_keys(keyed: list[tuple[str, list[str], DataFrame]]) -> DataFrame:
+    """``unique`` for the keys of any number of tables, in one shuffle by check and key.
+
+    Key columns are numbers, dates or text; their JSON form tells any two values apart. Repeats
+    collapse before they move, so no key value is too frequent.
+    """
+    rows = [
+        keep_complete(df, key).select(F.lit(i).alias("check"), F.to_json(F.struct(*key)).alias("key"))
+        for i, (_, key, df) in enumerate(keyed)
+    ]
+    times = reduce(DataFrame.unionByName, rows).groupBy("check", "key").agg(F.count(F.lit(1)).alias("n"))
+    repeated = [(F.col("check") == i) & (F.col("n") > 1) for i in range(len(keyed))]
+    found = times.agg(*[F.count_if(r).alias(f"check_{i}") for i, r in enumerate(repeated)])
+    checks = F.array(
+        *[
+            F.struct(
+                F.lit(model).alias("model"),
+                F.lit(",".join(key)).alias("column_name"),
+                F.col(f"check_{i}").alias("failures"),
+            )
+            for i, (model, key, _) in enumerate(keyed)
+        ]
+    )
+    return found.select(F.inline(checks))
+
+
 def all_checks(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)

@@ -76,12 +76,16 @@ def ar1_on_differences(
         F.regr_slope("now", "before").alias("b"),
         F.regr_intercept("now", "before").alias("a"),
     )
-    a, b, d, h = F.col("a"), F.col("b"), F.col("d"), F.col("step")
+    return _ahead(fit, horizon, F.col("last_value") + summed_differences(F.col("step")))
+
+
+def summed_differences(h: Column) -> Column:
+    """Sum of the next ``h`` differences of the line ``a + b d``, 0 without a line."""
+    a, b, d = F.col("a"), F.col("b"), F.col("d")
     mean = a / (1 - b)
     damped = h * mean + (d - mean) * b * (1 - F.pow(b, h)) / (1 - b)
     linear = h * d + a * h * (h + 1) / 2
-    moved = F.when(b == 1, linear).otherwise(damped)
-    return _ahead(fit, horizon, F.col("last_value") + F.coalesce(moved, F.lit(0.0)))
+    return F.coalesce(F.when(b == 1, linear).otherwise(damped), F.lit(0.0))
 
 
 def trend_regression(df: DataFrame, origin: dt.date | str, value: str = "weekly_sales") -> DataFrame:

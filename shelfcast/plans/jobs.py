@@ -8,6 +8,7 @@ the same names when no folder is given.
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -36,11 +37,18 @@ ALL_MODELS = ("random_forest", "gbt", "linear_regression")
 
 @dataclass(frozen=True)
 class Layers:
-    """Where the tables of each layer are, and how many rows this run wrote to them."""
+    """Where the tables of each layer are, and what this run's writes counted.
+
+    Catalog layers with ``buckets`` keep the tables that have one row per series and date bucketed
+    by series, so lags, groups and joins of such tables need no shuffle. A good number gives
+    buckets of some hundred megabytes; it must be the same for all tables of the layers.
+    """
 
     spark: SparkSession
     root: str | None = None
     rows: dict[str, int] = field(default_factory=dict)  # written by the last write of each table
+    nulls: dict[str, dict[str, int]] = field(default_factory=dict)  # and nulls of its required columns
+    buckets: int | None = None
 
     def target(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}" if self.root else f"{layer}.{name}"
@@ -51,16 +59,35 @@ class Layers:
     def read(self, layer: str, name: str, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
         return tables.read_table(self.spark, self.target(layer, name), first, last)
 
-    def write(self, df: DataFrame, layer: str, name: str, run: str | None = None, **options) -> DataFrame:
-        """Replaces the table, or only the rows of a run where one is named."""
+    def write(
+        self,
+        df: DataFrame,
+        layer: str,
+        name: str,
+        run: str | None = None,
+        required: list[str] | None = None,
+        by_series: bool = False,
+        **options,
+    ) -> DataFrame:
+        """Replaces the table, or only the rows of a run where one is named.
+
+        Rows, and nulls of the required columns, are counted by the write itself. ``by_series``
+        says that the table has one row per series and date.
+        """
         if not self.root:
             self.spark.sql(f"create database if not exists {layer}")
-        counted, seen = tables.count_rows(df, f"{layer}.{name}")
-        if run is None:
-            tables.write_table(counted, self.target(layer, name), **options)
-        else:
-            tables.write_run(counted, self.target(layer, name), run)
+        counted, seen = tables.count_rows(df, f"{layer}.{name}", required)
+        target = self.target(layer, name)
+        with tables.co_partitioned(self.spark) if self.buckets else nullcontext():
+            if run is not None:
+                tables.write_run(counted, target, run)
+            elif by_series and self.buckets and not self.root:
+                tables.write_series_table(counted, target, self.buckets, **options)
+            else:
+                tables.write_table(counted, target, **options)
         self.rows[f"{layer}.{name}"] = seen.get["rows"]
+        if required:
+            self.nulls[name] = {c: seen.get[f"null_{c}"] for c in required}
         return self.read(layer, name) if run is None else self.read_runs(layer, name, df.schema)
 
     def read_runs(self, layer: str, name: str, schema: StructType) -> DataFrame:
@@ -91,7 +118,7 @@ def ingest(layers: Layers, stores_csv: str, features_csv: str, sales_csv: str) -
         wrong.append(rejected.select(F.lit(name).alias("table"), "line", "reason"))
     layers.write(reduce(DataFrame.unionByName, wrong), RAW, "rejected_lines")
     table = features.retail_features(raw["stg_sales"], raw["stg_features"], raw["stg_stores"])
-    return layers.write(table, STAGING, "retail_features", partition_by=["year"])
+    return layers.write(table, STAGING, "retail_features", by_series=True, partition_by=["year"])
 
 
 def forecast_future(
@@ -114,7 +141,7 @@ def forecast_future(
     final = models.fit([best], table, cut)[best]
     with scratch(layers.spark):
         forecast = models.forecast_recursive(final, table, cut, horizon)
-        stored = layers.write(forecast, ANALYTICS, "weekly_sales_recursive")
+        stored = layers.write(forecast, ANALYTICS, "weekly_sales_recursive", by_series=True)
     return scores, stored
 
 
@@ -129,7 +156,7 @@ def forecast_bulk(
     table = layers.read(STAGING, "retail_features", last=cut)
     model = models.fit([name], table, cut)[name]
     forecast = models.forecast_direct(model, table, cut, last, conditions)
-    return layers.write(forecast, ANALYTICS, "weekly_sales_direct")
+    return layers.write(forecast, ANALYTICS, "weekly_sales_direct", by_series=True)
 
 
 def forecast_each_series(
@@ -149,7 +176,7 @@ def forecast_each_series(
     layers.write(off_grid_rows(sales), ANALYTICS, "off_grid_rows")
     forecast = layers.write(
         series_models.forecast_by_series(sales, horizon, origin=origin),
-        ANALYTICS, "weekly_sales_by_series",
+        ANALYTICS, "weekly_sales_by_series", by_series=True,
     )
     evaluation = series_models.backtest_by_series(sales)
     return forecast, layers.write(
@@ -158,13 +185,16 @@ def forecast_each_series(
 
 
 def build_star(layers: Layers, predictions: DataFrame) -> dict[str, DataFrame]:
-    """Dimensions, fact and KPI tables; the KPIs read the stored fact."""
+    """Dimensions, fact and KPI tables; the KPIs read the stored fact.
+
+    The writes count nulls of the columns that must have none, for ``check_star``.
+    """
     table = layers.read(STAGING, "retail_features")
     sales = star.stg_sales(table)
     stores = star.stg_stores(layers.read(RAW, "stg_stores"))
     fact = layers.write(
         star.fct_sales_analytics(sales, star.stg_features(table), stores, predictions),
-        ANALYTICS, "fct_sales_analytics", partition_by=["year"],
+        ANALYTICS, "fct_sales_analytics", partition_by=["year"], required=NOT_NULL["fct_sales_analytics"],
     )
     built = {
         "dim_store": star.dim_store(stores),
@@ -173,7 +203,9 @@ def build_star(layers: Layers, predictions: DataFrame) -> dict[str, DataFrame]:
         "kpi_monthly_sales_trend": star.kpi_monthly_sales_trend(fact),
         "kpi_prediction_accuracy": star.kpi_prediction_accuracy(fact),
     }
-    stored = {name: layers.write(df, ANALYTICS, name) for name, df in built.items()}
+    stored = {
+        name: layers.write(df, ANALYTICS, name, required=NOT_NULL.get(name)) for name, df in built.items()
+    }
     return {"fct_sales_analytics": fact, **stored}
 
 
@@ -190,8 +222,17 @@ UNIQUE = {"dim_store": ["store_id"], "dim_date": ["date"]}
 FACT_KEY = {"fct_sales_analytics": SALES_KEY}
 
 
-def check_star(built: dict[str, DataFrame]) -> DataFrame:
-    """Failures of every declared check and of the fact's key; all 0 when the models are sound."""
-    checks = [quality.not_null(built[m], m, columns) for m, columns in NOT_NULL.items()]
-    checks += [quality.unique(built[m], m, key) for m, key in {**UNIQUE, **FACT_KEY}.items()]
-    return quality.all_checks(checks)
+def check_star(built: dict[str, DataFrame], layers: Layers | None = None) -> DataFrame:
+    """Failures of every declared check and of the fact's key; all 0 when the models are sound.
+
+    With the layers that built the tables, nulls are those their writes counted, and one job with
+    one shuffle checks all keys. Without, every table is read for its nulls.
+    """
+    keys = [(m, key, built[m]) for m, key in {**UNIQUE, **FACT_KEY}.items()]
+    if layers is None:
+        nulls = [quality.not_null(built[m], m, columns) for m, columns in NOT_NULL.items()]
+    else:
+        counted = [(m, c, layers.nulls[m][c]) for m, columns in NOT_NULL.items() for c in columns]
+        schema = "model string, column_name string, failures long"
+        nulls = [layers.spark.createDataFrame(counted, schema)]
+    return quality.all_checks([*nulls, quality.unique_keys(keys)])

@@ -154,15 +154,18 @@ def write_table(
         writer.format("parquet").saveAsTable(target)
 
 
-def write_series_table(df: DataFrame, name: str, buckets: int, mode: str = "overwrite") -> None:
-    """Catalog table bucketed by series and sorted by date.
+def write_series_table(
+    df: DataFrame, name: str, buckets: int, mode: str = "overwrite", partition_by: list[str] | None = None
+) -> None:
+    """Catalog table bucketed by series and sorted by date, within partitions where some are named.
 
-    Windows and groups per series, and joins of two such tables, then need no shuffle.
-    Only for one row per series and date, which bounds what a series adds to its bucket.
+    Windows and groups per series, and joins of two such tables under ``co_partitioned``, then need
+    no shuffle. Only for one row per series and date, which bounds what a series adds to its bucket.
     """
     (
         df.repartition(buckets, *SERIES)
         .write.mode(mode)
+        .partitionBy(*partition_by or [])
         .bucketBy(buckets, *SERIES)
         .sortBy(*SERIES, "date")
         .format("parquet")
@@ -189,6 +192,17 @@ def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+@contextmanager
+def co_partitioned(spark: SparkSession) -> Iterator[None]:
+    """Plans made meanwhile join tables bucketed by series on longer keys without a shuffle.
+
+    A bucket holds whole series, and a series at most one row per week, so joining on series and
+    date by buckets cannot put more into a task than the buckets hold.
+    """
+    with _setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+        yield
+
+
 def write_run(df: DataFrame, target: str, run: str) -> None:
     """Rows of one run of a table that many runs add to: a partition of the table.
 
@@ -221,7 +235,11 @@ def create_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def count_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Row count taken while the frame is written or read, without a job of its own."""
+def count_rows(df: DataFrame, name: str, required: list[str] | None = None) -> tuple[DataFrame, Observation]:
+    """Row count, and null rows of each required column as ``null_<column>``.
+
+    They are taken while the frame is written or read, without a job of their own.
+    """
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required or []]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls), seen

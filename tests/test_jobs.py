@@ -6,7 +6,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.plans import jobs
+from shelfcast.operators.series import sales_lags
+from shelfcast.plans import jobs, star
+from shelfcast.sources import tables
 
 FIRST = dt.date(2010, 2, 5)
 WEEKS = 150
@@ -124,6 +126,23 @@ def test_star_is_built_and_sound(layers):
     assert built["kpi_prediction_accuracy"].filter("poor_predictions > 0").count() == 0
     failures = jobs.check_star(built).collect()
     assert len(failures) == 11 and all(r["failures"] == 0 for r in failures)
+    counted = jobs.check_star(built, layers).collect()
+    assert sorted(counted) == sorted(failures)
+
+
+def test_writes_count_nulls_for_the_checks(layers, spark):
+    """Nulls come from the write, keys from one more job, whatever the number of checks."""
+    past = layers.read("staging", "retail_features").selectExpr(
+        "store", "dept", "date", "weekly_sales as predicted_weekly_sales"
+    )
+    built = jobs.build_star(layers, past)
+    rows = spark.createDataFrame([(None, "A", 1), (1, "A", 2), (1, "B", 3)], "store_id int, store_type string, store_size int")
+    built["dim_store"] = layers.write(rows, "analytics", "dim_store", required=["store_id"])
+    found = {(r["model"], r["column_name"], r["failures"]) for r in jobs.check_star(built, layers).collect()}
+    assert {f for f in found if f[2]} == {("dim_store", "store_id", 1)}
+    kinds = [(r["model"], r["column_name"], r["failures"]) for r in jobs.check_star(built, layers).collect()]
+    assert kinds.count(("dim_store", "store_id", 1)) == 2  # one null, one repeated value
+    assert layers.nulls["dim_store"] == {"store_id": 1}
 
 
 def test_repeated_predictions_fail_the_fact_key(layers):
@@ -140,3 +159,37 @@ def test_catalog_layers(spark):
     catalog.write(spark.range(3), "staging", "three")
     assert spark.table("staging.three").count() == 3
     spark.sql("drop table staging.three")
+
+
+def test_tables_in_buckets_need_no_shuffle_by_series(layers, spark):
+    """Features, lags of them, and the fact's join with predictions stay in their buckets."""
+    catalog = jobs.Layers(spark, buckets=4)
+    table = layers.read("staging", "retail_features")
+    names = ("staging.bucketed_features", "analytics.bucketed_predictions", "analytics.bucketed_fact")
+    try:
+        stored = catalog.write(table, "staging", "bucketed_features", by_series=True, partition_by=["year"])
+        past = table.selectExpr("store", "dept", "date", "weekly_sales * 1.05 as predicted_weekly_sales")
+        predictions = catalog.write(past, "analytics", "bucketed_predictions", by_series=True)
+        assert catalog.rows["staging.bucketed_features"] == 4 * WEEKS == stored.count()
+
+        def shuffles(df):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "dept" in line]
+
+        assert not shuffles(sales_lags(stored))
+        stores = star.stg_stores(layers.read("raw", "stg_stores"))
+        args = (star.stg_sales(stored), star.stg_features(stored), stores, predictions)
+        with tables.co_partitioned(spark):
+            fact = star.fct_sales_analytics(*args)
+            assert not shuffles(fact)
+        assert shuffles(star.fct_sales_analytics(star.stg_sales(table), star.stg_features(table), stores, past))
+        written = catalog.write(fact, "analytics", "bucketed_fact")
+        plain = star.fct_sales_analytics(star.stg_sales(table), star.stg_features(table), stores, past)
+        assert written.exceptAll(plain).count() == 0 == plain.exceptAll(written).count()
+        year = dt.date(FIRST.year, 12, 31)
+        bounded = catalog.read("staging", "bucketed_features", last=year)
+        assert "PartitionFilters: [isnotnull(year" in bounded._jdf.queryExecution().executedPlan().toString()
+        assert bounded.exceptAll(stored.filter(F.col("date") <= year)).count() == 0
+    finally:
+        for name in names:
+            spark.sql(f"drop table if exists {name}")

@@ -152,6 +152,10 @@ def test_quality_checks_report_failures(spark):
     assert [r["id"] for r in ids.filter(F.col("id") == 1).collect()] == [1]
     twice = ids.unionByName(ids)
     assert quality.unique(twice, "ids", ["id"]).first()["failures"] == 1
+    keyed = [("ids", ["id"], ids), ("twice", ["id"], twice), ("none", ["id"], ids.limit(0))]
+    assert [tuple(r) for r in quality.unique_keys(keyed).collect()] == [
+        ("ids", "id", 0), ("twice", "id", 1), ("none", "id", 0)
+    ]
 
 
 def test_top_departments_keep_ties(spark):

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.tables import map_batches
@@ -120,27 +120,25 @@ def learnable(labels: DataFrame, key: str, label: str) -> DataFrame:
 
 
 def sample(docs: DataFrame, chosen: DataFrame, per_class: int, text: str, key: str) -> list[tuple]:
-    """At most 2 * per_class (text, label, turn) of each class; ids are chosen from labels alone."""
+    """At most 2 * per_class (text, label, turn) of each class; ids are chosen from labels alone.
+
+    An id with several texts gives the one of lowest hash, and Spark counts out each class, so the
+    driver gets no more than that.
+    """
     known = docs.select(docs[key].alias("id"), docs[text].alias("text"))
-    parts = []
-    for value in (0, 1):
-        # Twice the number, as some may be missing or too long.
-        ids = (
-            chosen.where(F.col("label") == value)
-            .orderBy(F.xxhash64("id"), "id")
-            .limit(4 * per_class)
-        )
-        parts.append(ids)
-    picked = known.join(F.broadcast(parts[0].unionByName(parts[1])), "id").where(
+    by_id = (F.xxhash64("id"), F.col("id"))
+    # Twice the number, as some may be missing or too long.
+    ids = [chosen.where(F.col("label") == y).orderBy(*by_id).limit(4 * per_class) for y in (0, 1)]
+    picked = known.join(F.broadcast(ids[0].unionByName(ids[1])), "id").where(
         F.length("text").between(1, SAMPLE_CHARS)
     )
-    rows = picked.orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).collect()
-    out, seen = [], {0: 0, 1: 0}
-    for r in rows:
-        if seen[r["label"]] < 2 * per_class:
-            out.append((r["text"], r["label"], seen[r["label"]] % 2))
-            seen[r["label"]] += 1
-    return out
+    single = picked.groupBy("id", "label").agg(
+        F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")
+    )
+    place = F.row_number().over(Window.partitionBy("label").orderBy(*by_id))
+    taken = single.withColumn("place", place).where(F.col("place") <= 2 * per_class)
+    rows = taken.orderBy("label", "place").select("text", "label", "place").collect()
+    return [(r["text"], r["label"], (r["place"] - 1) % 2) for r in rows]
 
 
 def fit(

@@ -9,8 +9,9 @@ the words nor the number of documents taken, until each is 0 or 1.
 A flight works on a block of a source and leaves at most two fractional documents, so a source of
 any size is flown in blocks and the leftovers of all blocks are flown again, until one block is
 left. Only its last documents, two at most, cannot move any more; the landing rounds them to the
-nearest total and lets one pair of that block trade places where that comes nearer. Blocks follow a hash of the document's id and draws are seeded by source, round
-and block, so reruns agree.
+nearest total and lets one pair of that block trade places where that comes nearer. Blocks follow a
+hash of the document's id, size and number among the rows that share both, so that no id fills a
+block, and draws are seeded by source, round and block, so reruns agree.
 
 Defined results: a null or empty text has size 0 and takes 0 words; a null source is a source of
 its own, last in order; rows with a repeated or null id are drawn row by row; further columns are
@@ -35,16 +36,28 @@ WEIGHTS = (5.0, 2.0, 1.0)
 BUDGET, CAP = 1.5, 2.0
 #: Documents of one flight.
 BLOCK = 4096
+#: Rows alike that are numbered at once.
+_STRETCH = 65536
 SEED = 20240611
 _NEAR = 1e-9
 
 
 def sized(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source") -> DataFrame:
-    return docs.select(
+    """Per row: id, source, size, and its number among the rows that agree in all three.
+
+    Rows alike are counted before they move and written out again by stretches, so many null or
+    repeated ids pass through no single group.
+    """
+    rows = docs.select(
         docs[key].cast("long").alias("doc_id"),
         docs[source].cast("string").alias("source"),
         F.coalesce(F.regexp_count(docs[text], F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
     )
+    alike = rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n"))
+    stretches = F.explode(F.expr(f"sequence(0L, (n - 1) div {_STRETCH})"))
+    first = F.col("stretch") * _STRETCH
+    numbers = F.explode(F.sequence(first + 1, F.least(first + _STRETCH, F.col("n"))))
+    return alike.withColumn("stretch", stretches).select("doc_id", "source", "size", numbers.alias("number"))
 
 
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
@@ -145,23 +158,25 @@ def land(sizes: np.ndarray, shares: np.ndarray, wanted: float) -> np.ndarray:
     return taken
 
 
-_UNIT = "doc_id long, source string, size long, source_size long, target double, whole long, share double"
+_UNIT = (
+    "doc_id long, source string, size long, number long, source_size long, target double, whole long, share double"
+)
 
 
-def _round(units: DataFrame, number: int, block: int, seed: int) -> DataFrame:
+def _round(units: DataFrame, turn: int, block: int, seed: int) -> DataFrame:
     """One flight of every block; a source of a single block is landed too."""
     counts = units.groupBy("source").agg(F.ceil(F.count("*") / block).alias("blocks"))
     placed = units.join(counts, units["source"].eqNullSafe(counts["source"])).drop(counts["source"])
-    draw = F.xxhash64("doc_id", F.lit(seed), F.lit(number))
+    draw = F.xxhash64("doc_id", "size", "number", F.lit(seed), F.lit(turn))
     dealt = placed.withColumn("block", F.pmod(draw, F.col("blocks")))
 
     def one(rows: pa.Table) -> pa.Table:
-        order = rows.sort_by([("size", "ascending"), ("doc_id", "ascending")])
+        order = rows.sort_by([(n, "ascending") for n in ("size", "doc_id", "number")])
         sizes = order.column("size").to_numpy().astype(float)
         shares = order.column("share").to_numpy()
         name = order.column("source")[0].as_py()
         number_of_name = int.from_bytes((name or "\0").encode()[:64].ljust(8, b"\0"), "little")
-        key = [seed, number, order.column("block")[0].as_py(), number_of_name]
+        key = [seed, turn, order.column("block")[0].as_py(), number_of_name]
         rng = np.random.default_rng(np.random.SeedSequence(key))
         # A random order lets the two units that are left have any size.
         shuffle = rng.permutation(len(sizes))
@@ -169,27 +184,31 @@ def _round(units: DataFrame, number: int, block: int, seed: int) -> DataFrame:
         moved[shuffle] = fly(sizes[shuffle], shares[shuffle], rng)
         if order.column("blocks")[0].as_py() == 1:
             moved = land(sizes, moved, float((shares * sizes).sum()))
-        columns = [order.column(n) for n in ("doc_id", "source", "size", "source_size", "target", "whole")]
-        names = ["doc_id", "source", "size", "source_size", "target", "whole", "share"]
-        return pa.table([*columns, pa.array(moved)], names=names)
+        kept = ["doc_id", "source", "size", "number", "source_size", "target", "whole"]
+        return pa.table([*order.select(kept).columns, pa.array(moved)], names=[*kept, "share"])
 
     return dealt.groupBy("source", "block").applyInArrow(one, _UNIT)
 
 
 def mix(sizes: DataFrame, goals: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """Per document: size, its source's words and target, copies taken and words taken."""
+    """Per document: size, its source's words and target, copies taken and words taken.
+
+    ``sizes`` are rows of ``sized``; without a ``number``, ids are taken to be unique.
+    """
+    if "number" not in sizes.columns:
+        sizes = sizes.withColumn("number", F.lit(1).cast("long"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     units = (
         sizes.join(goals, sizes["source"].eqNullSafe(goals["source"]))
         .drop(goals["source"])
         .select(
-            "doc_id", "source", "size", "source_size", "target",
+            "doc_id", "source", "size", "number", "source_size", "target",
             F.floor(rate).cast("long").alias("whole"),
             (rate - F.floor(rate)).alias("share"),
         )
     )
     fractional = (F.col("share") > 0) & (F.col("share") < 1)
-    done, number = None, 0
+    done, turn = None, 0
     units = stored(units)
     while True:
         settled = units.where(~fractional)
@@ -197,8 +216,8 @@ def mix(sizes: DataFrame, goals: DataFrame, block: int = BLOCK, seed: int = SEED
         left = units.where(fractional)
         if left.isEmpty():
             break
-        units = stored(_round(left, number, block, seed))
-        number += 1
+        units = stored(_round(left, turn, block, seed))
+        turn += 1
     copies = F.col("whole") + F.col("share").cast("long")
     return done.select(
         "doc_id", "source", "size", "source_size", "target",

@@ -439,6 +439,29 @@ def test_mix_of_odd_rows(odd, nothing):
     assert mixing.mix_documents(nothing).count() == 0
 
 
+def test_mix_splits_a_hot_id_over_blocks(spark):
+    """20,000 null ids and 10,000 of one id fill no block, and reruns over other partitions agree."""
+    ids = F.when(F.col("id") < 20000, None).when(F.col("id") < 30000, 7).otherwise(F.col("id"))
+    texts = F.array_join(F.array_repeat(F.lit("w"), (F.col("id") % 3 + 1).cast("int")), " ")
+    docs = spark.range(40000).select(ids.alias("doc_id"), texts.alias("text"), F.lit("s").alias("source"))
+    sizes = mixing.sized(docs)
+    assert sizes.count() == 40000 and sizes.distinct().count() == 40000
+    block = F.pmod(F.xxhash64("doc_id", "size", "number", F.lit(1), F.lit(0)), F.lit(10))
+    widths = [r["count"] for r in sizes.groupBy(block).count().collect()]
+    assert len(widths) == 10 and max(widths) < 4400
+    # A text of its own source leaves room for a fractional target.
+    goals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"), (F.sum("size") * 0.613).alias("target"))
+
+    def taken(frame):
+        rows = mixing.mix(mixing.sized(frame), goals, block=2000).collect()
+        return collections.Counter((r["doc_id"], r["size"], r["taken"]) for r in rows)
+
+    first = taken(docs)
+    assert sum(first.values()) == 40000 and first == taken(docs.repartition(13))
+    total = sum(t * n for (_, _, t), n in first.items())
+    assert abs(total - goals.first()["target"]) <= 2
+
+
 def test_mix_in_blocks_equals_its_total(spark):
     frame = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("s").alias("source"), (F.col("id") % 50 + 1).alias("size"))
     goals = frame.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"), (F.sum("size") * 0.613).alias("target"))
@@ -713,6 +736,18 @@ def test_classifier_on_held_out_labels(spark):
     bad = [r["score"] for r in rows if r["quality"] == 0]
     above = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
     assert right > 0.85 and above > 0.95
+    # One id with very many texts gives one of them, and no class more than its bound.
+    chosen = compression_classifier.learnable(labels, "doc_id", "quality")
+    hot = chosen.where("label = 1").orderBy(F.xxhash64("id"), "id").first()["id"]
+    copy = F.explode(F.sequence(F.lit(1), F.lit(500)))
+    many = docs.where(F.col("doc_id") == hot).withColumn("copy", copy).withColumn("text", F.concat_ws(" ", "text", "copy")).drop("copy")
+    taken = compression_classifier.sample(docs.unionByName(many), chosen, 20, "text", "doc_id")
+    classes = collections.Counter(y for _, y, _ in taken)
+    assert 0 < classes[0] <= 40 and classes[1] == 40
+    own = {r["text"] for r in docs.unionByName(many).where(F.col("doc_id") == hot).collect()}
+    assert len(own) == 501 and sum(t in own for t, _, _ in taken) == 1
+    again = compression_classifier.sample(many.unionByName(docs).repartition(7), chosen, 20, "text", "doc_id")
+    assert taken == again
     model = compression_classifier.fit(docs, labels.where("false"))
     assert {r["score"] for r in compression_classifier.score(docs.limit(5), model).collect()} == {0.5}
 

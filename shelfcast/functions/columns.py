@@ -20,10 +20,20 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def _may_be(text: Column, fmt: str) -> Column:
+    """Whether the digits, separators and month of a text allow the format; it may still not parse."""
+    shape = fmt.replace("yyyy", "[+-]?[0-9]{4,}").replace("MM", "(?:0[1-9]|1[0-2])").replace("dd", "[0-9]{2}")
+    return text.rlike(f"^{shape}$")
+
+
 def parse_mixed_date(text: Column | str) -> Column:
-    """First format that parses wins, so ambiguous dates are day-first."""
+    """First format that parses wins, so ambiguous dates are day-first.
+
+    A failed parse raises and catches an exception, which costs far more than the parse itself, so
+    only formats that a text can have are tried on it.
+    """
     trimmed = F.trim(_col(text))
-    return F.coalesce(*[F.try_to_date(trimmed, fmt) for fmt in DATE_FORMATS])
+    return F.coalesce(*[F.when(_may_be(trimmed, fmt), F.try_to_date(trimmed, fmt)) for fmt in DATE_FORMATS])
 
 
 def number_or_zero(value: Column | str) -> Column:

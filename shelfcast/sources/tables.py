@@ -60,12 +60,14 @@ def parse_lines(lines: DataFrame, schema: StructType, keys: list[str], line: str
     typed = StructType([*schema.fields]).add(_RAW, StringType())
     options = {"nullValue": "NA", "columnNameOfCorruptRecord": _RAW, "mode": "PERMISSIVE"}
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in typed)
-    row = lines.select(F.col(line).alias("line"), F.from_csv(line, ddl, options).alias("row"))
-    parsed = row.select("line", "row.*")
+    # A generator's row is computed once; plain columns would parse a line wherever one of them is used.
+    parsed = lines.select(F.col(line).alias("line"), F.inline(F.array(F.from_csv(line, ddl, options))))
     reason = F.when(F.col(_RAW).isNotNull(), MALFORMED)
     if "date" in schema.names:
         written = F.col("written_date")
-        parsed = parsed.withColumn("written_date", F.col("date")).withColumn("date", parse_mixed_date("date"))
+        parsed = parsed.withColumnRenamed("date", "written_date").select(
+            "*", F.inline(F.array(F.struct(parse_mixed_date("written_date").alias("date"))))
+        )
         reason = reason.when(written.isNotNull() & F.col("date").isNull(), BAD_DATE)
     missing = [F.col(k).isNull() for k in keys]
     for m in missing:

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from shelfcast.functions import columns
 from shelfcast.operators.series import sales_lags
 from shelfcast.plans import features, star
 from shelfcast.sources import schemas, tables
@@ -176,3 +177,23 @@ def test_view_and_row_count(spark, tmp_path):
 def test_declared_sources():
     assert schemas.SOURCES["raw"]["stg_sales"].names == ["store", "dept", "date", "weekly_sales", "isholiday"]
     assert schemas.PREDICTIONS.names[-1] == "predicted_weekly_sales"
+
+
+def test_a_line_and_its_date_are_parsed_once(spark):
+    lines = spark.createDataFrame([("1,1,2010-02-05,5.0,TRUE",), ("1,1,12/25/2010,12x,TRUE",)], "value string")
+    parsed = tables.parse_lines(lines, schemas.RAW_SALES, ["store", "dept", "date"])
+    accepted = parsed.filter(F.col("reason").isNull()).drop("line", "reason")
+    plan = accepted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1 or plan.lower().count("csvtostructs") == 1
+    assert plan.count("rlike") + plan.count("RLIKE") == len(columns.DATE_FORMATS)
+
+
+def test_only_formats_that_fit_are_tried_on_a_date(spark):
+    texts = [
+        "01/02/2020", "12/25/1995", "25/12/1995", " 2020-02-28 ", "2020-02-30", "1/2/2020", "13/13/2020", "00/01/2020",
+        "-2020-01-02", "+20200-01-02", "20200-01-02", "01/02/+20200", "not a date", "", None, "31/02/2020", "02/31/2020",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    every = F.coalesce(*[F.try_to_date(F.trim("t"), fmt) for fmt in columns.DATE_FORMATS])
+    tried = df.select(every.cast("string").alias("every"), columns.parse_mixed_date("t").cast("string").alias("got"))
+    assert all(r["every"] == r["got"] for r in tried.collect())

@@ -20,14 +20,13 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
-from pyspark.storagelevel import StorageLevel
 
 from shelfcast.functions.columns import calendar
 from shelfcast.operators.cleaning import SERIES, as_date, before, one_row_per_key
 from shelfcast.operators.series import future_frame, spread
 from shelfcast.operators.tree_walk import trees_of
 from shelfcast.plans.baselines import recent_values
-from shelfcast.session import scratch_path
+from shelfcast.session import scratch, scratch_path, small_tasks, stored_once
 
 LABEL = "weekly_sales"
 
@@ -66,12 +65,14 @@ def model_inputs(features: DataFrame) -> DataFrame:
 
 @contextmanager
 def kept(df: DataFrame) -> Iterator[DataFrame]:
-    """Keeps a frame for the repeated passes of a fit, in memory or on executor disks."""
-    stored = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield stored
-    finally:
-        stored.unpersist()
+    """Keeps a frame for the repeated passes of a fit, in files of bounded size that are tasks of their own.
+
+    What a tree learner keeps per row takes the executors' memory by itself, in partitions of the
+    tasks that read the frame; in memory the frame would crowd it out.
+    """
+    spark = df.sparkSession
+    with scratch(spark), small_tasks(spark):
+        yield stored_once(df)
 
 
 def fit(names: list[str], features: DataFrame, cut: dt.date | str) -> dict[str, PipelineModel]:
@@ -200,8 +201,9 @@ def _no_path() -> Column:
 
 def _start(filled: Model, features: DataFrame, cut: dt.date | str) -> DataFrame:
     """One row per series: last date, newest sales first, and the held conditions."""
-    state = spread(recent_values(before(features, cut), _RECENT, LABEL, also=HELD))
-    typed = state.withColumns({c: F.col(c).cast("double") for c in HELD})
+    with small_tasks(features.sparkSession):  # each task sorts what it reads
+        newest = stored_once(recent_values(before(features, cut), _RECENT, LABEL, also=HELD))
+    typed = spread(newest).withColumns({c: F.col(c).cast("double") for c in HELD})
     return filled.transform(typed).withColumn("path", _no_path())
 
 

@@ -88,17 +88,39 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         clear_scratch(spark, run)
 
 
+#: Rows of a stored file at most, and bytes of a task that reads files one by one.
+FILE_ROWS, TASK_BYTES = 250_000, 16 << 20
+
+
 def stored_once(df: DataFrame) -> DataFrame:
     """Writes a frame that several jobs need to the shared folder and reads it back.
 
-    Later jobs prune its columns and survive lost executors without computing it again.
+    Later jobs prune its columns and survive lost executors without computing it again. Files have a
+    bounded number of rows, so that ``small_tasks`` can bound those of a task.
     """
     spark = df.sparkSession
     path = scratch_path(spark)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_tasks(spark: SparkSession) -> Iterator[None]:
+    """Jobs run meanwhile read about ``TASK_BYTES`` per task, however large the table.
+
+    For jobs whose tasks keep or sort all they read, which may be many times its size in the files.
+    """
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key, None)
+    context = spark.sparkContext
+    now = context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before) if before else TASK_BYTES
+    spark.conf.set(key, str(min(now, TASK_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 _SHARED: dict[tuple[str, ...], DataFrame] = {}
 
 

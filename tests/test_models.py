@@ -235,3 +235,17 @@ def test_stored_tables_are_shared_and_removed(spark, tmp_path):
     (tmp_path / "b").write_text("22")
     shared("three", str(tmp_path), spark, make)
     assert len(made) == 2
+
+
+def test_tasks_of_a_fit_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    from shelfcast import session
+
+    monkeypatch.setattr(session, "FILE_ROWS", 100)
+    monkeypatch.setattr(session, "TASK_BYTES", 1)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    with models.kept(spark.range(0, 1000, 1, 1)) as train:
+        sizes = [len(part) for part in train.rdd.glom().collect()]
+        assert sum(sizes) == 1000 and max(sizes) <= 100
+        assert not train.storageLevel.useMemory
+    assert spark.conf.get(key) == before

@@ -1,6 +1,6 @@
-"""Gradient boosted trees on a bounded numpy sample: logistic loss, histogram splits.
+"""Gradient boosted trees on numpy arrays: logistic loss, histogram splits.
 
-Rows may carry weights. One label alone, or features that are all constant, give trees that predict the
+Rows may carry weights, so that one may stand for many of the same bins. One label alone, or features that are all constant, give trees that predict the
 weighted share of the label; there must be at least one row.
 """
 
@@ -39,8 +39,10 @@ class Trees:
 
 def fit(
     x: np.ndarray, y: np.ndarray, weights: np.ndarray | None = None, *, rounds: int = 40, depth: int = 3, rate: float = 0.2, bins: int = 32, ridge: float = 1.0,
+    edges: list[np.ndarray] | None = None,
 ) -> Trees:
-    edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
+    """``edges`` are the upper ends of all bins but the last per feature; else quantiles of the rows."""
+    edges = edges or [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
     binned = np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(edges)], axis=1)
     weights = np.ones(len(y)) if weights is None else weights
     share = np.clip(np.average(y, weights=weights), 1e-3, 1 - 1e-3)

@@ -22,9 +22,11 @@ Thresholds come from candidates that fitting did not see. A format threshold let
 unlabelled ones; a context threshold must agree with the format trees in ``AGREE`` of all cases.
 Either selects.
 
-Equal candidates are collapsed before the draw and weigh by the logarithm of their number. Fitting
-reads at most ``SAMPLE`` distinct candidates, half labelled and half not, those with the smallest
-hashes; proposing, counting and selecting cover every whole text.
+Equal candidates are collapsed and weigh by the logarithm of their number. All of them are fitted and
+calibrate thresholds: trees see no more of a value than the bins of its features, so Spark adds up the
+candidates of equal bins (*cells*) and the driver gets cells. Where there would be more than ``CELLS``,
+bins are merged until there are not; no candidate is left out. The labelled and the unlabelled
+ones each weigh like ``SIDE`` candidates at most, whatever their number.
 
 Offsets are code points, ends exclusive. Defined results: a null or empty text has no spans;
 repeated rows and null ids are handled row by row; further columns pass through ``redact`` and are
@@ -51,8 +53,15 @@ from shelfcast.llm.tables import map_batches, stored
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
-#: Most distinct candidates that fitting reads, half of them to calibrate thresholds.
-SAMPLE = 40_000
+#: Cells from which bins are merged; with two bins per feature but the kind there are under a million.
+CELLS = 400_000
+#: Candidates that the labelled and the unlabelled ones weigh like at most, and quantiles of either
+#: that bound the bins of a feature in cells; trees choose their cuts among 31 quantiles of all.
+SIDE, BINS = 20_000, 64
+#: Labels of candidates: unlabelled, labelled, known not to be personal.
+FREE, KNOWN, OTHER = 0, 1, 2
+#: Weights are added up as whole numbers, so that sums do not depend on the order of rows.
+_UNIT = 1 << 20
 #: Share of held-out labelled candidates that a format threshold may miss, share of all held-out
 #: unlabelled ones that it may let through, and how many labelled ones a kind needs.
 MISSED, STRAY, LEAST = 0.05, 0.01, 10
@@ -362,13 +371,17 @@ def find(text: str, model: Model) -> tuple[list[Span], list[Span]]:
     return base, _select(text, base, model)
 
 
-def _spied(scores: np.ndarray, weights: np.ndarray, known: np.ndarray, of_all: float) -> float:
+def _spied(scores: np.ndarray, weights: np.ndarray, counts: np.ndarray, known: np.ndarray, of_all: float) -> float:
     """Lowest score that lets through enough labelled and few enough unlabelled candidates.
 
-    ``of_all`` is the weight of the unlabelled candidates of all kinds.
+    ``counts`` are the candidates of a cell, ``of_all`` the weight of the unlabelled ones of all kinds.
     """
-    spies = np.sort(scores[known])
-    lowest = UNCALIBRATED if len(spies) < LEAST else max(UNCALIBRATED, float(spies[int(MISSED * len(spies))]))
+    up = np.argsort(scores[known], kind="stable")
+    upto = np.cumsum(counts[known][up])
+    lowest = UNCALIBRATED
+    if len(upto) and upto[-1] >= LEAST:
+        missed = np.searchsorted(upto, int(MISSED * upto[-1]), "right")
+        lowest = max(UNCALIBRATED, float(scores[known][up][missed]))
     rest = np.argsort(-scores[~known], kind="stable")
     through = np.cumsum(weights[~known][rest])
     over = np.flatnonzero(through > STRAY * of_all)
@@ -378,9 +391,9 @@ def _spied(scores: np.ndarray, weights: np.ndarray, known: np.ndarray, of_all: f
     return lowest
 
 
-def _agreed(scores: np.ndarray, weights: np.ndarray, labels: np.ndarray) -> float:
+def _agreed(scores: np.ndarray, weights: np.ndarray, counts: np.ndarray, labels: np.ndarray) -> float:
     """Lowest score from which candidates are right often enough; 2.0 selects none."""
-    if labels.sum() < LEAST:
+    if (labels * counts).sum() < LEAST:
         return UNCALIBRATED
     down = np.argsort(-scores, kind="stable")
     right = np.cumsum((labels * weights)[down]) / np.cumsum(weights[down])
@@ -388,8 +401,80 @@ def _agreed(scores: np.ndarray, weights: np.ndarray, labels: np.ndarray) -> floa
     return max(UNCALIBRATED, float(scores[down][good[-1]])) if len(good) else 2.0
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, text: str = "text") -> Model:
-    """Learns from at most ``sample`` distinct candidates of the corpus."""
+def _edges(distinct: DataFrame) -> list[np.ndarray]:
+    """Upper ends of the bins of each format feature: quantiles of labelled and of unlabelled candidates."""
+    places = [i / BINS for i in range(BINS + 1)]
+    width = len(format_features("email", "-"))
+    found = [set() for _ in range(width)]
+    for which in (F.col("told") > 0, F.col("told") <= 0):
+        features = distinct.where(which).select(*[F.col("form")[j].alias(f"f{j}") for j in range(width)])
+        for own, values in zip(found, features.approxQuantile(features.columns, places, 0.002), strict=True):
+            own.update(values)
+    return [np.array(sorted(own)) for own in found]
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _cells(distinct: DataFrame, edges: list[np.ndarray]) -> DataFrame:
+    """Candidates of equal bins, label and side: their number and weight."""
+
+    def binned(batch: pa.RecordBatch):
+        form = _matrix(batch.column(0))
+        bins = [np.searchsorted(e, form[:, j], "left") for j, e in enumerate(edges)]
+        yield {
+            "cell": [row.tobytes() for row in np.stack(bins, axis=1).astype(np.uint8)],
+            "label": batch.column(1), "apart": batch.column(2), "w": batch.column(3),
+        }
+
+    label = F.when(F.col("told") > 0, KNOWN).when(F.col("told") == 0, FREE).otherwise(OTHER).alias("label")
+    rows = map_batches(distinct.select("form", label, "apart", "w"), binned, "cell binary, label int, apart int, w long")
+    return rows.groupBy("cell", "label", "apart").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"))
+
+
+def _all_cells(distinct: DataFrame) -> tuple[pa.Table, list[np.ndarray]]:
+    """All cells, of bins merged until no more than ``CELLS`` are left, and the ends of the bins."""
+    edges = _edges(distinct)
+    while True:
+        cells = stored(_cells(distinct, edges))
+        if cells.count() <= CELLS or max(map(len, edges[1:])) <= 1:
+            return cells.toArrow(), edges
+        edges = edges[:1] + [e[1::2] if len(e) > 1 else e for e in edges[1:]]
+
+
+def _place_cells(distinct: DataFrame, form: boosted_trees.Trees, least: float) -> pa.Table:
+    """Secrets of equal context, which has few values, by whether the format trees select them."""
+
+    def scored(batch: pa.RecordBatch):
+        forms = _matrix(batch.column(0))
+        yield {
+            "place": batch.column(1), "apart": batch.column(2), "w": batch.column(3),
+            "named": (form.probability(forms) >= least).astype(np.int32),
+        }
+
+    secrets = distinct.where(F.col("form")[0] == float(KINDS.index("secret"))).select("form", "place", "apart", "w")
+    rows = map_batches(secrets, scored, "place array<double>, apart int, w long, named int")
+    return rows.groupBy("place", "apart", "named").agg(F.sum("w").alias("w"), F.count(F.lit(1)).alias("n")).toArrow()
+
+
+def _cuts(x: np.ndarray, weights: np.ndarray, parts: int = 32) -> list[np.ndarray]:
+    """Weighted quantiles of each feature."""
+    cuts = []
+    for column in x.T:
+        up = np.argsort(column, kind="stable")
+        upto = np.cumsum(weights[up])
+        at = np.searchsorted(upto, upto[-1] * np.arange(1, parts) / parts)
+        cuts.append(np.unique(column[up][np.minimum(at, len(up) - 1)]))
+    return cuts
+
+
+def _numbers(table: pa.Table, *names: str) -> list[np.ndarray]:
+    return [table.column(c).to_numpy() for c in names]
+
+
+def fit(docs: DataFrame, sample: int | None = None, text: str = "text") -> Model:
+    """Learns from all distinct candidates of the corpus, or from at most ``sample`` where that is given."""
 
     def propose(batch: pa.RecordBatch):
         seen: Counter = Counter()
@@ -402,42 +487,59 @@ def fit(docs: DataFrame, sample: int = SAMPLE, text: str = "text") -> Model:
     proposed = map_batches(
         docs.select(docs[text].alias("text")), propose, "form array<double>, place array<double>, told int, n long"
     )
-    distinct = stored(
-        proposed.groupBy("form", "place", "told").agg(F.sum("n").alias("n")).withColumn("draw", F.xxhash64("form", "place"))
-    )
-    halves = [
-        distinct.where(which).orderBy("draw", "form", "place", "told").limit(sample // 2)
-        for which in (F.col("told") != 0, F.col("told") == 0)
-    ]
     # Equal formats fall on one side, so calibration sees none that fitting saw.
-    side = F.pmod(F.xxhash64("form"), F.lit(2)).alias("side")
-    rows = halves[0].unionByName(halves[1]).select("form", "place", "told", "n", side).toArrow()
-    told, apart = rows.column("told").to_numpy(), rows.column("side").to_numpy() == 1
-    known, free = told > 0, told == 0
+    side = F.pmod(F.xxhash64("form"), F.lit(2)).cast("int")
+    weight = F.round((1 + F.log2(F.col("n"))) * _UNIT).cast("long")
+    distinct = stored(
+        proposed.groupBy("form", "place", "told").agg(F.sum("n").alias("n"))
+        .withColumns({"apart": side, "w": weight})
+    )
+    if sample is not None:
+        draw = F.xxhash64("form", "place")
+        halves = [
+            distinct.where(which).orderBy(draw, "form", "place", "told").limit(sample // 2)
+            for which in (F.col("told") != 0, F.col("told") == 0)
+        ]
+        distinct = stored(halves[0].unionByName(halves[1]))
+    cells, edges = _all_cells(distinct)
+    cells = cells.sort_by([(c, "ascending") for c in ("cell", "label", "apart")])
+    label, sides, weights, counts = _numbers(cells, "label", "apart", "w", "n")
+    weights, apart, known, free = weights / _UNIT, sides == 1, label == KNOWN, label == FREE
     # A share of STRAY cannot be seen among few candidates: those are all fitted and none calibrated.
-    held_out = (free & apart).sum() >= 1 / STRAY
+    held_out = counts[free & apart].sum() >= 1 / STRAY
     apart &= held_out
     if not (known & ~apart).any() or not (~known & ~apart).any():
         return Model()
-    x = np.array(rows.column("form").to_pylist())
-    weights = 1 + np.log2(rows.column("n").to_numpy().astype(float))
-    form = boosted_trees.fit(x[~apart], known[~apart].astype(float), weights[~apart])
+    bins = np.frombuffer(b"".join(cells.column("cell").to_pylist()), np.uint8).reshape(len(label), -1)
+    # A cell stands at the upper ends of its bins, the last bins beyond all ends.
+    x = np.stack([np.append(e, np.inf)[bins[:, j]] for j, e in enumerate(edges)], axis=1)
+    kinds = np.append(edges[0], KINDS.index("secret"))[bins[:, 0]]
+    balance = lambda those: np.where(those, min(1.0, SIDE / max(1, counts[those].sum())), 0.0)
+    share = balance(label != FREE) + balance(free)
+    fitted, cuts = weights * share, _cuts(x[~apart], (counts * share)[~apart])
+    form = boosted_trees.fit(x[~apart], known[~apart].astype(float), fitted[~apart], edges=cuts)
     scores = form.probability(x)
     thresholds = {}
     of_all = float(weights[apart & free].sum())
     for i, kind in enumerate(KINDS):
-        own = apart & (x[:, 0] == i) & (known | free)
-        if (known & ~apart & (x[:, 0] == i)).any():
-            thresholds[kind] = _spied(scores[own], weights[own], known[own], of_all)
+        own = apart & (kinds == i) & (known | free)
+        if (known & ~apart & (kinds == i)).any():
+            thresholds[kind] = _spied(scores[own], weights[own], counts[own], known[own], of_all)
     # Context: secrets by format, whatever names them.
-    secret = x[:, 0] == KINDS.index("secret")
-    named = (scores >= thresholds.get("secret", 2.0)) & secret
-    if not 0 < (named & ~apart).sum() < (secret & ~apart).sum():
+    places = _place_cells(distinct, form, thresholds.get("secret", 2.0))
+    if not len(places):
+        return Model(form, thresholds)
+    sides, weights, counts, named = _numbers(places, "apart", "w", "n", "named")
+    weights, check = weights / _UNIT, (sides == 1) & held_out
+    if not 0 < named[~check].sum() < (~check).sum():
         return Model(form, thresholds)
-    z = np.array(rows.column("place").to_pylist())
-    learn, check = secret & ~apart, secret & apart
-    place = boosted_trees.fit(z[learn], named[learn].astype(float), weights[learn])
-    agreed = _agreed(place.probability(z[check]), weights[check], named[check].astype(float)) if held_out else UNCALIBRATED
+    z = np.array(places.column("place").to_pylist())
+    ordered = np.lexsort((*z.T, sides, named))
+    z, weights, counts, named, check = z[ordered], weights[ordered], counts[ordered], named[ordered], check[ordered]
+    fitted = weights * min(1.0, 2 * SIDE / counts.sum())
+    cuts = _cuts(z[~check], counts[~check].astype(float))
+    place = boosted_trees.fit(z[~check], named[~check].astype(float), fitted[~check], edges=cuts)
+    agreed = _agreed(place.probability(z[check]), weights[check], counts[check], named[check].astype(float)) if held_out else UNCALIBRATED
     return Model(form, thresholds, place, agreed)
 
 

@@ -797,3 +797,21 @@ def test_blocks_hash_words_by_content():
     assert np.diff(words.bounds).tolist() == [3, 0, 1]
     plain, lower = words.hashes(), words.hashes(lower=True)
     assert plain[0] == plain[2] != plain[3] and lower[0] == lower[3]
+
+
+def test_fitting_counts_every_candidate(spark, monkeypatch):
+    rows = [(i, f"word {i} page{i} and password={i * 7919 + 10**11:x}q{i} follows") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = pii._all_cells
+    counted = []
+    monkeypatch.setattr(pii, "_all_cells", lambda d: counted.append((d.count(), got := whole(d))) or got)
+    pii.fit(docs)
+    (candidates, (cells, edges)) = counted[0]
+    assert candidates > 400 and sum(cells.column("n").to_pylist()) == candidates
+    # Fewer cells by merged bins still hold every candidate.
+    monkeypatch.setattr(pii, "CELLS", 20)
+    few, merged = whole(docs.sparkSession.createDataFrame(
+        [([float(k), *[float((i * (j + 3)) % 97) for j in range(15)]], 1 - i % 3, i % 2, 5) for i in range(500) for k in (0, 4)],
+        "form array<double>, told int, apart int, w long",
+    ))
+    assert sum(few.column("n").to_pylist()) == 1000 and max(map(len, merged[1:])) <= 1

@@ -29,6 +29,11 @@ def by_date() -> WindowSpec:
     return whole_series().orderBy("date")
 
 
+def all_by_date() -> WindowSpec:
+    """The whole series from every row of it; shares the sort of ``by_date``."""
+    return by_date().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def latest_first() -> WindowSpec:
     return whole_series().orderBy(F.col("date").desc())
 
@@ -108,12 +113,12 @@ def future_frame(
 def fill_weekly_gaps(df: DataFrame, value: str = "weekly_sales") -> DataFrame:
     """Regular Friday series from the first to the last date; gaps repeat the value before.
 
-    Each observed week is expanded up to the week before the next one, so a single window
-    replaces the join with a date spine. Dates off the Friday grid drop out; missing values
+    Each observed week is expanded up to the week before the next one, so a single window and sort
+    replace the join with a date spine. Dates off the Friday grid drop out; missing values
     count as gaps.
     """
     observed = F.col(value).isNotNull() & is_friday("date")
-    last_friday = F.date_sub(F.next_day(F.max("date").over(whole_series()), "Fri"), 7)
+    last_friday = F.date_sub(F.next_day(F.max("date").over(all_by_date()), "Fri"), 7)
     spans = (
         df.select(*SERIES, "date", value, last_friday.alias("series_end"))
         .filter(observed)
@@ -157,8 +162,11 @@ def forecastable_series(
 
 
 def mark_holdout(df: DataFrame, weeks: int = HOLDOUT_WEEKS) -> DataFrame:
-    """Mark the last weeks of each long enough series as test rows."""
-    newest = F.row_number().over(latest_first())
-    points = F.count(F.lit(1)).over(whole_series())
-    held = (newest <= weeks) & (points > HOLDOUT_MIN_POINTS)
+    """Mark the last weeks of each long enough series as test rows.
+
+    Counted from the oldest week, so that a sort by date in front of it serves.
+    """
+    points = F.count(F.lit(1)).over(all_by_date())
+    later = points - F.row_number().over(by_date())
+    held = (later < weeks) & (points > HOLDOUT_MIN_POINTS)
     return df.withColumns({"points": points, "is_test": F.when(held, 1).otherwise(0)})

@@ -217,3 +217,16 @@ def test_backtest_scores_observed_weeks_only(spark, weekly):
     last = values[held[0] - 1]
     expected = (sum((values[i] - last) ** 2 for i in held) / 13) ** 0.5
     assert naive["rmse"] == pytest.approx(expected)
+
+
+def test_gap_fill_and_hold_out_share_their_sorts(weekly):
+    """One sort before the gaps are filled and one after, whatever windows follow."""
+    regular = series.fill_weekly_gaps(weekly({(1, 1): range(90)}))
+    plan = baselines.backtest_seasonal_naive(regular)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 2
+
+
+def test_hold_out_marks_the_newest_weeks(weekly):
+    df = weekly({(1, 1): range(30), (1, 2): range(20)})
+    rows = ordered(series.mark_holdout(df, 4), "dept", "points", "is_test")
+    assert rows == [(1, 30, int(i >= 26)) for i in range(30)] + [(2, 20, 0)] * 20

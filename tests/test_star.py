@@ -158,6 +158,21 @@ def test_quality_checks_report_failures(spark):
     ]
 
 
+def test_unique_keys_compares_numbers_and_days_without_text(spark):
+    days = spark.createDataFrame(
+        [(1, 2, dt.date(2010, 2, 5)), (2, 1, dt.date(2010, 2, 5)), (1, 2, dt.date(2010, 2, 5)), (1, None, None)],
+        "store int, dept bigint, date date",
+    )
+    texts = spark.createDataFrame(
+        [("a", 1, 0.5), ("a", 1, 0.5), ("a", 2, 0.5), ("1", 1, 0.5), ("a", 1, 1.5)], "t string, n int, x double"
+    )
+    checks = [("days", ["store", "dept", "date"], days), ("stores", ["store"], days), ("texts", ["n", "t", "x"], texts)]
+    found = quality.unique_keys(checks)
+    assert [r["failures"] for r in found.collect()] == [1, 1, 1]
+    numbers = quality.unique_keys(checks[:2])._jdf.queryExecution().executedPlan().toString()
+    assert "to_json" not in numbers.lower() and "structstojson" not in numbers.lower()
+
+
 def test_top_departments_keep_ties(spark):
     rows = [(1, d, v) for d, v in enumerate([5.0, 4.0, 4.0, 4.0, 1.0], start=1)]
     sales = spark.createDataFrame(rows, "store int, dept int, actual_weekly_sales double")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 import shelfcast
 from shelfcast.operators.arma import forecast
@@ -23,15 +24,14 @@ from shelfcast.operators.series import (
     spread,
 )
 from shelfcast.plans.baselines import accuracy_by_series
-from shelfcast.sources.schemas import PREDICTIONS
 
 # Python workers get this package's functions with the task, so it need not be installed there.
 cloudpickle.register_pickle_by_value(shelfcast)
 
-_SCORED = "store int, dept int, date date, actual double, predicted double"
+_VALUES = pa.list_(pa.float64())
 
 
-def _usable(y: pd.Series) -> bool:
+def _usable(y: np.ndarray) -> bool:
     return len(y) >= MIN_POINTS and (y == 0).sum() <= MAX_ZERO_SHARE * len(y)
 
 
@@ -42,8 +42,34 @@ def _weeks_until(last: dt.date, origin: dt.date | None) -> int:
     return max(0, -(-(origin - last).days // 7) - 1)
 
 
-def _future_fridays(last: dt.date, skipped: int, horizon: int) -> list[dt.date]:
-    return [last + dt.timedelta(weeks=skipped + h) for h in range(1, horizon + 1)]
+def _each_series(
+    weekly: DataFrame, values: list[str], fit: Callable[..., tuple | None], result: dict[str, pa.DataType]
+) -> DataFrame:
+    """A row per series with what ``fit`` makes of its dates and values in date order, none where that is none.
+
+    Series reach Python as arrays, many of them in a batch: handing over a group for each takes
+    several times as long as its model. The rows of a series are in one partition already.
+    """
+    columns = ["date", *values]
+    typed = [F.col("date"), *[F.col(v).cast("double").alias(v) for v in values]]
+    weeks = weekly.groupBy(*SERIES).agg(F.array_sort(F.collect_list(F.struct(*typed))).alias("weeks"))
+    arrays = weeks.select(
+        *[F.col(c).cast("int").alias(c) for c in SERIES], *[F.col("weeks")[c].alias(c) for c in columns]
+    )
+    made = pa.schema([*((c, pa.int32()) for c in SERIES), *result.items()])
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(c) for c in columns))
+            found = [fit(*(x.values.to_numpy(zero_copy_only=False) for x in row)) for row in rows]
+            kept = [i for i, f in enumerate(found) if f is not None]
+            keys = [batch.column(c).take(pa.array(kept, pa.int32())) for c in SERIES]
+            parts = [
+                pa.array([found[i][k] for i in kept], kind) for k, kind in enumerate(result.values())
+            ]
+            yield pa.RecordBatch.from_arrays([*keys, *parts], schema=made)
+
+    return arrays.mapInArrow(fitted, from_arrow_schema(made))
 
 
 def forecast_by_series(
@@ -66,26 +92,18 @@ def forecast_by_series(
     if cut is not None:
         weekly = trailing_months(weekly, cut, months)
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("date")
-        y = rows["weekly_sales"]
+    def one(dates: np.ndarray, y: np.ndarray) -> tuple | None:
         if not _usable(y):
-            return pd.DataFrame(columns=PREDICTIONS.names)
-        last = rows["date"].iloc[-1]
+            return None
+        last = dates[-1].item()
         skipped = _weeks_until(last, origin)
-        return pd.DataFrame(
-            {
-                "store": rows["store"].iloc[0],
-                "dept": rows["dept"].iloc[0],
-                "date": _future_fridays(last, skipped, horizon),
-                "predicted_weekly_sales": forecast(y.to_numpy(), skipped + horizon)[skipped:],
-            }
-        )
-
-    return (
-        weekly.select(*SERIES, "date", "weekly_sales")
-        .groupBy(*SERIES)
-        .applyInPandas(one, PREDICTIONS)
+        return last + dt.timedelta(weeks=skipped), forecast(y, skipped + horizon)[skipped:]
+
+    ahead = _each_series(weekly, ["weekly_sales"], one, {"last_date": pa.date32(), "path": _VALUES})
+    return ahead.select(*SERIES, "last_date", F.posexplode("path")).select(
+        *SERIES,
+        F.expr("date_add(last_date, 7 * (pos + 1))").alias("date"),
+        F.col("col").alias("predicted_weekly_sales"),
     )
 
 
@@ -97,30 +115,19 @@ def backtest_by_series(
     ``method(values, horizon)`` gives the forecast; filled weeks are forecast but not scored.
     """
 
-    def one(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("date").reset_index(drop=True)
-        observed = rows.index[rows["is_filled"] == 0]
+    def one(dates: np.ndarray, y: np.ndarray, is_filled: np.ndarray) -> tuple | None:
+        observed = np.flatnonzero(is_filled == 0)
         if len(observed) <= HOLDOUT_MIN_POINTS:
-            return pd.DataFrame(columns=["store", "dept", "date", "actual", "predicted"])
+            return None
         first = observed[-weeks]
-        train, test = rows.iloc[:first], rows.iloc[first:]
-        predicted = pd.Series(method(train["weekly_sales"].to_numpy(), len(test)), index=test.index)
-        scored = test[test["is_filled"] == 0]
-        return pd.DataFrame(
-            {
-                "store": scored["store"],
-                "dept": scored["dept"],
-                "date": scored["date"],
-                "actual": scored["weekly_sales"],
-                "predicted": predicted[scored.index],
-            }
-        )
-
-    scored = (
-        fill_weekly_gaps(spread(sales, *SERIES))
-        .select(*SERIES, "date", "weekly_sales", "is_filled")
-        .groupBy(*SERIES)
-        .applyInPandas(one, _SCORED)
+        predicted = method(y[:first], len(y) - first)
+        scored = observed[-weeks:]
+        return y[scored], np.asarray(predicted, dtype=float)[scored - first]
+
+    weekly = fill_weekly_gaps(spread(sales, *SERIES))
+    result = {"actual": _VALUES, "predicted": _VALUES}
+    scored = _each_series(weekly, ["weekly_sales", "is_filled"], one, result).select(
+        *SERIES, F.inline(F.arrays_zip("actual", "predicted"))
     )
     return accuracy_by_series(scored, "actual", "predicted").select(
         *SERIES, F.col("rmse"), F.col("mape")

@@ -219,6 +219,26 @@ def test_backtest_scores_observed_weeks_only(spark, weekly):
     assert naive["rmse"] == pytest.approx(expected)
 
 
+def test_series_reach_python_many_at_a_time(weekly):
+    """A group per series costs several times its model; models see whole series, in order."""
+    rng = np.random.default_rng(3)
+    values = {(s, d): 100 + rng.normal(0, 5, 40 + s) for s in range(1, 30) for d in (1, 2)}
+    forecast = series_models.forecast_by_series(weekly(values), horizon=3)
+    plan = forecast._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroupsIn" not in plan
+    got = {}
+    for *key, predicted in ordered(forecast, "store", "dept", "predicted_weekly_sales"):
+        got.setdefault(tuple(key), []).append(predicted)
+    assert got.keys() == values.keys()
+    assert all(got[k] == pytest.approx(arma.forecast(y, 3)) for k, y in values.items())
+
+
+def test_per_series_models_without_a_usable_series(weekly):
+    df = weekly({(1, 1): [1.0] * 5})
+    assert series_models.forecast_by_series(df).collect() == []
+    assert series_models.backtest_by_series(df).collect() == []
+
+
 def test_gap_fill_and_hold_out_share_their_sorts(weekly):
     """One sort before the gaps are filled and one after, whatever windows follow."""
     regular = series.fill_weekly_gaps(weekly({(1, 1): range(90)}))

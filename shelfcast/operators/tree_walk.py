@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.ml import Model
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
-from pyspark.sql import Column, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.session import scratch_path
@@ -54,11 +56,26 @@ class Trees:
         return predicted
 
 
-def trees_of(model: RandomForestRegressionModel | GBTRegressionModel) -> Trees:
+class TreesModel(Model):
+    """Trees as a stage of a pipeline, with the prediction of a vector of inputs."""
+
+    def __init__(self, trees: Trees, featuresCol: str):
+        super().__init__()
+        self.trees, self.inputs = trees, featuresCol
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        # Inside a function over one element, the array is made once for all nodes that read it.
+        once = F.transform(F.array(vector_to_array(self.inputs)), self.trees.expression())
+        return dataset.withColumn("prediction", F.get(once, F.lit(0)))
+
+
+def trees_of(model: RandomForestRegressionModel | GBTRegressionModel | TreesModel) -> Trees:
     """Reads the nodes of a fitted forest or boosted ensemble; categorical splits are not supported.
 
-    The nodes come from the model as it saves itself: trees times 2^(depth + 1) rows at most.
+    The nodes of MLlib's come from the model as it saves itself: trees times 2^(depth + 1) rows at most.
     """
+    if isinstance(model, TreesModel):
+        return model.trees
     spark = SparkSession.active()
     path = scratch_path(spark)
     model.write().save(path)

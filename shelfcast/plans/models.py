@@ -11,7 +11,6 @@ from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import (
     GBTRegressionModel,
-    GBTRegressor,
     LinearRegression,
     LinearRegressionModel,
     RandomForestRegressionModel,
@@ -22,9 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from shelfcast.functions.columns import calendar
+from shelfcast.operators.boosting import BoostedTrees
 from shelfcast.operators.cleaning import SERIES, as_date, before, one_row_per_key
 from shelfcast.operators.series import future_frame, spread
-from shelfcast.operators.tree_walk import trees_of
+from shelfcast.operators.tree_walk import TreesModel, trees_of
 from shelfcast.plans.baselines import recent_values
 from shelfcast.session import scratch, scratch_path, small_tasks, stored_once
 
@@ -50,7 +50,7 @@ def estimators(seed: int = SEED) -> dict[str, Estimator]:
     columns = {"featuresCol": "inputs", "labelCol": LABEL}
     return {
         "random_forest": RandomForestRegressor(numTrees=TREES, seed=seed, **columns),
-        "gbt": GBTRegressor(maxIter=ROUNDS, seed=seed, **columns),
+        "gbt": BoostedTrees(rounds=ROUNDS, seed=seed, **columns),
         "linear_regression": LinearRegression(**columns),
     }
 
@@ -241,7 +241,7 @@ def forecast_recursive(
     state = _start(filled, features, cut)
     if isinstance(predictor, LinearRegressionModel):
         return _unroll(_linear_steps(predictor, state, horizon))
-    if isinstance(predictor, RandomForestRegressionModel | GBTRegressionModel):
+    if isinstance(predictor, RandomForestRegressionModel | GBTRegressionModel | TreesModel):
         return _unroll(_tree_steps(predictor, state, horizon))
     return _batch_steps(PipelineModel([assembler, predictor]), state, horizon, every)
 
@@ -308,7 +308,7 @@ def _linear_steps(model: LinearRegressionModel, state: DataFrame, horizon: int)
 
 
 def _tree_steps(
-    model: RandomForestRegressionModel | GBTRegressionModel, state: DataFrame, horizon: int
+    model: RandomForestRegressionModel | GBTRegressionModel | TreesModel, state: DataFrame, horizon: int
 ) -> DataFrame:
     walk = trees_of(model).expression()
 

@@ -15,197 +15,90 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
-from functools import partial
+from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-from pyspark import RDD, StorageLevel
-from pyspark.ml import Estimator
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from shelfcast.operators.tree_walk import Trees, TreesModel
-
-LIBRARY_ROWS = 1_000_000
-BLOCK = 1 << 15  # rows of a block
+from pyspark import RDD
+from pyspark.ml.regression import GBTRegressor
+
+from shelfcast.operators.binned import (
+    KEPT,
+    LIBRARY_ROWS,
+    Block,
+    Blocks,
+    BlockTrees,
+    Node,
+    Sums,
+    Tree,
+    best,
+    cuts_of,
+    flat,
+    groups,
+    halves_of,
+)
+from shelfcast.operators.tree_walk import TreesModel
+
+__all__ = ["BoostedTrees", "cuts_of"]
+
 REFRESH = 5  # trees after which the errors are stored anew; until then each pass applies them
-JOINT = 2048  # bins of inputs that are counted together, at most
-SAMPLE = 10_000  # rows that the cuts are taken from, as MLlib does; the trees see all rows
-
-Block = tuple[np.ndarray, np.ndarray]  # a byte per input and row, and an error per row
-
-
-# --- cuts and blocks ----------------------------------------------------------------
-
-
-def cuts_of(values: np.ndarray, expected: float, bins: int) -> np.ndarray:
-    """Cuts between sampled values; zeros count as many as the sample is expected to have."""
-    given, counts = np.unique(values[values != 0], return_counts=True)
-    if not len(given):
-        return np.array([])
-    counts = counts.astype(float)
-    if (zeros := expected - counts.sum()) > 2.220446049250313e-16 * counts.sum() * 100:
-        at = np.searchsorted(given, 0.0)
-        given, counts = np.insert(given, at, 0.0), np.insert(counts, at, zeros)
-    middles = (given[:-1] + given[1:]) / 2.0
-    if len(middles) < bins:
-        return middles
-    stride = expected / bins
-    cuts, seen, wanted = [], counts[0], stride
-    for middle, count in zip(middles, counts[1:]):
-        before, seen = seen, seen + count
-        if abs(before - wanted) < abs(seen - wanted):
-            cuts.append(middle)
-            wanted += stride
-    return np.array(cuts)
-
-
-def _sampled(rows: DataFrame, fraction: float, seed: int) -> np.ndarray:
-    """The inputs of about SAMPLE rows, the same ones that MLlib draws; all rows of a small table."""
-    spark = rows.sparkSession
-    if fraction < 1:
-        draw = spark._jvm.org.apache.spark.util.random.XORShiftRandom(seed).nextInt()
-        drawn = rows._jdf.toJavaRDD().sample(False, fraction, draw)
-        rows = DataFrame(spark._jsparkSession.createDataFrame(drawn, rows._jdf.schema()), spark)
-    return np.array([r[0] for r in rows.select(vector_to_array("inputs")).collect()])
-
-
-def _binned(cuts: list[np.ndarray], batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of ``label`` and ``inputs`` as one row per block."""
-
-    def block(parts: list[Block]) -> pa.RecordBatch:
-        codes = np.concatenate([p[0] for p in parts], axis=1)
-        errors = np.concatenate([p[1] for p in parts])
-        columns = [pa.array([a.tobytes()], pa.binary()) for a in (codes, errors)]
-        return pa.RecordBatch.from_arrays(columns, names=["codes", "errors"])
-
-    parts, size = [], 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        labels = batch.column("label").to_numpy(zero_copy_only=False).astype(float)
-        inputs = batch.column("inputs").flatten().to_numpy(zero_copy_only=False).reshape(len(labels), -1)
-        if not (np.isfinite(labels).all() and np.isfinite(inputs).all()):
-            raise ValueError("labels and inputs must be finite")
-        codes = np.stack([np.searchsorted(c, inputs[:, j]) for j, c in enumerate(cuts)]).astype(np.uint8)
-        parts.append((codes, labels))
-        size += len(labels)
-        if size >= BLOCK:
-            yield block(parts)
-            parts, size = [], 0
-    if parts:
-        yield block(parts)
-
-
-def _blocks(rows: DataFrame, cuts: list[np.ndarray]) -> RDD:
-    """Few partitions, as each sends its sums to the driver; tasks read them block by block."""
-    context = rows.sparkSession.sparkContext
-    few = rows.select("label", vector_to_array("inputs").alias("inputs")).coalesce(4 * context.defaultParallelism)
-    stored = few.mapInArrow(partial(_binned, cuts), "codes binary, errors binary")
-    inputs = len(cuts)
-    return stored.rdd.map(
-        lambda r: (np.frombuffer(r[0], np.uint8).reshape(inputs, -1), np.frombuffer(r[1], np.float64))
-    )
 
 
 # --- a pass over the blocks ---------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class Node:
-    """Rows and mean error of a node, and the input and last bin that go left if it is split."""
-
-    mean: float
-    split: tuple[int, int] | None = None
-
-
-@dataclass
-class Tree:
-    """Nodes by level and place; the children of a place are at twice it and one further."""
-
-    weight: float
-    levels: list[dict[int, Node]] = field(default_factory=list)
-
-    def places(self, codes: np.ndarray) -> np.ndarray:
-        """Place of each row in the last level; rows of a leaf go on as to the left."""
-        place = np.zeros(codes.shape[1], np.uint8)
-        for level in self.levels[:-1]:
-            right = np.zeros(codes.shape[1], bool)
-            for at, node in level.items():
-                if node.split is not None:
-                    right |= (place == at) & (codes[node.split[0]] > node.split[1])
-            place = place * np.uint8(2) + right
-        return place
-
-    def values(self) -> np.ndarray:
-        """Mean by place in the last level."""
-        last = len(self.levels) - 1
-        out = np.zeros(1 << last)
-        for depth, level in enumerate(self.levels):
-            for at, node in level.items():
-                if node.split is None:
-                    out[at << (last - depth)] = node.mean
-        return out
-
-
 def _left_over(codes: np.ndarray, errors: np.ndarray, done: list[Tree]) -> np.ndarray:
     for tree in done:
-        errors = errors - tree.weight * tree.values()[tree.places(codes)]
+        errors = errors - (tree.weight * tree.values()).take(tree.places(codes))
     return errors
 
 
-def _groups(bins: list[int]) -> list[list[int]]:
-    """Inputs that are counted together, as their joint bins are few."""
-    out: list[list[int]] = []
-    size = JOINT
-    for feature in sorted(range(len(bins)), key=lambda f: bins[f]):
-        if size * bins[feature] > JOINT:
-            out.append([])
-            size = 1
-        out[-1].append(feature)
-        size *= bins[feature]
-    return out
-
-
 @dataclass(frozen=True)
 class Pass:
-    """Rows and errors by bin of the places listed, after the trees that are done."""
+    """Rows and errors by bin of the places listed, after the trees that are done.
+
+    The first level also adds up the errors' sizes; it counts rows only if asked, as their bins stay the same.
+    """
 
     bins: list[int]
     done: list[Tree]
     tree: Tree
     wanted: list[int]
     grid: float
+    counted: bool
 
     def __call__(self, blocks: Iterable[Block]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-        groups, width, total = _groups(self.bins), len(self.wanted), 0.0
-        sizes = [[width, *(self.bins[f] for f in g)] for g in groups]
+        together, width, total = groups(dict(enumerate(self.bins))), len(self.wanted), 0.0
+        sizes = [[width, *(self.bins[f] for f in g)] for g in together]
         counts = [np.zeros(math.prod(s), np.int64) for s in sizes]
         sums = [np.zeros(math.prod(s)) for s in sizes]
+        root = len(self.tree.levels) == 1
         slots = np.full(1 << (len(self.tree.levels) - 1), -1, np.int32)
         slots[self.wanted] = np.arange(width)
         for codes, errors in blocks:
+            slot = None
+            if not root:
+                slot = slots.take(self.tree.places(codes))
+                picked = np.flatnonzero(slot >= 0)
+                codes, errors, slot = codes.take(picked, axis=1), errors.take(picked), slot.take(picked)
             errors = _left_over(codes, errors, self.done)
-            total += float(np.abs(errors).sum())
+            if root:
+                total += float(np.abs(errors).sum())
             errors = np.rint(errors * self.grid)
-            slot = slots[self.tree.places(codes)]
-            picked = np.flatnonzero(slot >= 0)
-            if len(picked) < len(slot):
-                codes, errors, slot = codes.take(picked, axis=1), errors[picked], slot[picked]
-            for g, features in enumerate(groups):
-                at = slot
-                for f in features:
-                    at = at * np.int32(self.bins[f]) + codes[f]
-                counts[g] += np.bincount(at, minlength=len(counts[g]))
+            for g, features in enumerate(together):
+                at = codes[features[0]].astype(np.uint16)
+                for f in features[1:]:
+                    at *= np.uint16(self.bins[f])
+                    at += codes[f]
+                if width > 1:
+                    at = slot * np.int32(len(sums[g]) // width) + at
+                if self.counted:
+                    counts[g] += np.bincount(at, minlength=len(counts[g]))
                 sums[g] += np.bincount(at, errors, minlength=len(sums[g]))
-        yield self._by_input(groups, sizes, counts), self._by_input(groups, sizes, sums), total
+        yield self._by_input(together, sizes, counts), self._by_input(together, sizes, sums), total
 
-    def _by_input(self, groups: list[list[int]], sizes: list[list[int]], joint: list[np.ndarray]) -> np.ndarray:
+    def _by_input(self, together: list[list[int]], sizes: list[list[int]], joint: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(self.wanted), len(self.bins), max(self.bins)), joint[0].dtype)
-        for features, size, values in zip(groups, sizes, joint):
+        for features, size, values in zip(together, sizes, joint):
             table = values.reshape(size)
             for axis, f in enumerate(features, start=1):
                 others = tuple(a for a in range(1, table.ndim) if a != axis)
@@ -219,71 +112,38 @@ def _added(a: tuple, b: tuple) -> tuple:
 
 # --- trees --------------------------------------------------------------------------
 
-Sums = tuple[np.ndarray, np.ndarray]  # rows and errors by input and bin
-
 
-def _best(counts: np.ndarray, sums: np.ndarray) -> tuple[int, int] | None:
-    """The split of largest gain, the first input and cut among equal ones."""
-    rows, total = counts[0].sum(), sums[0].sum()
-    left, below = counts.cumsum(1), sums.cumsum(1)
-    right, above = rows - left, total - below
-    both = (left > 0) & (right > 0)
-    left, right = np.where(both, left, 1), np.where(both, right, 1)
-    apart = below / left - above / right
-    gain = np.where(both, left / rows * (right / rows) * apart * apart, 0.0)
-    at = int(gain.argmax())
-    return divmod(at, counts.shape[1]) if gain.flat[at] > 0 else None
-
-
-def _halves(sums: Sums, split: tuple[int, int]) -> list[tuple[int, float]]:
-    """Rows and sum of errors of both children."""
-    feature, last = split
-    halves = (slice(None, last + 1), slice(last + 1, None))
-    return [(int(sums[0][feature, h].sum()), float(sums[1][feature, h].sum())) for h in halves]
-
-
-class BoostedTrees(Estimator):
+class BoostedTrees(BlockTrees):
     """Fits ``rounds`` trees to what the ones before leave over."""
 
+    last = True
+
     def __init__(
         self, rounds: int, seed: int, featuresCol: str, labelCol: str,
         depth: int = 5, bins: int = 32, rate: float = 0.1, library_rows: int = LIBRARY_ROWS,
     ):
-        super().__init__()
-        self.rounds, self.seed, self.depth, self.bins, self.rate = rounds, seed, depth, bins, rate
-        self.inputs, self.label, self.library_rows = featuresCol, labelCol, library_rows
-
-    def _fit(self, dataset: DataFrame) -> TreesModel | GBTRegressionModel:
-        if dataset.count() <= self.library_rows:
-            library = GBTRegressor(
-                maxIter=self.rounds, seed=self.seed, featuresCol=self.inputs, labelCol=self.label,
-                maxDepth=self.depth, maxBins=self.bins, stepSize=self.rate,
-            )
-            return library.fit(dataset)
-        return self._in_blocks(dataset)
-
-    def _in_blocks(self, dataset: DataFrame) -> TreesModel:
-        rows = dataset.select(F.col(self.label).cast("double").alias("label"), F.col(self.inputs).alias("inputs"))
-        n, bound = rows.agg(F.count(F.lit(1)), F.sum(F.abs("label"))).first()
-        if not n or bound is None or not math.isfinite(bound):
-            raise ValueError("there must be rows, with finite labels")
-        bins = min(self.bins, n)
-        fraction = min(1.0, max(bins * bins, SAMPLE) / n)
-        sample = _sampled(rows, fraction, self.seed)
-        cuts = [cuts_of(sample[:, j], fraction * n, bins) for j in range(sample.shape[1])]
-        trees = self._boost(_blocks(rows, cuts), [len(c) + 1 for c in cuts], bound)
-        return TreesModel(self._flat(trees, cuts), self.inputs)
+        super().__init__(seed, featuresCol, labelCol, depth, bins, library_rows)
+        self.rounds, self.rate = rounds, rate
+
+    def library(self) -> GBTRegressor:
+        return GBTRegressor(
+            maxIter=self.rounds, seed=self.seed, featuresCol=self.inputs, labelCol=self.label,
+            maxDepth=self.depth, maxBins=self.bins, stepSize=self.rate,
+        )
+
+    def in_blocks(self, blocks: Blocks) -> TreesModel:
+        trees = self._boost(blocks.rows, blocks.bins(), blocks.bound)
+        return TreesModel(flat(trees, blocks.cuts, mean=False), self.inputs)
 
     def _boost(self, blocks: RDD, bins: list[int], bound: float) -> list[Tree]:
-        level = StorageLevel.MEMORY_AND_DISK
-        blocks, spent = blocks.persist(level), None
+        spent, counts = None, None
         trees, done = [], []
         try:
             for i in range(self.rounds):
                 # What is left over is at most twice the labels, later 1 + 2 * rate times what it was.
                 factor, weight = (2.0, self.rate) if i else (1.0, 1.0)
                 grid = 2.0 ** (52 - math.frexp(factor * bound * 1.01)[1]) if bound else 1.0
-                tree, total = self._grow(blocks, bins, done, weight, factor, grid)
+                tree, total, counts = self._grow(blocks, bins, done, weight, factor, grid, counts)
                 if spent is not None:  # the blocks that replace them have been read
                     spent.unpersist()
                     spent = None
@@ -291,7 +151,7 @@ class BoostedTrees(Estimator):
                 trees.append(tree)
                 done.append(tree)
                 if len(done) == REFRESH and i + 1 < self.rounds:
-                    spent, blocks = blocks, _refreshed(blocks, done).persist(level)
+                    spent, blocks = blocks, _refreshed(blocks, done).persist(KEPT)
                     done = []
         finally:
             for each in (blocks, spent):
@@ -300,16 +160,20 @@ class BoostedTrees(Estimator):
         return trees
 
     def _grow(
-        self, blocks: RDD, bins: list[int], done: list[Tree], weight: float, factor: float, grid: float
-    ) -> tuple[Tree, float]:
-        """A tree, and the sum of the errors' sizes before it."""
+        self, blocks: RDD, bins: list[int], done: list[Tree], weight: float, factor: float, grid: float,
+        known: np.ndarray | None,
+    ) -> tuple[Tree, float, np.ndarray]:
+        """A tree, the sum of the errors' sizes before it, and the rows by bin, counted unless known."""
         tree = Tree(weight, [{0: Node(0.0)}])
         given, wanted = {}, [0]  # sums of the parents' rest, and the places that a pass reads
         size = factor * grid
         first = None
         for depth in range(self.depth):
-            counts, sums, total = blocks.mapPartitions(Pass(bins, done, tree, wanted, size)).reduce(_added)
-            first = total if first is None else first
+            counted = depth > 0 or known is None
+            counts, sums, total = blocks.mapPartitions(Pass(bins, done, tree, wanted, size, counted)).reduce(_added)
+            if not depth:
+                known = counts if counted else known
+                counts, first = known, total
             nodes: dict[int, Sums] = {p: (counts[i], sums[i]) for i, p in enumerate(wanted)}
             for p, parent in given.items():
                 other = nodes[p ^ 1]
@@ -318,11 +182,11 @@ class BoostedTrees(Estimator):
             for p in sorted(nodes):
                 own = nodes[p]
                 rows, mean = own[0][0].sum(), own[1][0].sum() / own[0][0].sum() / grid
-                split = _best(*own)
+                split = best(*own)
                 tree.levels[-1][p] = Node(mean, split)
                 if split is None:
                     continue
-                halves = _halves(own, split)
+                halves = halves_of(own, split)
                 for side, (n, s) in enumerate(halves):
                     below[2 * p + side] = Node(s / n / grid)
                 smaller = 0 if 2 * halves[0][0] <= rows else 1
@@ -331,27 +195,7 @@ class BoostedTrees(Estimator):
             if not below:
                 break
             tree.levels.append(below)
-        return tree, first
-
-    def _flat(self, trees: list[Tree], cuts: list[np.ndarray]) -> Trees:
-        out = Trees([], [t.weight for t in trees], [], [], [], [], [], depth=max(len(t.levels) for t in trees) - 1, mean=False)
-
-        def add(tree: Tree, depth: int, place: int) -> int:
-            node, here = tree.levels[depth][place], len(out.feature)
-            feature, last = node.split or (0, 0)
-            out.feature.append(feature)
-            out.cut.append(float(cuts[feature][last]) if node.split else 0.0)
-            out.value.append(float(node.mean))
-            out.left.append(here)
-            out.right.append(here)
-            if node.split:
-                out.left[here] = add(tree, depth + 1, 2 * place)
-                out.right[here] = add(tree, depth + 1, 2 * place + 1)
-            return here
-
-        for tree in trees:
-            out.roots.append(add(tree, 0, 0))
-        return out
+        return tree, first, known
 
 
 def _refreshed(blocks: RDD, done: list[Tree]) -> RDD:

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import (
@@ -14,17 +16,18 @@ from pyspark.ml.regression import (
     LinearRegression,
     LinearRegressionModel,
     RandomForestRegressionModel,
-    RandomForestRegressor,
 )
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from shelfcast.functions.columns import calendar
+from shelfcast.operators.binned import BlockTrees, fit_together
 from shelfcast.operators.boosting import BoostedTrees
 from shelfcast.operators.cleaning import SERIES, as_date, before, one_row_per_key
+from shelfcast.operators.forest import RandomForest
 from shelfcast.operators.series import future_frame, spread
-from shelfcast.operators.tree_walk import TreesModel, trees_of
+from shelfcast.operators.tree_walk import Trees, TreesModel, by_input, trees_of
 from shelfcast.plans.baselines import recent_values
 from shelfcast.session import scratch, scratch_path, small_tasks, stored_once
 
@@ -49,7 +52,7 @@ HELD = ["isholidayencoded", *CONDITIONS]
 def estimators(seed: int = SEED) -> dict[str, Estimator]:
     columns = {"featuresCol": "inputs", "labelCol": LABEL}
     return {
-        "random_forest": RandomForestRegressor(numTrees=TREES, seed=seed, **columns),
+        "random_forest": RandomForest(trees=TREES, seed=seed, **columns),
         "gbt": BoostedTrees(rounds=ROUNDS, seed=seed, **columns),
         "linear_regression": LinearRegression(**columns),
     }
@@ -87,10 +90,11 @@ def fit(names: list[str], features: DataFrame, cut: dt.date | str) -> dict[str,
     with kept(model_inputs(known_sales)) as train:
         filled = filler.fit(train)
         ready = assembler.transform(filled.transform(train)).select(LABEL, "inputs")
-        known = estimators()
-        return {
-            name: PipelineModel([filled, assembler, known[name].fit(ready)]) for name in names
-        }
+        known = {name: each for name, each in estimators().items() if name in names}
+        trees = {name: each for name, each in known.items() if isinstance(each, BlockTrees)}
+        fitted = fit_together(trees, ready) if trees else {}
+        fitted.update({name: each.fit(ready) for name, each in known.items() if name not in trees})
+        return {name: PipelineModel([filled, assembler, fitted[name]]) for name in names}
 
 
 def test_rows(features: DataFrame, cut: dt.date | str, until: dt.date | str | None = None) -> DataFrame:
@@ -233,9 +237,10 @@ def forecast_recursive(
 ) -> DataFrame:
     """Predict one week of all series at once, feed it back into the lags, repeat.
 
-    The state is one row per series and a step needs no shuffle. Linear models and trees take the
-    whole horizon in one expression. For any other model the state is written every few steps with
-    their predictions, and the next steps start from what was written without them.
+    The state is one row per series and a step needs no shuffle. Linear models take the whole horizon
+    in one expression, trees in one pass through Python workers. For any other model the state is
+    written every few steps with their predictions, and the next steps start from what was written
+    without them.
     """
     filled, assembler, predictor = model.stages
     state = _start(filled, features, cut)
@@ -307,13 +312,63 @@ def _linear_steps(model: LinearRegressionModel, state: DataFrame, horizon: int)
     return _fold_steps(state.withColumn("held", held), horizon, predicted)
 
 
+def _calendar_of(day: np.ndarray) -> dict[str, np.ndarray]:
+    """The fields of CALENDAR as ``calendar`` has them; a missing day has none."""
+    thursday = day + (3 - (day.astype(int) + 3) % 7)
+    year = thursday.astype("datetime64[Y]").astype("datetime64[D]")
+    fields = {
+        "week": (thursday - year).astype(int) // 7 + 1,
+        "month": day.astype("datetime64[M]").astype(int) % 12 + 1,
+        "year": day.astype("datetime64[Y]").astype(int) + 1970,
+    }
+    return {name: np.where(np.isnat(day), np.nan, value) for name, value in fields.items()}
+
+
+def _tree_path(
+    trees: Trees, horizon: int, last: np.ndarray, held: np.ndarray, recent: pa.Array
+) -> np.ndarray:
+    """Predictions by step of many series: last dates, held inputs by place, newest sales first."""
+    at = {name: i for i, name in enumerate(INPUTS)}
+    inputs = np.empty((len(INPUTS), len(last)))
+    inputs[[at[name] for name in (*SERIES, *HELD)]] = held
+    # Sales by place; those that a series does not have add nothing, unknown ones make the mean unknown.
+    size = recent.value_lengths().to_numpy(zero_copy_only=False).astype(int)
+    there = np.arange(_RECENT)[:, None] < size
+    sales, unknown = np.zeros(there.shape), np.zeros(there.shape, bool)
+    given = recent.flatten()
+    sales.T[there.T] = given.to_numpy(zero_copy_only=False)
+    unknown.T[there.T] = given.is_null().to_numpy(zero_copy_only=False)
+    path = np.empty((horizon, len(last)))
+    for step in range(1, horizon + 1):
+        for name, value in _calendar_of(last + 7 * step).items():
+            inputs[at[name]] = value
+        total = np.zeros(len(last))
+        for each in sales:
+            total = total + each
+        for i in (1, 2, 3):
+            inputs[at[f"{LABEL}_lag{i}"]] = np.where(unknown[i - 1], 0.0, sales[i - 1])
+        inputs[at[f"{LABEL}_rolling4"]] = total / size
+        path[step - 1] = trees.predict(inputs)
+        sales, unknown = np.roll(sales, 1, 0), np.roll(unknown, 1, 0)
+        sales[0], unknown[0] = path[step - 1], False
+        size = np.minimum(size + 1, _RECENT)
+    return path
+
+
 def _tree_steps(
     model: RandomForestRegressionModel | GBTRegressionModel | TreesModel, state: DataFrame, horizon: int
 ) -> DataFrame:
-    walk = trees_of(model).expression()
-
-    def predicted(moving: dict[str, Column]) -> Column:
-        inputs = [moving.get(name, F.col(name)).cast("double") for name in INPUTS]
-        return _named(F.array(*inputs), walk)
-
-    return _fold_steps(state, horizon, predicted)
+    """The whole horizon in one pass, the series of a batch a step at a time."""
+    trees = trees_of(model)
+
+    @F.arrow_udf("array<double>")
+    def path(last: pa.Array, held: pa.Array, recent: pa.Array) -> pa.Array:
+        if not len(last):
+            return pa.array([], pa.list_(pa.float64()))
+        days = last.to_numpy(zero_copy_only=False).astype("datetime64[D]")
+        steps = _tree_path(trees, horizon, days, by_input(held), recent)
+        ends = pa.array(np.arange(len(last) + 1) * horizon, pa.int32())
+        return pa.ListArray.from_arrays(ends, pa.array(steps.T.ravel()))
+
+    held = F.array(*[F.col(name).cast("double") for name in (*SERIES, *HELD)])
+    return state.withColumn("path", path("last_date", held, "recent"))

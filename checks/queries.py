@@ -487,12 +487,12 @@ def _features(x: RetailInputs) -> DataFrame:
 
 @query
 def predict_rf(x: RetailInputs) -> DataFrame:
-    return models.predict("random_forest", _features(x), CUT)
+    return models.predict("random_forest", _features(x), CUT, stored=True)
 
 
 @query
 def predict_gbt(x: RetailInputs) -> DataFrame:
-    return models.predict("gbt", _features(x), CUT)
+    return models.predict("gbt", _features(x), CUT, stored=True)
 
 
 @query
@@ -503,7 +503,7 @@ def predict_lr(x: RetailInputs) -> DataFrame:
 @query
 def model_selection(x: RetailInputs) -> DataFrame:
     table = _features(x)
-    return models.compare(models.fit(ALL_MODELS, table, CUT), models.test_rows(table, CUT))
+    return models.compare(models.fit(ALL_MODELS, table, CUT, stored=True), models.test_rows(table, CUT))
 
 
 @query
@@ -514,22 +514,22 @@ def cross_validate(x: RetailInputs) -> DataFrame:
 @query
 def forecast_direct(x: RetailInputs) -> DataFrame:
     table = _features(x)
-    return models.forecast_direct(models.fit(["gbt"], table, CUT)["gbt"], table, *GRID)
+    return models.forecast_direct(models.fit(["gbt"], table, CUT, stored=True)["gbt"], table, *GRID)
 
 
 @query
 def forecast_recursive(x: RetailInputs) -> DataFrame:
     """Chooses a model on the weeks before the cut, refits it on all of them, then forecasts."""
     table = _features(x)
-    fitted = models.fit(ALL_MODELS, table, CHOICE_CUT)
+    fitted = models.fit(ALL_MODELS, table, CHOICE_CUT, stored=True)
     best = models.best_model(fitted, models.test_rows(table, CHOICE_CUT, until=CUT))
-    return models.forecast_recursive(models.fit([best], table, CUT)[best], table, CUT)
+    return models.forecast_recursive(models.fit([best], table, CUT, stored=True)[best], table, CUT)
 
 
 @query
 def forecast_recursive_linear(x: RetailInputs) -> DataFrame:
     table = _features(x)
-    line = models.fit(["linear_regression"], table, CUT)["linear_regression"]
+    line = models.fit(["linear_regression"], table, CUT, stored=True)["linear_regression"]
     return models.forecast_recursive(line, table, CUT)
 
 
@@ -537,7 +537,7 @@ def forecast_recursive_linear(x: RetailInputs) -> DataFrame:
 def forecast_recursive_forest(x: RetailInputs) -> DataFrame:
     """The step-by-step recursion whichever model is best."""
     table = _features(x)
-    forest = models.fit(["random_forest"], table, CUT)["random_forest"]
+    forest = models.fit(["random_forest"], table, CUT, stored=True)["random_forest"]
     return models.forecast_recursive(forest, table, CUT)
 
 

@@ -8,7 +8,7 @@ the rows that it samples for them; all rows are added up. Tables of up to LIBRAR
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import partial
@@ -66,7 +66,7 @@ def _sampled(rows: DataFrame, fraction: float, seed: int) -> np.ndarray:
         draw = spark._jvm.org.apache.spark.util.random.XORShiftRandom(seed).nextInt()
         drawn = rows._jdf.toJavaRDD().sample(False, fraction, draw)
         rows = DataFrame(spark._jsparkSession.createDataFrame(drawn, rows._jdf.schema()), spark)
-    return np.array([r[0] for r in rows.select(vector_to_array("inputs")).collect()])
+    return np.array([r[0] for r in rows.select("inputs").collect()], float)
 
 
 def _binned(cuts: list[np.ndarray], batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +99,7 @@ def _binned(cuts: list[np.ndarray], batches: Iterable[pa.RecordBatch]) -> Iterat
 def _blocks(rows: DataFrame, cuts: list[np.ndarray]) -> RDD:
     """Few partitions, as each sends its sums to the driver; tasks read them block by block."""
     context = rows.sparkSession.sparkContext
-    few = rows.select("label", vector_to_array("inputs").alias("inputs")).coalesce(4 * context.defaultParallelism)
+    few = rows.select("label", "inputs").coalesce(4 * context.defaultParallelism)
     stored = few.mapInArrow(partial(_binned, cuts), "codes binary, errors binary")
     inputs = len(cuts)
     return stored.rdd.map(
@@ -120,9 +120,15 @@ class Blocks:
 
 
 @contextmanager
-def blocks_of(dataset: DataFrame, label: str, inputs: str, bins: int, seed: int) -> Iterator[Blocks]:
-    """Binned once and kept for the passes of the learners that read them."""
-    rows = dataset.select(F.col(label).cast("double").alias("label"), F.col(inputs).alias("inputs"))
+def blocks_of(
+    dataset: DataFrame, label: str, inputs: str, columns: tuple[str, ...] | None, bins: int, seed: int
+) -> Iterator[Blocks]:
+    """Binned once and kept for the passes of the learners that read them.
+
+    The columns that the vector of inputs is made of, where given, spare making it and taking it apart.
+    """
+    values = F.array(*columns) if columns else vector_to_array(inputs)
+    rows = dataset.select(F.col(label).cast("double").alias("label"), values.alias("inputs"))
     n, bound = rows.agg(F.count(F.lit(1)), F.sum(F.abs("label"))).first()
     if not n or bound is None or not math.isfinite(bound):
         raise ValueError("there must be rows, with finite labels")
@@ -239,10 +245,14 @@ class BlockTrees(Estimator):
 
     last = False  # whether it releases the blocks as it goes, so that others come first
 
-    def __init__(self, seed: int, featuresCol: str, labelCol: str, depth: int, bins: int, library_rows: int):
+    def __init__(
+        self, seed: int, featuresCol: str, labelCol: str, depth: int, bins: int, library_rows: int,
+        columns: Sequence[str] | None = None,
+    ):
         super().__init__()
         self.seed, self.depth, self.bins = seed, depth, bins
         self.inputs, self.label, self.library_rows = featuresCol, labelCol, library_rows
+        self.columns = tuple(columns) if columns else None
 
     def library(self) -> Estimator:
         raise NotImplementedError
@@ -260,7 +270,7 @@ def fit_together(learners: dict[str, BlockTrees], dataset: DataFrame) -> dict[st
     fitted = {name: x.library().fit(dataset) for name, x in learners.items() if n <= x.library_rows}
     large = [name for name in learners if name not in fitted]
     if large:
-        shared = {(x.label, x.inputs, x.bins, x.seed) for x in map(learners.get, large)}
+        shared = {(x.label, x.inputs, x.columns, x.bins, x.seed) for x in map(learners.get, large)}
         if len(shared) > 1:
             raise ValueError("learners fitted together must share label, inputs, bins and seed")
         with blocks_of(dataset, *shared.pop()) as blocks:

@@ -14,7 +14,7 @@ input and cut win.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +40,7 @@ from shelfcast.operators.tree_walk import TreesModel
 
 __all__ = ["BoostedTrees", "cuts_of"]
 
-REFRESH = 5  # trees after which the errors are stored anew; until then each pass applies them
+REFRESH = 3  # trees after which the errors are stored anew; until then each pass applies them
 
 
 # --- a pass over the blocks ---------------------------------------------------------
@@ -121,8 +121,9 @@ class BoostedTrees(BlockTrees):
     def __init__(
         self, rounds: int, seed: int, featuresCol: str, labelCol: str,
         depth: int = 5, bins: int = 32, rate: float = 0.1, library_rows: int = LIBRARY_ROWS,
+        columns: Sequence[str] | None = None,
     ):
-        super().__init__(seed, featuresCol, labelCol, depth, bins, library_rows)
+        super().__init__(seed, featuresCol, labelCol, depth, bins, library_rows, columns)
         self.rounds, self.rate = rounds, rate
 
     def library(self) -> GBTRegressor:

@@ -11,7 +11,7 @@ Tables of up to LIBRARY_ROWS rows are left to MLlib, with its results.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -172,8 +172,9 @@ class RandomForest(BlockTrees):
     def __init__(
         self, trees: int, seed: int, featuresCol: str, labelCol: str,
         depth: int = 5, bins: int = 32, library_rows: int = LIBRARY_ROWS,
+        columns: Sequence[str] | None = None,
     ):
-        super().__init__(seed, featuresCol, labelCol, depth, bins, library_rows)
+        super().__init__(seed, featuresCol, labelCol, depth, bins, library_rows, columns)
         self.trees = trees
 
     def library(self) -> RandomForestRegressor:

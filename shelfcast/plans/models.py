@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from shelfcast.functions.columns import calendar
-from shelfcast.operators.binned import BlockTrees, fit_together
+from shelfcast.operators.binned import LIBRARY_ROWS, BlockTrees, fit_together
 from shelfcast.operators.boosting import BoostedTrees
 from shelfcast.operators.cleaning import SERIES, as_date, before, one_row_per_key
 from shelfcast.operators.forest import RandomForest
@@ -52,8 +52,8 @@ HELD = ["isholidayencoded", *CONDITIONS]
 def estimators(seed: int = SEED) -> dict[str, Estimator]:
     columns = {"featuresCol": "inputs", "labelCol": LABEL}
     return {
-        "random_forest": RandomForest(trees=TREES, seed=seed, **columns),
-        "gbt": BoostedTrees(rounds=ROUNDS, seed=seed, **columns),
+        "random_forest": RandomForest(trees=TREES, seed=seed, columns=INPUTS, **columns),
+        "gbt": BoostedTrees(rounds=ROUNDS, seed=seed, columns=INPUTS, **columns),
         "linear_regression": LinearRegression(**columns),
     }
 
@@ -67,29 +67,32 @@ def model_inputs(features: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def kept(df: DataFrame) -> Iterator[DataFrame]:
+def kept(df: DataFrame, stored: bool = False) -> Iterator[DataFrame]:
     """Keeps a frame for the repeated passes of a fit, in files of bounded size that are tasks of their own.
 
     What a tree learner keeps per row takes the executors' memory by itself, in partitions of the
-    tasks that read the frame; in memory the frame would crowd it out.
+    tasks that read the frame; in memory the frame would crowd it out. Many rows of a stored table
+    are read where they are, as their trees take few passes over them.
     """
     spark = df.sparkSession
     with scratch(spark), small_tasks(spark):
-        yield stored_once(df)
+        yield df if stored and df.count() > LIBRARY_ROWS else stored_once(df)
 
 
-def fit(names: list[str], features: DataFrame, cut: dt.date | str) -> dict[str, PipelineModel]:
+def fit(
+    names: list[str], features: DataFrame, cut: dt.date | str, stored: bool = False
+) -> dict[str, PipelineModel]:
     """Models on the rows before the cut, which are computed once for all of them.
 
     Each result fills missing conditions with their training mean, assembles the inputs and
-    predicts.
+    predicts. ``stored`` says that the features come from ``session.stored_once``.
     """
     filler = Imputer(inputCols=CONDITIONS, outputCols=CONDITIONS, strategy="mean")
     assembler = VectorAssembler(inputCols=INPUTS, outputCol="inputs")
     known_sales = before(features, cut).filter(F.col(LABEL).isNotNull())
-    with kept(model_inputs(known_sales)) as train:
+    with kept(model_inputs(known_sales), stored) as train:
         filled = filler.fit(train)
-        ready = assembler.transform(filled.transform(train)).select(LABEL, "inputs")
+        ready = assembler.transform(filled.transform(train)).select(LABEL, "inputs", *INPUTS)
         known = {name: each for name, each in estimators().items() if name in names}
         trees = {name: each for name, each in known.items() if isinstance(each, BlockTrees)}
         fitted = fit_together(trees, ready) if trees else {}
@@ -102,9 +105,9 @@ def test_rows(features: DataFrame, cut: dt.date | str, until: dt.date | str | No
     return model_inputs(later if until is None else before(later, until))
 
 
-def predict(name: str, features: DataFrame, cut: dt.date | str) -> DataFrame:
+def predict(name: str, features: DataFrame, cut: dt.date | str, stored: bool = False) -> DataFrame:
     """Rows from the cut on with the prediction of a model fitted before it."""
-    model = fit([name], features, cut)[name]
+    model = fit([name], features, cut, stored)[name]
     return model.transform(test_rows(features, cut)).select(
         *SERIES, "date", LABEL, F.col("prediction").alias("predicted_weekly_sales")
     )

@@ -9,7 +9,7 @@ from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegre
 from pyspark.sql import functions as F
 
 from checks.queries import CUT
-from shelfcast.operators import binned, forest
+from shelfcast.operators import binned, boosting, forest
 from shelfcast.operators.tree_walk import Trees, TreesModel, trees_of
 from shelfcast.plans import features, models
 
@@ -100,6 +100,49 @@ def test_large_tables_grow_the_forest_in_blocks(inputs, monkeypatch):
     assert ahead.count() == 3 * series and ahead.filter("predicted_weekly_sales is null").count() == 0
 
 
+def test_learners_of_a_fit_share_blocks_of_rows_read_in_place(inputs, monkeypatch):
+    """Failed before: each learner binned the rows of its own, and a stored table was stored again."""
+    table = features.retail_features(inputs.sales(), inputs.features(), inputs.stores()).cache()
+    alone = {}
+    for name, size in (("TREES", 3), ("ROUNDS", 4)):
+        monkeypatch.setattr(models, name, size)
+    known = {name: each for name, each in models.estimators().items() if name != "linear_regression"}
+    monkeypatch.setattr(models, "estimators", lambda: known)
+    for each in known.values():
+        each.library_rows = 0
+    for name in known:
+        alone[name] = models.fit([name], table, CUT)[name].stages[-1].trees
+    binnings, stored = [], []
+    blocks_of, stored_once = binned.blocks_of, models.stored_once
+    monkeypatch.setattr(binned, "blocks_of", lambda *a: binnings.append(a) or blocks_of(*a))
+    monkeypatch.setattr(models, "stored_once", lambda df: stored.append(df) or stored_once(df))
+    models.fit(list(known), table, CUT, stored=True)
+    assert len(binnings) == 1 and len(stored) == 1  # a small table is stored, for MLlib's order of rows
+    monkeypatch.setattr(models, "LIBRARY_ROWS", 0)
+    ready = table.coalesce(1).cache()
+    both = models.fit(list(known), ready, CUT, stored=True)
+    assert len(binnings) == 2 and len(stored) == 1
+    for name, model in both.items():
+        trees = model.stages[-1].trees
+        assert len(trees.roots) == len(alone[name].roots) and trees.depth == alone[name].depth
+    # The sums of boosted trees do not depend on the order of the rows.
+    assert both["gbt"].stages[-1].trees.feature == alone["gbt"].feature
+
+
+def test_columns_give_the_blocks_of_their_vector(spark):
+    ready = VectorAssembler(inputCols=["a", "b"], outputCol="inputs").transform(
+        spark.createDataFrame([(float(i % 7), -1.5 * i, float(i)) for i in range(300)], "a double, b double, y double")
+    )
+    trees = [
+        boosting.BoostedTrees(rounds=3, seed=1, library_rows=0, columns=c, **COLUMNS).fit(ready).trees
+        for c in (None, ["a", "b"])
+    ]
+    assert trees[0] == trees[1]
+    missing = ready.withColumn("a", F.when(F.col("y") > 5, F.col("a")))
+    with pytest.raises(Exception, match="must be finite"):
+        boosting.BoostedTrees(rounds=3, seed=1, library_rows=0, columns=["a", "b"], **COLUMNS).fit(missing)
+
+
 def test_weights_follow_the_distribution():
     steps = forest._STEPS
     settled = forest._CELLS != forest._NONE

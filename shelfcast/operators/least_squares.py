@@ -9,13 +9,20 @@ number of parts and inputs, never on the rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark.ml import Estimator, Model
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.operators.binned import LIBRARY_ROWS
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -133,3 +140,61 @@ def errors(line: Line, matrix: np.ndarray) -> tuple[int, float | None, float | N
     squares = max(float(residual @ full @ residual), 0.0)
     total = full[-1, -1] - full[0, -1] ** 2 / rows
     return int(rows), float(np.sqrt(squares / rows)), float(1 - squares / total) if total > 0 else None
+
+
+# --- the same line as a stage of a pipeline ------------------------------------------
+
+
+def _batch_products(pivots: np.ndarray, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One matrix per task: products of a constant, the inputs and the label, whose rows are known."""
+    total = np.zeros((len(pivots) + 1, len(pivots) + 1))
+    for batch in batches:
+        if batch.num_rows:
+            labels = batch.column("label").to_numpy(zero_copy_only=False).astype(float)
+            inputs = batch.column("inputs").flatten().to_numpy(zero_copy_only=False).reshape(len(labels), -1)
+            terms = np.column_stack([np.ones(len(labels)), inputs, labels])
+            terms[:, 1:] -= pivots
+            total += terms.T @ terms
+    yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+
+class LineModel(Model):
+    """A fitted line as a stage of a pipeline, with the prediction of a vector of inputs."""
+
+    def __init__(self, coefficients: np.ndarray, intercept: float, featuresCol: str):
+        super().__init__()
+        self.coefficients, self.intercept, self.inputs = DenseVector(coefficients), intercept, featuresCol
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        value = F.lit(0.0)
+        for i, weight in enumerate(self.coefficients.tolist()):
+            value = value + F.get(F.col("values"), F.lit(i)) * weight
+        given = dataset.withColumn("values", vector_to_array(self.inputs))
+        return given.withColumn("prediction", value + self.intercept).drop("values")
+
+
+class LeastSquares(Estimator):
+    """MLlib's linear regression over few rows; over many, the line from one pass of matrix products.
+
+    MLlib reads the rows twice, for its sums and for a summary that is not used here, and each as an object.
+    """
+
+    def __init__(self, columns: Sequence[str], featuresCol: str, labelCol: str, library_rows: int = LIBRARY_ROWS):
+        super().__init__()
+        self.columns, self.inputs, self.label, self.library_rows = tuple(columns), featuresCol, labelCol, library_rows
+
+    def _fit(self, dataset: DataFrame) -> LineModel | LinearRegressionModel:
+        if dataset.count() <= self.library_rows:
+            return LinearRegression(featuresCol=self.inputs, labelCol=self.label).fit(dataset)
+        given = layout(dataset, self.columns, [], self.label)
+        pivots = np.array([given.pivots[c] for c in (*self.columns, self.label)])
+        rows = dataset.select(
+            F.col(self.label).cast("double").alias("label"), F.array(*self.columns).alias("inputs")
+        )
+        parts = rows.mapInArrow(lambda batches: _batch_products(pivots, batches), "sums binary").collect()
+        size = len(pivots) + 1
+        matrix = sum((np.frombuffer(p["sums"]).reshape(size, size) for p in parts), np.zeros((size, size)))
+        if not np.isfinite(matrix).all():
+            raise ValueError("labels and inputs must be finite")
+        line = solve(given, matrix)
+        return LineModel(line.weights, line.intercept, self.inputs)

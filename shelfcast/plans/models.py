@@ -13,7 +13,6 @@ from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import (
     GBTRegressionModel,
-    LinearRegression,
     LinearRegressionModel,
     RandomForestRegressionModel,
 )
@@ -26,8 +25,9 @@ from shelfcast.operators.binned import LIBRARY_ROWS, BlockTrees, fit_together
 from shelfcast.operators.boosting import BoostedTrees
 from shelfcast.operators.cleaning import SERIES, as_date, before, one_row_per_key
 from shelfcast.operators.forest import RandomForest
+from shelfcast.operators.least_squares import LeastSquares, LineModel
 from shelfcast.operators.series import future_frame, spread
-from shelfcast.operators.tree_walk import Trees, TreesModel, by_input, trees_of
+from shelfcast.operators.tree_walk import TreesModel, by_input, trees_of
 from shelfcast.plans.baselines import recent_values
 from shelfcast.session import scratch, scratch_path, small_tasks, stored_once
 
@@ -54,7 +54,7 @@ def estimators(seed: int = SEED) -> dict[str, Estimator]:
     return {
         "random_forest": RandomForest(trees=TREES, seed=seed, columns=INPUTS, **columns),
         "gbt": BoostedTrees(rounds=ROUNDS, seed=seed, columns=INPUTS, **columns),
-        "linear_regression": LinearRegression(**columns),
+        "linear_regression": LeastSquares(INPUTS, **columns),
     }
 
 
@@ -240,14 +240,13 @@ def forecast_recursive(
 ) -> DataFrame:
     """Predict one week of all series at once, feed it back into the lags, repeat.
 
-    The state is one row per series and a step needs no shuffle. Linear models take the whole horizon
-    in one expression, trees in one pass through Python workers. For any other model the state is
-    written every few steps with their predictions, and the next steps start from what was written
-    without them.
+    The state is one row per series and a step needs no shuffle. Linear models and trees take the
+    whole horizon in one pass through Python workers. For any other model the state is written every
+    few steps with their predictions, and the next steps start from what was written without them.
     """
     filled, assembler, predictor = model.stages
     state = _start(filled, features, cut)
-    if isinstance(predictor, LinearRegressionModel):
+    if isinstance(predictor, LinearRegressionModel | LineModel):
         return _unroll(_linear_steps(predictor, state, horizon))
     if isinstance(predictor, RandomForestRegressionModel | GBTRegressionModel | TreesModel):
         return _unroll(_tree_steps(predictor, state, horizon))
@@ -300,21 +299,6 @@ def _fold_steps(
     return state.withColumn("path", F.aggregate(steps, F.struct("recent", "path"), advance)["path"])
 
 
-def _linear_steps(model: LinearRegressionModel, state: DataFrame, horizon: int) -> DataFrame:
-    weight = dict(zip(INPUTS, (float(w) for w in model.coefficients)))
-    held = F.lit(float(model.intercept))
-    for name in [*SERIES, *HELD]:
-        held = held + F.col(name).cast("double") * weight[name]
-
-    def predicted(moving: dict[str, Column]) -> Column:
-        value = F.col("held")
-        for name, column in moving.items():
-            value = value + column.cast("double") * weight[name]
-        return value
-
-    return _fold_steps(state.withColumn("held", held), horizon, predicted)
-
-
 def _calendar_of(day: np.ndarray) -> dict[str, np.ndarray]:
     """The fields of CALENDAR as ``calendar`` has them; a missing day has none."""
     thursday = day + (3 - (day.astype(int) + 3) % 7)
@@ -327,23 +311,32 @@ def _calendar_of(day: np.ndarray) -> dict[str, np.ndarray]:
     return {name: np.where(np.isnat(day), np.nan, value) for name, value in fields.items()}
 
 
-def _tree_path(
-    trees: Trees, horizon: int, last: np.ndarray, held: np.ndarray, recent: pa.Array
-) -> np.ndarray:
-    """Predictions by step of many series: last dates, held inputs by place, newest sales first."""
+_MOVING = [*CALENDAR, *(f"{LABEL}_lag{i}" for i in (1, 2, 3)), f"{LABEL}_rolling4"]
+
+
+def _paths(
+    predict: Callable[[np.ndarray], np.ndarray], spreads: bool, horizon: int,
+    last: np.ndarray, held: pa.Array, recent: pa.Array,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Predictions by step of many series, and which of them are unknown.
+
+    From the last dates, the held inputs and the newest sales first. Unknown sales count as 0 in lags and
+    leave no mean; where ``spreads``, an unknown input makes the prediction unknown, otherwise it is a NaN.
+    """
     at = {name: i for i, name in enumerate(INPUTS)}
     inputs = np.empty((len(INPUTS), len(last)))
-    inputs[[at[name] for name in (*SERIES, *HELD)]] = held
-    # Sales by place; those that a series does not have add nothing, unknown ones make the mean unknown.
+    inputs[[at[name] for name in (*SERIES, *HELD)]] = by_input(held)
+    lost = held.flatten().is_null().to_numpy(zero_copy_only=False).reshape(len(last), -1).any(axis=1)
+    # Sales by place; those that a series does not have add nothing.
     size = recent.value_lengths().to_numpy(zero_copy_only=False).astype(int)
     there = np.arange(_RECENT)[:, None] < size
     sales, unknown = np.zeros(there.shape), np.zeros(there.shape, bool)
     given = recent.flatten()
     sales.T[there.T] = given.to_numpy(zero_copy_only=False)
     unknown.T[there.T] = given.is_null().to_numpy(zero_copy_only=False)
-    path = np.empty((horizon, len(last)))
-    for step in range(1, horizon + 1):
-        for name, value in _calendar_of(last + 7 * step).items():
+    path, absent = np.empty((horizon, len(last))), np.zeros((horizon, len(last)), bool)
+    for step in range(horizon):
+        for name, value in _calendar_of(last + 7 * (step + 1)).items():
             inputs[at[name]] = value
         total = np.zeros(len(last))
         for each in sales:
@@ -351,27 +344,47 @@ def _tree_path(
         for i in (1, 2, 3):
             inputs[at[f"{LABEL}_lag{i}"]] = np.where(unknown[i - 1], 0.0, sales[i - 1])
         inputs[at[f"{LABEL}_rolling4"]] = total / size
-        path[step - 1] = trees.predict(inputs)
+        path[step] = predict(inputs)
+        if spreads:
+            absent[step] = lost | unknown.any(axis=0)
         sales, unknown = np.roll(sales, 1, 0), np.roll(unknown, 1, 0)
-        sales[0], unknown[0] = path[step - 1], False
+        sales[0], unknown[0] = path[step], absent[step]
         size = np.minimum(size + 1, _RECENT)
-    return path
+    return path, absent
 
 
-def _tree_steps(
-    model: RandomForestRegressionModel | GBTRegressionModel | TreesModel, state: DataFrame, horizon: int
+def _in_batches(
+    state: DataFrame, horizon: int, predict: Callable[[np.ndarray], np.ndarray], spreads: bool
 ) -> DataFrame:
     """The whole horizon in one pass, the series of a batch a step at a time."""
-    trees = trees_of(model)
 
     @F.arrow_udf("array<double>")
     def path(last: pa.Array, held: pa.Array, recent: pa.Array) -> pa.Array:
         if not len(last):
             return pa.array([], pa.list_(pa.float64()))
         days = last.to_numpy(zero_copy_only=False).astype("datetime64[D]")
-        steps = _tree_path(trees, horizon, days, by_input(held), recent)
+        steps, absent = _paths(predict, spreads, horizon, days, held, recent)
         ends = pa.array(np.arange(len(last) + 1) * horizon, pa.int32())
-        return pa.ListArray.from_arrays(ends, pa.array(steps.T.ravel()))
+        return pa.ListArray.from_arrays(ends, pa.array(steps.T.ravel(), mask=absent.T.ravel()))
 
     held = F.array(*[F.col(name).cast("double") for name in (*SERIES, *HELD)])
     return state.withColumn("path", path("last_date", held, "recent"))
+
+
+def _linear_steps(model: LinearRegressionModel | LineModel, state: DataFrame, horizon: int) -> DataFrame:
+    weight = dict(zip(INPUTS, (float(w) for w in model.coefficients)))
+    intercept = float(model.intercept)
+
+    def predicted(inputs: np.ndarray) -> np.ndarray:
+        value = np.full(inputs.shape[1], intercept)
+        for name in (*SERIES, *HELD, *_MOVING):
+            value = value + inputs[INPUTS.index(name)] * weight[name]
+        return value
+
+    return _in_batches(state, horizon, predicted, spreads=True)
+
+
+def _tree_steps(
+    model: RandomForestRegressionModel | GBTRegressionModel | TreesModel, state: DataFrame, horizon: int
+) -> DataFrame:
+    return _in_batches(state, horizon, trees_of(model).predict, spreads=False)

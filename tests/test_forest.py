@@ -5,11 +5,12 @@ import datetime as dt
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import LinearRegressionModel, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from checks.queries import CUT
 from shelfcast.operators import binned, boosting, forest
+from shelfcast.operators.least_squares import LeastSquares, LineModel
 from shelfcast.operators.tree_walk import Trees, TreesModel, trees_of
 from shelfcast.plans import features, models
 
@@ -168,21 +169,58 @@ def test_walk_in_python_gives_the_bits_of_the_expression(spark, mean):
     assert trees.predict(given).tolist() == expected
 
 
-def test_recursion_in_python_gives_the_bits_of_the_fold(spark, weekly, inputs, monkeypatch):
+@pytest.mark.parametrize("name", ["random_forest", "linear_regression"])
+def test_recursion_in_python_gives_the_bits_of_the_fold(spark, weekly, inputs, monkeypatch, name):
     """Short series and unknown sales among the newest, which count as 0 in lags and leave no mean."""
     monkeypatch.setattr(models, "TREES", 6)
     table = features.retail_features(inputs.sales(), inputs.features(), inputs.stores()).cache()
-    filled, _, predictor = models.fit(["random_forest"], table, CUT)["random_forest"].stages
+    filled, _, predictor = models.fit([name], table, CUT)[name].stages
     df = weekly({(1, 1): [2e4, 3e4, None, 9e4], (1, 2): [4e4], (2, 1): [None], (3, 1): [5e4] * 9, (3, 2): [1e4, None]},
                 first=dt.date(2000, 10, 6))
-    for name in models.HELD:
-        df = df.withColumn(name, F.lit(1.5) * F.col("store"))
+    for held in models.HELD:
+        df = df.withColumn(held, F.lit(1.5) * F.col("store"))
+    df = df.withColumn("isholidayencoded", F.when(F.col("dept") != 2, 1.0))
     state = models._start(filled, df, CUT).cache()
-    walk = trees_of(predictor).expression()
 
-    def predicted(moving):
+    def by_tree(moving):
+        walk = trees_of(predictor).expression()
         return models._named(F.array(*[moving.get(c, F.col(c)).cast("double") for c in models.INPUTS]), walk)
 
-    fold = models._fold_steps(state, 60, predicted)
-    paths = [{(r["store"], r["dept"]): list(r["path"]) for r in d.collect()} for d in (models._tree_steps(predictor, state, 60), fold)]
+    def by_weights(moving):
+        weight = dict(zip(models.INPUTS, predictor.coefficients.tolist()))
+        value = F.lit(float(predictor.intercept))
+        for c in [*models.SERIES, *models.HELD, *moving]:
+            if c in weight:
+                value = value + moving.get(c, F.col(c)).cast("double") * weight[c]
+        return value
+
+    def used(moving):  # the fold offers these in the order in which a line adds them
+        kept = {c: moving[c] for c in moving if c in models.INPUTS}
+        return by_tree(kept) if name == "random_forest" else by_weights(kept)
+
+    steps = models._tree_steps if name == "random_forest" else models._linear_steps
+    fold = models._fold_steps(state, 60, used)
+    paths = [{(r["store"], r["dept"]): list(r["path"]) for r in d.collect()} for d in (steps(predictor, state, 60), fold)]
     assert paths[0] == paths[1] and len(paths[0]) == 5 and all(len(p) == 60 for p in paths[0].values())
+    if name == "linear_regression":
+        assert None in paths[0][1, 1] and None not in paths[0][3, 1]
+
+
+def test_many_rows_get_their_line_from_one_pass(spark):
+    """Failed before: MLlib read the rows twice and as objects, whatever their number."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(0, 3, (400, 3)) + [1e3, 0, -50]
+    y = x @ [2.0, -1.0, 0.5] + 7 + rng.normal(0, 1, 400)
+    rows = [(*map(float, a), 4.0, float(b)) for a, b in zip(x, y)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, y double").repartition(5)
+    ready = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="inputs").transform(df).cache()
+    library, own = (LeastSquares(["a", "b", "c", "d"], library_rows=n, **COLUMNS).fit(ready) for n in (400, 399))
+    assert isinstance(library, LinearRegressionModel) and isinstance(own, LineModel)
+    exact = np.linalg.lstsq(np.column_stack([x, np.ones(400)]), y, rcond=None)[0]
+    assert [*own.coefficients[:3], own.intercept] == pytest.approx(exact, rel=1e-8) and own.coefficients[3] == 0
+    # A constant input makes MLlib iterate, up to its tolerance.
+    both = own.transform(library.transform(ready).withColumnRenamed("prediction", "p"))
+    n, worst = both.agg(F.count("prediction"), F.max(F.abs(F.col("p") - F.col("prediction")))).first()
+    assert n == 400 and worst < 1e-3 and "values" not in both.columns
+    with pytest.raises(Exception, match="must be finite"):
+        LeastSquares(["a"], library_rows=0, **COLUMNS).fit(ready.withColumn("a", F.when(F.col("b") > 0, F.col("a"))))
